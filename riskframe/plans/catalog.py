@@ -106,3 +106,211 @@ def _p13(spark, sf):
 def _p14(spark, sf):
     cut = {"total_price>250000": F.col("total_price") > 250000, "qty>100": F.col("qty") > 100}
     return P.bad_rate_by_level(applications(spark, sf), CAT, cut, min_support=30)
+
+
+# ---------------------------------------------------------------- shared derived frames
+from riskframe.functions import exprs as X  # noqa: E402
+from riskframe.operators import encode as ENC  # noqa: E402
+from riskframe.operators import split as SPL  # noqa: E402
+from riskframe.sources.tables import read_table, scored  # noqa: E402
+
+SEED = 42
+UNSEEN_FIT = F.col("order_year") < "Y2000"      # FIXTURES "unseen level" fit set
+
+
+def split_apps(spark, sf, raw: bool = False):
+    return SPL.stratified_split(applications(spark, sf, coalesce_lines=not raw), "app_id", "class", seed=SEED)
+
+
+def train_prep(spark, sf):
+    """(split frame, FittedPrep fitted on the train split)."""
+    sp = split_apps(spark, sf).cache()
+    prep = ENC.FittedPrep.fit(sp.where(F.col("split") == "train"), NUM, CAT)
+    return sp, prep
+
+
+# ---------------------------------------------------------------- expressions
+@query("e1_drop_label")
+def _e1(spark, sf):
+    return applications(spark, sf).drop(ROLES.label)
+
+
+@query("e2_cast_report")
+def _e2(spark, sf):
+    a = applications(spark, sf).select("priority", "top_flag", F.col("n_lines").cast("string").alias("n_lines"),
+                                       F.substring("order_year", 2, 4).alias("year_digits"))
+    return X.cast_report(a, ["priority", "top_flag", "n_lines", "year_digits"], "int")
+
+
+@query("e3_conjunctive_filter")
+def _e3(spark, sf):
+    a = applications(spark, sf)
+    return (a.where((F.col("class") == 2) & F.col("total_price").between(100000, 300000)
+                    & (F.col("segment") == "BUILDING"))
+            .select("app_id", "total_price", "segment", "class"))
+
+
+@query("e4_membership")
+def _e4(spark, sf):
+    a = applications(spark, sf, coalesce_lines=False)
+    learnt = a.where(UNSEEN_FIT).select("order_year").distinct()
+    return (a.where(F.col("priority").isin("1-URGENT", "2-HIGH") & F.col("n_lines").isNotNull())
+            .join(learnt, "order_year", "left_semi")
+            .select("app_id", "priority", "order_year", "n_lines"))
+
+
+@query("e4_unseen_levels")
+def _e4b(spark, sf):
+    a = applications(spark, sf)
+    vocab = ENC.vocabulary(a.where(UNSEEN_FIT), CAT).select("column_name", "level")
+    long = a.select(*CAT).unpivot([], CAT, "column_name", "level")
+    return (long.join(vocab, ["column_name", "level"], "left_anti")
+            .groupBy("column_name", "level").agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+@query("e5_threshold_label")
+def _e5(spark, sf):
+    s = scored(spark, sf)
+    return s.select("app_id", "p", X.threshold_label("p", 0.5).alias("label_05"),
+                    X.threshold_label("p", 0.4).alias("label_04"))
+
+
+@query("e8_feature_names")
+def _e8(spark, sf):
+    train = split_apps(spark, sf).where(F.col("split") == "train")
+    return ENC.vocabulary(train, CAT).where(F.col("ordinal") > 0)
+
+
+@query("e9_array_functions")
+def _e9(spark, sf):
+    li = read_table(spark, sf, "lineitem")
+    # lines per order are bounded by the schema (at most 7), so the list is small
+    arr = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.col("l_quantity").cast("int"))).alias("layers"))
+    text = X.tuple_text("layers")
+    return arr.select("l_orderkey", F.size("layers").alias("n_layers"), X.array_total("layers").alias("total_units"),
+                      text.alias("layers_text"), (X.parse_tuple_text(text) == F.col("layers")).alias("roundtrip_ok"))
+
+
+@query("e10_math_functions")
+def _e10(spark, sf):
+    s = scored(spark, sf)
+    return s.select("app_id", F.abs("z").alias("abs_z"), F.round(F.sqrt(F.abs("z")), 6).alias("sqrt_abs_z"),
+                    F.round(F.pow("z", 2), 6).alias("z_sq"))
+
+
+def runs_view(spark, sf):
+    """Runs-shaped view over ``events`` (FIXTURES.md §5)."""
+    ev = read_table(spark, sf, "events")
+    return ev.select(
+        F.col("event_id").alias("run_id"),
+        F.when(F.col("user_id") % 2 == 0, "base").otherwise("tuned").alias("experiment"),
+        F.col("event_type").alias("run_name"), F.col("ts").alias("start_time"),
+        F.col("value").alias("metric"), F.from_json("props", "map<string,string>").alias("params"))
+
+
+@query("e11_epoch_ms_duration")
+def _e11(spark, sf):
+    r = runs_view(spark, sf).withColumn("ms", X.ts_to_epoch_ms("start_time"))
+    g = r.groupBy("experiment", "run_name").agg(F.min("ms").alias("start_ms"), F.max("ms").alias("end_ms"))
+    # duration from the round trip ms -> timestamp -> seconds
+    dur = (X.epoch_ms_to_ts("end_ms").cast("double") - X.epoch_ms_to_ts("start_ms").cast("double"))
+    return g.select("experiment", "run_name", "start_ms", "end_ms", F.round(dur, 3).alias("duration_s"))
+
+
+# ---------------------------------------------------------------- splits
+@query("t1_stratified_split")
+def _t1(spark, sf):
+    return split_apps(spark, sf).select("app_id", "class", "split")
+
+
+@query("t2_random_split")
+def _t2(spark, sf):
+    return SPL.random_split(applications(spark, sf), "app_id", seed=SEED).select("app_id", "class", "split")
+
+
+@query("t3_stratified_folds")
+def _t3(spark, sf):
+    return SPL.stratified_folds(applications(spark, sf), "app_id", "class", k=5, seed=SEED).select("app_id", "class", "fold")
+
+
+@query("t4_pool_train_val")
+def _t4(spark, sf):
+    return SPL.pool(split_apps(spark, sf)).select("app_id", "class", "split")
+
+
+@query("t5_split_audit")
+def _t5(spark, sf):
+    return SPL.split_audit(split_apps(spark, sf), "class")
+
+
+@query("t5_split_overlap")
+def _t5b(spark, sf):
+    return SPL.split_overlap(split_apps(spark, sf), "app_id")
+
+
+# ---------------------------------------------------------------- encoders
+def _sparse(df, key, cols):
+    names = F.array(*[F.lit(c) for c in cols])
+    arr = df.select(key, F.array(*[F.col(c).cast("double") for c in cols]).alias("x"))
+    return (arr.select(key, F.posexplode("x").alias("i", "value")).where(F.col("value") != 0)
+            .select(key, F.element_at(names, F.col("i") + 1).alias("feature"), F.col("value").cast("int").alias("value")))
+
+
+@query("f1_label_encode")
+def _f1(spark, sf):
+    a = applications(spark, sf)
+    levels = ENC.collect_vocabulary(ENC.vocabulary(a.where(UNSEEN_FIT), CAT), CAT)
+    enc = ENC.label_encode_columns(levels)
+    return a.select("app_id", *[enc[c].cast("int").alias(c) for c in CAT])
+
+
+@query("f2_one_hot_drop_first")
+def _f2(spark, sf):
+    a = applications(spark, sf)
+    levels = ENC.collect_vocabulary(ENC.vocabulary(a.where(UNSEEN_FIT), CAT), CAT)
+    wide = a.select("app_id", *ENC.one_hot_columns(levels))
+    return _sparse(wide, "app_id", [n for _, _, n in ENC.one_hot_names(levels)])
+
+
+@query("f3_standard_scale")
+def _f3(spark, sf):
+    sp = split_apps(spark, sf)
+    params = ENC.fit_scaler(sp.where(F.col("split") == "train"), NUM)
+    sc = ENC.scaled_columns(params)
+    return sp.select("app_id", *[F.round(sc[c], 6).alias(c) for c in NUM])
+
+
+@query("f4_interaction")
+def _f4(spark, sf):
+    return applications(spark, sf).select("app_id", F.round(ENC.interaction("n_lines", "max_discount"), 6)
+                                          .alias("n_lines_x_max_discount"))
+
+
+@query("f5_assemble")
+def _f5(spark, sf):
+    sp, prep = train_prep(spark, sf)
+    arr = prep.transform_array(sp, ["app_id"], "x")
+    return arr.select("app_id", F.size("x").alias("n_features"),
+                      F.size(F.filter("x", lambda v: v != 0)).alias("n_nonzero"),
+                      F.round(F.aggregate("x", F.lit(0.0), lambda acc, v: acc + F.abs(v)), 4).alias("l1_norm"))
+
+
+@query("f6_tree_prep")
+def _f6(spark, sf):
+    sp = split_apps(spark, sf)
+    levels = ENC.collect_vocabulary(ENC.vocabulary(sp.where(F.col("split") == "train"), CAT), CAT)
+    return ENC.tree_prep(sp, levels, NUM, keep=["app_id"])
+
+
+@query("f7_linear_prep")
+def _f7(spark, sf):
+    sp, prep = train_prep(spark, sf)
+    out = prep.transform_sparse(sp, "app_id")
+    return out.select("app_id", "feature_index", "feature", F.round("value", 6).alias("value"))
+
+
+@query("f8_class_weights")
+def _f8(spark, sf):
+    train = split_apps(spark, sf).where(F.col("split") == "train")
+    return ENC.with_class_weight(train.select("app_id", "class"), "class").select(
+        "app_id", "class", F.round("weight", 6).alias("weight"))

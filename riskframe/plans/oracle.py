@@ -132,3 +132,183 @@ ORACLE["p14_bad_rate_by_level"] = with_views(f"""
 SELECT dimension, level, count(*) AS n, CAST(sum(CASE WHEN class = 2 THEN 1 ELSE 0 END) AS BIGINT) AS n_bad,
        round(sum(CASE WHEN class = 2 THEN 1 ELSE 0 END) / count(*), 6) AS bad_rate
 FROM long GROUP BY dimension, level HAVING count(*) >= 30""")
+
+
+# ---------------------------------------------------------------- helpers for splits / encoders
+def _hash(key: str, seed) -> str:
+    return f"CAST(('0x' || substr(md5(CAST({key} AS VARCHAR) || '|{seed}'), 1, 8)) AS BIGINT)"
+
+
+VAL_ADJ = 0.15 / (1 - 0.15)
+
+
+def _alloc(src: str, group: str, total: str, frac: str, out: str) -> str:
+    """Largest-remainder allocation of ceil(frac * N) over the rows of src."""
+    return f"""(SELECT *, base_{out} + CASE WHEN row_number() OVER (ORDER BY quota_{out} - base_{out} DESC, {group})
+                                  <= tgt_{out} - sum(base_{out}) OVER () THEN 1 ELSE 0 END AS {out}
+   FROM (SELECT *, CAST(floor(quota_{out}) AS BIGINT) AS base_{out}
+         FROM (SELECT *, tgt_{out} * {total} / n_all_{out} AS quota_{out}
+               FROM (SELECT *, CAST(sum({total}) OVER () AS BIGINT) AS n_all_{out},
+                            CAST(ceil(round({frac} * CAST(sum({total}) OVER () AS BIGINT), 9)) AS BIGINT) AS tgt_{out}
+                     FROM {src}) a) b) c)"""
+
+
+def split_cte(group: str | None = "class", seed=42, name: str = "sp", src: str = "apps") -> str:
+    """CTE text producing ``{name}`` = src.* + split."""
+    g = group or "grp"
+    grp_expr = group or "0"
+    return f"""
+, {name}_cnt AS (SELECT {grp_expr} AS {g}, count(*) AS n FROM {src} GROUP BY 1),
+{name}_t AS (SELECT * FROM {_alloc(f'{name}_cnt', g, 'n', 'CAST(0.15 AS DOUBLE)', 'n_test')} x),
+{name}_r AS (SELECT {g}, n, n_test, n - n_test AS rest FROM {name}_t),
+{name}_v AS (SELECT * FROM {_alloc(f'{name}_r', g, 'rest', f'CAST({VAL_ADJ!r} AS DOUBLE)', 'n_val')} y),
+{name}_pos AS (SELECT s.*, {grp_expr} AS _g,
+                 row_number() OVER (PARTITION BY {grp_expr} ORDER BY {_hash('app_id', seed)}, app_id) - 1 AS pos
+               FROM {src} s),
+{name} AS (SELECT p.* EXCLUDE (_g, pos),
+                  CASE WHEN pos < v.n_test THEN 'test' WHEN pos < v.n_test + v.n_val THEN 'val' ELSE 'train' END AS split
+           FROM {name}_pos p JOIN {name}_v v ON p._g = v.{g})"""
+
+
+def vocab_cte(fit_where: str, name: str = "vocab", src: str = "apps") -> str:
+    parts = "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS level FROM {src} WHERE {fit_where}" for c in CAT)
+    return f"""
+, {name} AS (SELECT column_name, level,
+                    CAST(dense_rank() OVER (PARTITION BY column_name ORDER BY level) - 1 AS INTEGER) AS ordinal
+             FROM (SELECT DISTINCT * FROM ({parts}) u WHERE level IS NOT NULL) d)"""
+
+
+CAT_POS = " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(CAT))
+
+# ---------------------------------------------------------------- expressions
+ORACLE["e1_drop_label"] = with_views("SELECT * EXCLUDE (class) FROM apps")
+
+ORACLE["e2_cast_report"] = with_views("""
+, src AS (SELECT priority, top_flag, CAST(n_lines AS VARCHAR) AS n_lines, substr(order_year, 2, 4) AS year_digits FROM apps),
+long AS (SELECT 'priority' AS column_name, priority AS raw FROM src UNION ALL
+         SELECT 'top_flag', top_flag FROM src UNION ALL SELECT 'n_lines', n_lines FROM src UNION ALL
+         SELECT 'year_digits', year_digits FROM src)
+SELECT column_name, count(TRY_CAST(raw AS INTEGER)) AS n_ok,
+       count(*) FILTER (WHERE TRY_CAST(raw AS INTEGER) IS NULL) AS n_rejected,
+       CAST(sum(TRY_CAST(raw AS INTEGER)) AS BIGINT) AS sum_ok
+FROM long WHERE raw IS NOT NULL GROUP BY column_name""")
+
+ORACLE["e3_conjunctive_filter"] = with_views("""
+SELECT app_id, total_price, segment, class FROM apps
+WHERE class = 2 AND total_price BETWEEN 100000 AND 300000 AND segment = 'BUILDING'""")
+
+ORACLE["e4_membership"] = with_views("""
+SELECT app_id, priority, order_year, n_lines FROM apps
+WHERE priority IN ('1-URGENT', '2-HIGH') AND n_lines IS NOT NULL
+  AND order_year IN (SELECT order_year FROM apps WHERE order_year < 'Y2000')""", raw=True)
+
+ORACLE["e4_unseen_levels"] = with_views(vocab_cte("order_year < 'Y2000'") + """
+, long AS (""" + "\nUNION ALL ".join(f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS level FROM apps" for c in CAT) + """)
+SELECT column_name, level, count(*) AS n_rows FROM long l
+WHERE NOT EXISTS (SELECT 1 FROM vocab v WHERE v.column_name = l.column_name AND v.level = l.level)
+GROUP BY column_name, level""")
+
+ORACLE["e5_threshold_label"] = with_views("""
+SELECT app_id, p, CASE WHEN p > 0.5 THEN 2 ELSE 1 END AS label_05, CASE WHEN p > 0.4 THEN 2 ELSE 1 END AS label_04
+FROM scored""", scored=True)
+
+ORACLE["e8_feature_names"] = with_views(split_cte() + vocab_cte("split = 'train'", src="sp") + """
+SELECT column_name, level, ordinal, column_name || '_' || CAST(ordinal AS VARCHAR) AS feature_name
+FROM vocab WHERE ordinal > 0""")
+
+ORACLE["e9_array_functions"] = """
+WITH a AS (SELECT l_orderkey, list_sort(list(CAST(l_quantity AS INTEGER))) AS layers FROM lineitem GROUP BY l_orderkey)
+SELECT l_orderkey, CAST(len(layers) AS INTEGER) AS n_layers, CAST(list_sum(layers) AS BIGINT) AS total_units,
+       '(' || array_to_string(layers, ', ') || ')' AS layers_text,
+       CAST(replace(replace('(' || array_to_string(layers, ', ') || ')', '(', '['), ')', ']') AS INTEGER[]) = layers
+         AS roundtrip_ok
+FROM a"""
+
+ORACLE["e10_math_functions"] = with_views("""
+SELECT app_id, abs(z) AS abs_z, round(sqrt(abs(z)), 6) AS sqrt_abs_z, round(pow(z, 2), 6) AS z_sq FROM scored""",
+                                          scored=True)
+
+RUNS_SQL = """runs AS (SELECT event_id AS run_id, CASE WHEN user_id % 2 = 0 THEN 'base' ELSE 'tuned' END AS experiment,
+                      event_type AS run_name, ts AS start_time, value AS metric, props FROM events)"""
+
+ORACLE["e11_epoch_ms_duration"] = f"""
+WITH {RUNS_SQL},
+ms AS (SELECT experiment, run_name, CAST(floor(epoch_us(start_time) / 1000) AS BIGINT) AS ms FROM runs)
+SELECT experiment, run_name, min(ms) AS start_ms, max(ms) AS end_ms,
+       round((max(ms) - min(ms)) / 1000.0, 3)::DOUBLE AS duration_s
+FROM ms GROUP BY experiment, run_name"""
+
+# ---------------------------------------------------------------- splits
+ORACLE["t1_stratified_split"] = with_views(split_cte() + "\nSELECT app_id, class, split FROM sp")
+ORACLE["t2_random_split"] = with_views(split_cte(group=None) + "\nSELECT app_id, class, split FROM sp")
+ORACLE["t3_stratified_folds"] = with_views(f"""
+SELECT app_id, class,
+       CAST((row_number() OVER (PARTITION BY class ORDER BY {_hash('app_id', 'fold42')}, app_id) - 1) % 5 AS INTEGER) AS fold
+FROM apps""")
+ORACLE["t4_pool_train_val"] = with_views(split_cte() + "\nSELECT app_id, class, split FROM sp WHERE split IN ('train', 'val')")
+ORACLE["t5_split_audit"] = with_views(split_cte() + """
+SELECT split, class, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY split), 6) AS class_share
+FROM sp GROUP BY split, class""")
+ORACLE["t5_split_overlap"] = with_views(split_cte() + """
+SELECT app_id, count(DISTINCT split) AS n_splits FROM sp GROUP BY app_id HAVING count(DISTINCT split) > 1""")
+
+# ---------------------------------------------------------------- encoders
+_ENC_COLS = ",\n       ".join(
+    f"coalesce((SELECT ordinal FROM vocab v WHERE v.column_name = '{c}' AND v.level = a.{c}), 0) AS {c}" for c in CAT)
+
+ORACLE["f1_label_encode"] = with_views(vocab_cte("order_year < 'Y2000'") + f"""
+SELECT app_id, {_ENC_COLS} FROM apps a""")
+
+ORACLE["f2_one_hot_drop_first"] = with_views(vocab_cte("order_year < 'Y2000'") + """
+, long AS (""" + "\nUNION ALL ".join(f"SELECT app_id, '{c}' AS column_name, CAST({c} AS VARCHAR) AS level FROM apps" for c in CAT) + """)
+SELECT l.app_id, v.column_name || '_' || CAST(v.ordinal AS VARCHAR) AS feature, 1 AS value
+FROM long l JOIN vocab v ON v.column_name = l.column_name AND v.level = l.level WHERE v.ordinal > 0""")
+
+
+def _scale_cte(src: str = "sp") -> str:
+    return ", st AS (SELECT " + ", ".join(
+        f"avg(CAST({c} AS DOUBLE)) AS m_{c}, CASE WHEN stddev_pop(CAST({c} AS DOUBLE)) = 0 THEN 1.0 "
+        f"ELSE stddev_pop(CAST({c} AS DOUBLE)) END AS s_{c}" for c in NUM) + f" FROM {src} WHERE split = 'train')"
+
+
+ORACLE["f3_standard_scale"] = with_views(split_cte() + "\n" + _scale_cte() + "\nSELECT app_id, " + ", ".join(
+    f"round((CAST({c} AS DOUBLE) - m_{c}) / s_{c}, 6) AS {c}" for c in NUM) + " FROM sp, st")
+
+ORACLE["f4_interaction"] = with_views(
+    "SELECT app_id, round(CAST(n_lines AS DOUBLE) * max_discount, 6) AS n_lines_x_max_discount FROM apps")
+
+_DESIGN = (split_cte() + "\n" + _scale_cte() + vocab_cte("split = 'train'", src="sp") + f"""
+, widths AS (SELECT column_name, count(*) - 1 AS w, CASE column_name {CAT_POS} END AS cpos FROM vocab GROUP BY column_name),
+offs AS (SELECT column_name, {len(NUM)} + coalesce(sum(w) OVER (ORDER BY cpos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS base
+         FROM widths),
+num AS (""" + "\nUNION ALL ".join(
+    f"SELECT app_id, {i} AS feature_index, '{c}' AS feature, (CAST({c} AS DOUBLE) - m_{c}) / s_{c} AS value FROM sp, st"
+    for i, c in enumerate(NUM)) + """),
+cat_long AS (""" + "\nUNION ALL ".join(
+    f"SELECT app_id, '{c}' AS column_name, CAST({c} AS VARCHAR) AS level FROM sp" for c in CAT) + """),
+cat AS (SELECT l.app_id, CAST(o.base + v.ordinal - 1 AS INTEGER) AS feature_index,
+               v.column_name || '_' || CAST(v.ordinal AS VARCHAR) AS feature, 1.0 AS value
+        FROM cat_long l JOIN vocab v ON v.column_name = l.column_name AND v.level = l.level
+        JOIN offs o ON o.column_name = v.column_name WHERE v.ordinal > 0),
+design AS (SELECT * FROM num UNION ALL SELECT * FROM cat)""")
+
+ORACLE["f5_assemble"] = with_views(_DESIGN + """
+, dims AS (SELECT CAST(max(base) + 0 AS INTEGER) AS d FROM (SELECT base + w AS base FROM offs JOIN widths USING (column_name)))
+SELECT sp.app_id, (SELECT d FROM dims) AS n_features,
+       CAST(count(*) FILTER (WHERE value <> 0) AS INTEGER) AS n_nonzero,
+       round(sum(abs(value)), 4) AS l1_norm
+FROM sp JOIN design d ON d.app_id = sp.app_id GROUP BY sp.app_id""")
+
+ORACLE["f6_tree_prep"] = with_views(split_cte() + vocab_cte("split = 'train'", src="sp") + "\nSELECT app_id, " +
+                                    ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in NUM) + ",\n       " +
+                                    _ENC_COLS + " FROM sp a")
+
+ORACLE["f7_linear_prep"] = with_views(_DESIGN + """
+SELECT app_id, CAST(feature_index AS INTEGER) AS feature_index, feature, round(value, 6) AS value
+FROM design WHERE value <> 0""")
+
+ORACLE["f8_class_weights"] = with_views(split_cte() + """
+, tr AS (SELECT app_id, class FROM sp WHERE split = 'train'),
+cw AS (SELECT class, (SELECT count(*) FROM tr) / ((SELECT count(DISTINCT class) FROM tr) * count(*)) AS w FROM tr GROUP BY class)
+SELECT app_id, tr.class, round(w, 6) AS weight FROM tr JOIN cw USING (class)""")
