@@ -314,3 +314,5 @@ def _f8(spark, sf):
     train = split_apps(spark, sf).where(F.col("split") == "train")
     return ENC.with_class_weight(train.select("app_id", "class"), "class").select(
         "app_id", "class", F.round("weight", 6).alias("weight"))
+
+import riskframe.plans.q_metrics  # noqa: E402,F401  (registers M12/M13/V*)

@@ -312,3 +312,5 @@ ORACLE["f8_class_weights"] = with_views(split_cte() + """
 , tr AS (SELECT app_id, class FROM sp WHERE split = 'train'),
 cw AS (SELECT class, (SELECT count(*) FROM tr) / ((SELECT count(DISTINCT class) FROM tr) * count(*)) AS w FROM tr GROUP BY class)
 SELECT app_id, tr.class, round(w, 6) AS weight FROM tr JOIN cw USING (class)""")
+
+import riskframe.plans.o_metrics  # noqa: E402,F401  (registers M12/M13/V* twins)

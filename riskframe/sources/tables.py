@@ -101,15 +101,16 @@ def linear_score(apps: DataFrame) -> Column:
         - 3 * F.col("max_discount").cast("decimal(6,2)"), 4)
 
 
-def scored(spark: SparkSession, sf_dir: str, apps: DataFrame | None = None) -> DataFrame:
-    """Deterministic predictions ``(app_id, class, z, p, yhat, reg_pred)`` (FIXTURES.md §3)."""
+def scored(spark: SparkSession, sf_dir: str, apps: DataFrame | None = None, keep: tuple = ()) -> DataFrame:
+    """Deterministic predictions ``(app_id, class, z, p, yhat, reg_pred)`` (FIXTURES.md §3);
+    ``keep`` carries extra columns of ``apps`` (e.g. ``split``) through."""
     apps = apps if apps is not None else applications(spark, sf_dir)
     zd = linear_score(apps)
-    q = apps.select("app_id", "class", zd.alias("zd"))
+    q = apps.select("app_id", "class", *keep, zd.alias("zd"))
     zdouble = F.col("zd").cast("double")
     sig = 1 / (1 + F.exp(-zdouble))
     return q.select(
-        "app_id", "class",
+        "app_id", "class", *keep,
         zdouble.alias("z"),
         F.round(sig, 6).alias("p"),
         F.when(F.col("zd") > 0, 2).otherwise(1).alias("yhat"),
