@@ -316,3 +316,5 @@ def _f8(spark, sf):
         "app_id", "class", F.round("weight", 6).alias("weight"))
 
 import riskframe.plans.q_metrics  # noqa: E402,F401  (registers M12/M13/V*)
+
+import riskframe.plans.q_tune  # noqa: E402,F401  (registers G*)
