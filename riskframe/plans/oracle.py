@@ -316,3 +316,5 @@ SELECT app_id, tr.class, round(w, 6) AS weight FROM tr JOIN cw USING (class)""")
 import riskframe.plans.o_metrics  # noqa: E402,F401  (registers M12/M13/V* twins)
 
 import riskframe.plans.o_tune  # noqa: E402,F401  (registers G* twins)
+
+import riskframe.plans.o_runs  # noqa: E402,F401  (registers L* twins)
