@@ -320,3 +320,5 @@ import riskframe.plans.q_metrics  # noqa: E402,F401  (registers M12/M13/V*)
 import riskframe.plans.q_tune  # noqa: E402,F401  (registers G*)
 
 import riskframe.plans.q_runs  # noqa: E402,F401  (registers L*)
+
+import riskframe.plans.q_sources  # noqa: E402,F401  (registers S*)

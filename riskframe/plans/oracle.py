@@ -318,3 +318,5 @@ import riskframe.plans.o_metrics  # noqa: E402,F401  (registers M12/M13/V* twins
 import riskframe.plans.o_tune  # noqa: E402,F401  (registers G* twins)
 
 import riskframe.plans.o_runs  # noqa: E402,F401  (registers L* twins)
+
+import riskframe.plans.o_sources  # noqa: E402,F401  (registers S* twins)
