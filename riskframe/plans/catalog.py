@@ -322,3 +322,5 @@ import riskframe.plans.q_tune  # noqa: E402,F401  (registers G*)
 import riskframe.plans.q_runs  # noqa: E402,F401  (registers L*)
 
 import riskframe.plans.q_sources  # noqa: E402,F401  (registers S*)
+
+import riskframe.plans.q_neighbors  # noqa: E402,F401  (registers R*, L9)

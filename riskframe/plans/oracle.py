@@ -320,3 +320,5 @@ import riskframe.plans.o_tune  # noqa: E402,F401  (registers G* twins)
 import riskframe.plans.o_runs  # noqa: E402,F401  (registers L* twins)
 
 import riskframe.plans.o_sources  # noqa: E402,F401  (registers S* twins)
+
+import riskframe.plans.o_neighbors  # noqa: E402,F401  (registers R*, L9 twins)
