@@ -5,14 +5,15 @@ two passes over *distinct* vectors (copies are collapsed first with their
 multiplicity, so a group of identical rows holding a third of the data is
 one row):
 
-1. **Bound.**  Vectors are ranked along one coordinate (exact chunked
-   ranks); each is paired with the ``k`` vectors on either side of it in
-   that order - a bounded equi-join on position.  The distance at which
-   those candidates (plus the vector's own copies) reach ``k`` points is an
-   upper bound ``r`` on the true k-th neighbour distance.
+1. **Bound.**  Vectors are ranked (exact chunked ranks) by the Morton key
+   of their two widest coordinates; each is paired with the ``2k``
+   vectors on either side of it in that order - a bounded equi-join on
+   position.  The distance at which those candidates (plus the vector's
+   own copies) reach ``k`` points is an upper bound ``r`` on the true k-th
+   neighbour distance.
 2. **Exact.**  Any true neighbour lies within ``r`` in every coordinate,
-   so a band join on the ranking coordinate (bucketed, each vector
-   replicated to the buckets its band covers) finds all of them; distances
+   so a band join on a 2-D grid of those coordinates (each vector
+   replicated to the cells its box covers) finds all of them; distances
    are verified exactly and ranked by ``(distance, neighbour id)``.
 
 The result is exact regardless of the data; how much pass 2 prunes depends
@@ -64,42 +65,78 @@ def distinct_vectors(df: DataFrame, key: str, vec: str, group_cols: Sequence[str
     return points, vecs
 
 
-def _ranked_by_coordinate(vecs: DataFrame, g: list[str]) -> DataFrame:
-    v = vecs.withColumn("_p0", F.col("vec")[0]).withColumn("_one", F.lit(1).cast("long"))
-    return running_totals(v, g, ["_p0", "vid"], "_one").withColumnRenamed("_before", "_pos").drop("_one")
-
-
-def knn_vectors(vecs: DataFrame, k: int, group_cols: Sequence[str] = ()) -> DataFrame:
+def _spread_coordinates(vecs: DataFrame, m: int = 2) -> tuple[list[int], list[tuple[float, float]]]:
+    """The ``m`` coordinates with the largest population spread (and their
+    min / max): one aggregation over the exploded coordinates, d rows back."""
+    per = (vecs.select(F.posexplode("vec").alias("_j", "_v")).groupBy("_j")
+           .agg(F.stddev_pop("_v").alias("sd"), F.min("_v").alias("lo"), F.max("_v").alias("hi")).collect())
+    per = sorted(per, key=lambda r: (-(r["sd"] or 0.0), r["_j"]))[:m]
+    return [r["_j"] for r in per], [(r["lo"], r["hi"]) for r in per]
+
+
+def _z_order(coords: list[Column], ranges: list[tuple[float, float]], bits: int = 15) -> Column:
+    """Interleaved-bit (Morton) key of the coordinates quantised to
+    ``bits`` bits each: rows close in the key are close in every listed
+    coordinate, so a ring in this order gives tight neighbour bounds."""
+    top = (1 << bits) - 1
+    qs = []
+    for c, (lo, hi) in zip(coords, ranges):
+        span = (hi - lo) if hi is not None and lo is not None and hi > lo else 1.0
+        qs.append(F.least(F.greatest(F.floor((c - F.lit(lo or 0.0)) / span * top), F.lit(0)), F.lit(top)).cast("long"))
+    m = len(qs)
+    z = F.lit(0).cast("long")
+    for b in range(bits):
+        for i, q in enumerate(qs):
+            z = z.bitwiseOR(F.shiftleft(F.shiftright(q, b).bitwiseAND(F.lit(1)), b * m + (m - 1 - i)))
+    return z
+
+
+def knn_vectors(vecs: DataFrame, k: int, group_cols: Sequence[str] = (), ring: int | None = None) -> DataFrame:
     """R1 on distinct vectors: ``(group.., vid, rank, nn_vid, dist)`` with
     ranks 1..k; a neighbour vector with c copies fills up to c ranks, a
-    vector's own extra copies come first (distance 0)."""
+    vector's own extra copies come first (distance 0).
+
+    Pruning uses the two coordinates of largest spread: pass 1 rings over
+    their Morton order, pass 2 is a band join on a 2-D grid of them."""
     g = list(group_cols)
-    ranked = _ranked_by_coordinate(vecs, g)
-    # ---- pass 1: bounded candidates around each vector in coordinate order
-    offs = F.array(*[F.lit(o) for o in range(-k, k + 1) if o != 0])
+    ring = ring or 2 * k
+    dims, ranges = _spread_coordinates(vecs)
+    cs = [F.col("vec")[j] for j in dims]
+    v = (vecs.withColumn("_z", _z_order(cs, ranges)).withColumn("_one", F.lit(1).cast("long"))
+         .withColumn("_c0", cs[0]).withColumn("_c1", cs[-1]))
+    ranked = running_totals(v, g, ["_z", "vid"], "_one").withColumnRenamed("_before", "_pos").drop("_one")
+    # ---- pass 1: bounded candidates around each vector in Morton order
+    offs = F.array(*[F.lit(o) for o in range(-ring, ring + 1) if o != 0])
     probes = ranked.select(*g, "vid", "vec", "cnt", "_pos", "_total", F.explode(offs).alias("_o"))
     probes = probes.withColumn("_t", F.col("_pos") + F.col("_o")).where(
         (F.col("_t") >= 0) & (F.col("_t") < F.col("_total")))
     other = ranked.select(*g, F.col("_pos").alias("_t"), F.col("vid").alias("nn_vid"), F.col("vec").alias("nn_vec"),
                           F.col("cnt").alias("nn_cnt"))
     cand = probes.join(other, [*g, "_t"]).withColumn("dist", F.sqrt(sq_dist(F.col("vec"), F.col("nn_vec"))))
-    w = Window.partitionBy(*g, "vid").orderBy("dist", "nn_vid")          # <= 2k rows per vector
+    w = Window.partitionBy(*g, "vid").orderBy("dist", "nn_vid")          # <= 2 * ring rows per vector
     cand = cand.withColumn("_cum", F.col("cnt") - 1 + F.sum("nn_cnt").over(
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     bound = cand.where(F.col("_cum") >= k).groupBy(*g, "vid").agg(F.min("dist").alias("_r"))
     selfish = ranked.where(F.col("cnt") - 1 >= k).select(*g, "vid", F.lit(0.0).alias("_r"))
     bound = bound.join(selfish.select(*g, "vid"), [*g, "vid"], "left_anti").unionByName(selfish)
-    # ---- pass 2: exact band join on the ranking coordinate
+    # ---- pass 2: exact band join on a 2-D grid of the two coordinates
     st = bound.agg(F.percentile_approx("_r", 0.5).alias("med"), F.max("_r").alias("mx")).first()
     width = st["med"] if st["med"] and st["med"] > 0 else (st["mx"] if st["mx"] and st["mx"] > 0 else 1.0)
     base = ranked.join(bound, [*g, "vid"])
-    b_lo = F.floor((F.col("_p0") - F.col("_r")) / width).cast("long")
-    b_hi = F.floor((F.col("_p0") + F.col("_r")) / width).cast("long")
-    probe2 = base.select(*g, "vid", "vec", "cnt", "_p0", "_r", F.explode(F.sequence(b_lo, b_hi)).alias("_b"))
-    home = ranked.select(*g, F.floor(F.col("_p0") / width).cast("long").alias("_b"), F.col("vid").alias("nn_vid"),
-                         F.col("vec").alias("nn_vec"), F.col("cnt").alias("nn_cnt"), F.col("_p0").alias("_q0"))
-    pairs = (probe2.join(home, [*g, "_b"])
-             .where((F.col("nn_vid") != F.col("vid")) & (F.abs(F.col("_q0") - F.col("_p0")) <= F.col("_r")))
+
+    def cell(c):
+        return F.floor(c / width).cast("long")
+
+    def band(c):
+        return F.sequence(cell(c - F.col("_r")), cell(c + F.col("_r")))
+    probe2 = (base.select(*g, "vid", "vec", "_c0", "_c1", "_r", F.explode(band(F.col("_c0"))).alias("_b0"))
+              .select("*", F.explode(band(F.col("_c1"))).alias("_b1")))
+    home = ranked.select(*g, cell(F.col("_c0")).alias("_b0"), cell(F.col("_c1")).alias("_b1"),
+                         F.col("vid").alias("nn_vid"), F.col("vec").alias("nn_vec"), F.col("cnt").alias("nn_cnt"),
+                         F.col("_c0").alias("_q0"), F.col("_c1").alias("_q1"))
+    near = ((F.col("nn_vid") != F.col("vid")) & (F.abs(F.col("_q0") - F.col("_c0")) <= F.col("_r"))
+            & (F.abs(F.col("_q1") - F.col("_c1")) <= F.col("_r")))
+    pairs = (probe2.join(home, [*g, "_b0", "_b1"]).where(near)
              .withColumn("dist", F.sqrt(sq_dist(F.col("vec"), F.col("nn_vec"))))
              .where(F.col("dist") <= F.col("_r"))
              .select(*g, "vid", "nn_vid", "nn_cnt", "dist"))
