@@ -324,3 +324,5 @@ import riskframe.plans.q_runs  # noqa: E402,F401  (registers L*)
 import riskframe.plans.q_sources  # noqa: E402,F401  (registers S*)
 
 import riskframe.plans.q_neighbors  # noqa: E402,F401  (registers R*, L9)
+
+import riskframe.plans.q_models  # noqa: E402,F401  (registers M*, S6, S7, G2, G3, G11, L8)
