@@ -53,8 +53,8 @@ def relative_improvement(base, best, lower_is_better: bool = True, digits: int =
     base, best = as_col(base), as_col(best)
     gain = (base - best) if lower_is_better else (best - base)
     pct = F.round(F.try_divide(gain * 100.0, F.abs(base)), digits)
-    text = (F.when(pct > 0, F.format_string("%.2f%% better", pct))
-            .when(pct < 0, F.format_string("%.2f%% worse", F.abs(pct)))
+    text = (F.when(pct > 0, F.format_string(f"%.{digits}f%% better", pct))
+            .when(pct < 0, F.format_string(f"%.{digits}f%% worse", F.abs(pct)))
             .otherwise(F.lit("no change")))
     return pct, text
 

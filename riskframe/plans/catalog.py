@@ -115,7 +115,9 @@ from riskframe.operators import split as SPL  # noqa: E402
 from riskframe.sources.tables import read_table, scored  # noqa: E402
 
 SEED = 42
-UNSEEN_FIT = F.col("order_year") < "Y2000"      # FIXTURES "unseen level" fit set
+def unseen_fit():
+    """FIXTURES "unseen level" case: the vocabulary is fitted on these rows."""
+    return F.col("order_year") < "Y2000"
 
 
 def split_apps(spark, sf, raw: bool = False):
@@ -153,7 +155,7 @@ def _e3(spark, sf):
 @query("e4_membership")
 def _e4(spark, sf):
     a = applications(spark, sf, coalesce_lines=False)
-    learnt = a.where(UNSEEN_FIT).select("order_year").distinct()
+    learnt = a.where(unseen_fit()).select("order_year").distinct()
     return (a.where(F.col("priority").isin("1-URGENT", "2-HIGH") & F.col("n_lines").isNotNull())
             .join(learnt, "order_year", "left_semi")
             .select("app_id", "priority", "order_year", "n_lines"))
@@ -162,7 +164,7 @@ def _e4(spark, sf):
 @query("e4_unseen_levels")
 def _e4b(spark, sf):
     a = applications(spark, sf)
-    vocab = ENC.vocabulary(a.where(UNSEEN_FIT), CAT).select("column_name", "level")
+    vocab = ENC.vocabulary(a.where(unseen_fit()), CAT).select("column_name", "level")
     long = a.select(*CAT).unpivot([], CAT, "column_name", "level")
     return (long.join(vocab, ["column_name", "level"], "left_anti")
             .groupBy("column_name", "level").agg(F.count(F.lit(1)).alias("n_rows")))
@@ -259,7 +261,7 @@ def _sparse(df, key, cols):
 @query("f1_label_encode")
 def _f1(spark, sf):
     a = applications(spark, sf)
-    levels = ENC.collect_vocabulary(ENC.vocabulary(a.where(UNSEEN_FIT), CAT), CAT)
+    levels = ENC.collect_vocabulary(ENC.vocabulary(a.where(unseen_fit()), CAT), CAT)
     enc = ENC.label_encode_columns(levels)
     return a.select("app_id", *[enc[c].cast("int").alias(c) for c in CAT])
 
@@ -267,7 +269,7 @@ def _f1(spark, sf):
 @query("f2_one_hot_drop_first")
 def _f2(spark, sf):
     a = applications(spark, sf)
-    levels = ENC.collect_vocabulary(ENC.vocabulary(a.where(UNSEEN_FIT), CAT), CAT)
+    levels = ENC.collect_vocabulary(ENC.vocabulary(a.where(unseen_fit()), CAT), CAT)
     wide = a.select("app_id", *ENC.one_hot_columns(levels))
     return _sparse(wide, "app_id", [n for _, _, n in ENC.one_hot_names(levels)])
 

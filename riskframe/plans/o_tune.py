@@ -132,3 +132,30 @@ ORACLE["g14_winner_per_metric"] = with_views(CV + """
            SELECT model, 'precision', mean_precision FROM summary UNION ALL SELECT model, 'recall', mean_recall FROM summary
            UNION ALL SELECT model, 'f1', mean_f1 FROM summary UNION ALL SELECT model, 'roc_auc', mean_roc_auc FROM summary)
 SELECT model, metric, mean FROM long QUALIFY row_number() OVER (PARTITION BY metric ORDER BY mean DESC, model) = 1""")
+
+ORACLE["e6_round_metrics"] = with_views("""
+, m AS (SELECT config_id, count(*) AS n,
+       count(*) FILTER (WHERE class = 2 AND yhat = 2) AS tp, count(*) FILTER (WHERE class <> 2 AND yhat = 2) AS fp,
+       count(*) FILTER (WHERE class = 2 AND yhat <> 2) AS fn, count(*) FILTER (WHERE class <> 2 AND yhat <> 2) AS tn,
+       count(*) FILTER (WHERE class = yhat) AS ok FROM models GROUP BY config_id),
+f AS (SELECT *, coalesce(2 * tp / nullif(CAST(2 * tp + fp + fn AS DOUBLE), 0), 0.0) AS f2,
+             coalesce(2 * tn / nullif(CAST(2 * tn + fn + fp AS DOUBLE), 0), 0.0) AS f1 FROM m)
+SELECT config_id, n, tp, fp, fn, tn, round(round(ok / CAST(n AS DOUBLE), 12), 4) AS accuracy,
+       round(round(coalesce(tp / nullif(CAST(tp + fp AS DOUBLE), 0), 0.0), 12), 4) AS precision_pos2,
+       round(round(coalesce(tp / nullif(CAST(tp + fn AS DOUBLE), 0), 0.0), 12), 4) AS recall_pos2,
+       round(round(f2, 12), 4) AS f1_pos2, round(round(f1, 12), 4) AS f1_pos1,
+       round(round(coalesce((f2 * (tp + fn) + f1 * (tn + fp)) / nullif(CAST(n AS DOUBLE), 0), 0.0), 12), 4) AS f1_weighted
+FROM f""", models=8)
+
+ORACLE["e7_relative_improvement"] = with_views(RESULTS + """
+, b AS (SELECT """ + ", ".join(
+    f"max({m}) FILTER (WHERE threshold = 0.5 AND w_bal = 10 AND w_qty = '0.02' AND discount = 'on') AS base_{m}, "
+    f"max({m}) AS best_{m}" for m in ("val_accuracy", "val_f1", "val_roc_auc")) + """ FROM res),
+l AS (""" + " UNION ALL ".join(
+    f"SELECT '{m}' AS metric, base_{m} AS base, best_{m} AS best, "
+    f"round((best_{m} - base_{m}) * 100.0 / nullif(abs(base_{m}), 0), 4) AS pct_change FROM b"
+    for m in ("val_accuracy", "val_f1", "val_roc_auc")) + """)
+SELECT metric, base, best, pct_change,
+       CASE WHEN pct_change > 0 THEN printf('%.4f%% better', pct_change)
+            WHEN pct_change < 0 THEN printf('%.4f%% worse', abs(pct_change)) ELSE 'no change' END AS verdict
+FROM l""")

@@ -176,3 +176,34 @@ def _g14(spark, sf):
         ["model"], CV_METRICS, "metric", "mean")
     return G.winner_per_metric(long)
 
+
+
+# ---------------------------------------------------------------- E6 / E7 on the grid results
+from riskframe.functions import exprs as X  # noqa: E402
+
+# The reference configuration the tuned grid is compared with.
+BASELINE_CONFIG = {"threshold": 0.5, "w_bal": 10, "w_qty": "0.02", "discount": "on"}
+
+
+@query("e6_round_metrics")
+def _e6(spark, sf):
+    from riskframe.sources.tables import scored_models
+    m = V.classification_metrics(scored_models(spark, sf, n_models=8), group_cols=["config_id"], digits=12)
+    return X.round_all(m, 4)
+
+
+@query("e7_relative_improvement")
+def _e7(spark, sf):
+    res = grid_results(spark, sf)
+    is_base = F.lit(True)
+    for k, v in BASELINE_CONFIG.items():
+        is_base = is_base & (F.col(k) == F.lit(v))
+    metrics = ["val_accuracy", "val_f1", "val_roc_auc"]
+    agg = res.agg(*[F.max(F.when(is_base, F.col(m))).alias(f"base_{m}") for m in metrics],
+                  *[F.max(m).alias(f"best_{m}") for m in metrics])
+    rows = []
+    for m in metrics:
+        pct, text = X.relative_improvement(F.col(f"base_{m}"), F.col(f"best_{m}"), lower_is_better=False)
+        rows.append(F.struct(F.lit(m).alias("metric"), F.col(f"base_{m}").alias("base"),
+                             F.col(f"best_{m}").alias("best"), pct.alias("pct_change"), text.alias("verdict")))
+    return agg.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
