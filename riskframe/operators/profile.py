@@ -159,23 +159,36 @@ def boxplot_by_class(df: DataFrame, cols: Sequence[str], roles: Roles = APPLICAT
                       r(F.col("median") - notch, "notch_lo"), r(F.col("median") + notch, "notch_hi"))
 
 
+def _varying(df: DataFrame, cols: Sequence[str]) -> set[str]:
+    """Columns with non-zero population variance (one small aggregation).
+
+    ``corr`` divides by the standard deviations and raises under ANSI when
+    one is zero, so pairs involving a constant column are answered with
+    NULL without evaluating ``corr`` at all."""
+    row = df.agg(*[F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(cols)]).first()
+    return {c for i, c in enumerate(cols) if row[f"s{i}"] is not None and row[f"s{i}"] > 0}
+
+
 def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
     """Pearson r for every ordered pair from one aggregation (each
     unordered pair computed once); diagonal is 1, zero variance gives NULL."""
     cols = list(cols)
+    ok = _varying(df, cols)
     x = {c: F.col(c).cast("double") for c in cols}
-    pair_alias = {(a, b): f"r{i}_{j}" for i, a in enumerate(cols) for j, b in enumerate(cols) if i < j}
-    sd_alias = {a: f"sd{i}" for i, a in enumerate(cols)}
-    wide = df.agg(*[F.corr(x[a], x[b]).alias(n) for (a, b), n in pair_alias.items()],
-                  *[F.stddev_pop(x[a]).alias(n) for a, n in sd_alias.items()])
+    pair_alias = {(a, b): f"r{i}_{j}" for i, a in enumerate(cols) for j, b in enumerate(cols)
+                  if i < j and a in ok and b in ok}
+    aggs = [F.corr(x[a], x[b]).alias(n) for (a, b), n in pair_alias.items()] or [F.count(F.lit(1)).alias("_n")]
+    wide = df.agg(*aggs)
     cells = []
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
             if i == j:
-                r = F.when(F.col(sd_alias[a]) > 0, F.lit(1.0))
-            else:
+                r = F.lit(1.0) if a in ok else F.lit(None)
+            elif (a, b) in pair_alias or (b, a) in pair_alias:
                 r = F.col(pair_alias[(a, b) if i < j else (b, a)])
                 r = F.when(F.isnan(r), F.lit(None)).otherwise(r)
+            else:
+                r = F.lit(None)
             cells.append(F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), r.cast("double").alias("r")))
     return (wide.select(F.explode(F.array(*cells)).alias("c"))
             .select("c.x", "c.y", F.round("c.r", digits).alias("r")))
@@ -192,7 +205,9 @@ def target_correlation_ranking(df: DataFrame, cols: Sequence[str], roles: Roles
                                digits: int = 6) -> DataFrame:
     """r(feature, target) ordered by |r| descending."""
     y = F.col(roles.label).cast("double")
-    wide = df.agg(*[F.corr(F.col(c).cast("double"), y).alias(c) for c in cols])
+    ok = _varying(df, [*cols, roles.label])
+    wide = df.agg(*[(F.corr(F.col(c).cast("double"), y) if c in ok and roles.label in ok
+                     else F.lit(None).cast("double")).alias(c) for c in cols])
     long = wide.unpivot([], list(cols), "feature", "r")
     r = F.when(F.isnan("r"), F.lit(None)).otherwise(F.col("r"))
     long = long.select("feature", F.round(r, digits).alias("r"))

@@ -108,12 +108,17 @@ def scan_tracking_store(spark: SparkSession, root: str) -> DataFrame:
     ``wholetext`` + the file path from ``_metadata``; parsing is regex.
     """
     root = root.rstrip("/")
-    files = (spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(root)
+    files = (spark.read.text(root, wholetext=True, recursiveFileLookup=True)
              .select(F.col("value").alias("body"), F.col("_metadata.file_path").alias("path")))
-    rel = F.regexp_extract("path", r"([^/]+)/([^/]+)/(meta\.yaml|params/[^/]+|tags/[^/]+|metrics/[^/]+)$", 0)
+    import re
+    bare = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:/+", "/", root)         # scheme-less form of the root
+    rel = F.regexp_extract("path", re.escape(bare.rstrip("/")) + r"/(.*)$", 1)
     parts = F.split(rel, "/")
-    f = files.select("body", parts.getItem(0).alias("experiment"), parts.getItem(1).alias("run_id"),
-                     parts.getItem(2).alias("kind"), parts.getItem(3).alias("key")).where(F.col("kind") != "")
+    kind = F.when(F.size(parts).isin(3, 4), F.get(parts, 2))
+    f = files.select("body", F.get(parts, 0).alias("experiment"), F.get(parts, 1).alias("run_id"),
+                     kind.alias("kind"), F.when(F.size(parts) == 4, F.get(parts, 3)).alias("key"))
+    f = f.where(((F.col("kind") == "meta.yaml") & F.col("key").isNull())
+                | (F.col("kind").isin("params", "tags", "metrics") & F.col("key").isNotNull()))
     meta = f.where(F.col("kind") == "meta.yaml")
     def field(name):  # noqa: E306
         return F.regexp_extract("body", rf"(?m)^{name}:\s*(.*?)\s*$", 1)
@@ -129,9 +134,10 @@ def scan_tracking_store(spark: SparkSession, root: str) -> DataFrame:
     lines = (f.where(F.col("kind") == "metrics")
              .select("experiment", "run_id", "key", F.explode(F.split(F.trim("body"), r"\n")).alias("line"))
              .select("experiment", "run_id", "key", F.split(F.trim("line"), r"\s+").alias("t")))
-    pts = lines.select("experiment", "run_id", "key", F.col("t")[0].try_cast("bigint").alias("ts"),
-                       F.col("t")[1].try_cast("double").alias("value"),
-                       F.coalesce(F.col("t")[2].try_cast("bigint"), F.lit(0)).alias("step"))
+    t = F.col("t")
+    pts = lines.select("experiment", "run_id", "key", F.get(t, 0).try_cast("bigint").alias("ts"),
+                       F.get(t, 1).try_cast("double").alias("value"),
+                       F.coalesce(F.get(t, 2).try_cast("bigint"), F.lit(0)).alias("step")).where(F.col("value").isNotNull())
     last = pts.groupBy("experiment", "run_id", "key").agg(
         F.max(F.struct("step", "ts", "value")).alias("_l"))
     mets = last.groupBy("experiment", "run_id").agg(
