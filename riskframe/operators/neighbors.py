@@ -6,13 +6,13 @@ multiplicity, so a group of identical rows holding a third of the data is
 one row):
 
 1. **Bound.**  Vectors are ranked (exact chunked ranks) by the Morton key
-   of their two widest coordinates; each is paired with the ``2k``
+   of their widest coordinates (up to 8); each is paired with the ``2k``
    vectors on either side of it in that order - a bounded equi-join on
    position.  The distance at which those candidates (plus the vector's
    own copies) reach ``k`` points is an upper bound ``r`` on the true k-th
    neighbour distance.
 2. **Exact.**  Any true neighbour lies within ``r`` in every coordinate,
-   so a band join on a 2-D grid of those coordinates (each vector
+   so a band join on a grid of the 3 widest coordinates (each vector
    replicated to the cells its box covers) finds all of them; distances
    are verified exactly and ranked by ``(distance, neighbour id)``.
 
@@ -38,13 +38,35 @@ from riskframe.functions.ranking import hash_positions, running_totals
 from riskframe.session import checkpoint
 
 
-def sq_dist(a: Column, b: Column) -> Column:
-    """Squared Euclidean distance of two equal-length arrays (left fold)."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, v: acc + v)
+def sq_dist(a: Column, b: Column, dim: int | None = None) -> Column:
+    """Squared Euclidean distance of two equal-length arrays, summed left to
+    right.  With a known ``dim`` it is a flat element-wise expression, which
+    whole-stage codegen compiles (higher-order array functions run
+    interpreted); both forms add in the same order, so results are equal."""
+    if dim is None:
+        return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, v: acc + v)
+    acc = F.lit(0.0)
+    for i in range(dim):
+        d = a[i] - b[i]
+        acc = acc + d * d
+    return acc
 
 
-def dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, v: acc + v)
+def dot(a: Column, b: Column, dim: int | None = None) -> Column:
+    if dim is None:
+        return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, v: acc + v)
+    acc = F.lit(0.0)
+    for i in range(dim):
+        acc = acc + a[i] * b[i]
+    return acc
+
+
+def vector_dim(df: DataFrame, vec: str) -> int:
+    """The common length of an array column (error if lengths differ)."""
+    r = df.agg(F.min(F.size(vec)).alias("lo"), F.max(F.size(vec)).alias("hi")).first()
+    if r["lo"] != r["hi"]:
+        raise ValueError(f"{vec} holds arrays of different lengths ({r['lo']}..{r['hi']})")
+    return int(r["hi"] or 0)
 
 
 def unit(vec: Column) -> Column:
@@ -65,16 +87,18 @@ def distinct_vectors(df: DataFrame, key: str, vec: str, group_cols: Sequence[str
     return points, vecs
 
 
-def _spread_coordinates(vecs: DataFrame, m: int = 2) -> tuple[list[int], list[tuple[float, float]]]:
+def _spread_coordinates(vecs: DataFrame, m: int = 2) -> tuple[list[int], list[tuple[float, float]], int]:
     """The ``m`` coordinates with the largest population spread (and their
-    min / max): one aggregation over the exploded coordinates, d rows back."""
+    min / max), plus the dimension: one aggregation over the exploded
+    coordinates, d rows back."""
     per = (vecs.select(F.posexplode("vec").alias("_j", "_v")).groupBy("_j")
            .agg(F.stddev_pop("_v").alias("sd"), F.min("_v").alias("lo"), F.max("_v").alias("hi")).collect())
+    dim = len(per)
     per = sorted(per, key=lambda r: (-(r["sd"] or 0.0), r["_j"]))[:m]
-    return [r["_j"] for r in per], [(r["lo"], r["hi"]) for r in per]
+    return [r["_j"] for r in per], [(r["lo"], r["hi"]) for r in per], dim
 
 
-def _z_order(coords: list[Column], ranges: list[tuple[float, float]], bits: int = 15) -> Column:
+def _z_order(coords: list[Column], ranges: list[tuple[float, float]], bits: int) -> Column:
     """Interleaved-bit (Morton) key of the coordinates quantised to
     ``bits`` bits each: rows close in the key are close in every listed
     coordinate, so a ring in this order gives tight neighbour bounds."""
@@ -91,19 +115,26 @@ def _z_order(coords: list[Column], ranges: list[tuple[float, float]], bits: int
     return z
 
 
+ORDER_DIMS = 8      # coordinates interleaved in the Morton key (pass 1)
+GRID_DIMS = 3       # coordinates of the band grid (pass 2)
+
+
 def knn_vectors(vecs: DataFrame, k: int, group_cols: Sequence[str] = (), ring: int | None = None) -> DataFrame:
     """R1 on distinct vectors: ``(group.., vid, rank, nn_vid, dist)`` with
     ranks 1..k; a neighbour vector with c copies fills up to c ranks, a
     vector's own extra copies come first (distance 0).
 
-    Pruning uses the two coordinates of largest spread: pass 1 rings over
-    their Morton order, pass 2 is a band join on a 2-D grid of them."""
+    Pass 1 rings over the Morton order of the widest coordinates (up to 8);
+    pass 2 is a band join on a grid of the 3 widest coordinates."""
     g = list(group_cols)
     ring = ring or 2 * k
-    dims, ranges = _spread_coordinates(vecs)
-    cs = [F.col("vec")[j] for j in dims]
-    v = (vecs.withColumn("_z", _z_order(cs, ranges)).withColumn("_one", F.lit(1).cast("long"))
-         .withColumn("_c0", cs[0]).withColumn("_c1", cs[-1]))
+    dims, ranges, dim = _spread_coordinates(vecs, ORDER_DIMS)
+    bits = max(1, min(15, 63 // max(1, len(dims))))
+    v = (vecs.withColumn("_z", _z_order([F.col("vec")[j] for j in dims], ranges, bits))
+         .withColumn("_one", F.lit(1).cast("long")))
+    gdims = dims[:GRID_DIMS]
+    for i, j in enumerate(gdims):
+        v = v.withColumn(f"_c{i}", F.col("vec")[j])
     ranked = running_totals(v, g, ["_z", "vid"], "_one").withColumnRenamed("_before", "_pos").drop("_one")
     # ---- pass 1: bounded candidates around each vector in Morton order
     offs = F.array(*[F.lit(o) for o in range(-ring, ring + 1) if o != 0])
@@ -112,32 +143,33 @@ def knn_vectors(vecs: DataFrame, k: int, group_cols: Sequence[str] = (), ring: i
         (F.col("_t") >= 0) & (F.col("_t") < F.col("_total")))
     other = ranked.select(*g, F.col("_pos").alias("_t"), F.col("vid").alias("nn_vid"), F.col("vec").alias("nn_vec"),
                           F.col("cnt").alias("nn_cnt"))
-    cand = probes.join(other, [*g, "_t"]).withColumn("dist", F.sqrt(sq_dist(F.col("vec"), F.col("nn_vec"))))
+    cand = probes.join(other, [*g, "_t"]).withColumn("dist", F.sqrt(sq_dist(F.col("vec"), F.col("nn_vec"), dim)))
     w = Window.partitionBy(*g, "vid").orderBy("dist", "nn_vid")          # <= 2 * ring rows per vector
     cand = cand.withColumn("_cum", F.col("cnt") - 1 + F.sum("nn_cnt").over(
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     bound = cand.where(F.col("_cum") >= k).groupBy(*g, "vid").agg(F.min("dist").alias("_r"))
     selfish = ranked.where(F.col("cnt") - 1 >= k).select(*g, "vid", F.lit(0.0).alias("_r"))
     bound = bound.join(selfish.select(*g, "vid"), [*g, "vid"], "left_anti").unionByName(selfish)
-    # ---- pass 2: exact band join on a 2-D grid of the two coordinates
+    # ---- pass 2: exact band join on a grid of the widest coordinates
     st = bound.agg(F.percentile_approx("_r", 0.5).alias("med"), F.max("_r").alias("mx")).first()
     width = st["med"] if st["med"] and st["med"] > 0 else (st["mx"] if st["mx"] and st["mx"] > 0 else 1.0)
     base = ranked.join(bound, [*g, "vid"])
 
     def cell(c):
         return F.floor(c / width).cast("long")
-
-    def band(c):
-        return F.sequence(cell(c - F.col("_r")), cell(c + F.col("_r")))
-    probe2 = (base.select(*g, "vid", "vec", "_c0", "_c1", "_r", F.explode(band(F.col("_c0"))).alias("_b0"))
-              .select("*", F.explode(band(F.col("_c1"))).alias("_b1")))
-    home = ranked.select(*g, cell(F.col("_c0")).alias("_b0"), cell(F.col("_c1")).alias("_b1"),
+    cells = [f"_b{i}" for i in range(len(gdims))]
+    probe2 = base.select(*g, "vid", "vec", "_r", *[f"_c{i}" for i in range(len(gdims))])
+    for i in range(len(gdims)):
+        c = F.col(f"_c{i}")
+        probe2 = probe2.select("*", F.explode(F.sequence(cell(c - F.col("_r")), cell(c + F.col("_r")))).alias(f"_b{i}"))
+    home = ranked.select(*g, *[cell(F.col(f"_c{i}")).alias(f"_b{i}") for i in range(len(gdims))],
                          F.col("vid").alias("nn_vid"), F.col("vec").alias("nn_vec"), F.col("cnt").alias("nn_cnt"),
-                         F.col("_c0").alias("_q0"), F.col("_c1").alias("_q1"))
-    near = ((F.col("nn_vid") != F.col("vid")) & (F.abs(F.col("_q0") - F.col("_c0")) <= F.col("_r"))
-            & (F.abs(F.col("_q1") - F.col("_c1")) <= F.col("_r")))
-    pairs = (probe2.join(home, [*g, "_b0", "_b1"]).where(near)
-             .withColumn("dist", F.sqrt(sq_dist(F.col("vec"), F.col("nn_vec"))))
+                         *[F.col(f"_c{i}").alias(f"_q{i}") for i in range(len(gdims))])
+    near = F.col("nn_vid") != F.col("vid")
+    for i in range(len(gdims)):
+        near = near & (F.abs(F.col(f"_q{i}") - F.col(f"_c{i}")) <= F.col("_r"))
+    pairs = (probe2.join(home, [*g, *cells]).where(near)
+             .withColumn("dist", F.sqrt(sq_dist(F.col("vec"), F.col("nn_vec"), dim)))
              .where(F.col("dist") <= F.col("_r"))
              .select(*g, "vid", "nn_vid", "nn_cnt", "dist"))
     copies = vecs.where(F.col("cnt") > 1).select(*g, "vid", F.col("vid").alias("nn_vid"),
@@ -216,13 +248,14 @@ def similar_pairs(left: DataFrame, right: DataFrame, key: str, vec: str, thresho
         raise ValueError("threshold below -1 matches every pair; use a full scan instead")
     r = (2.0 - 2.0 * threshold) ** 0.5 if threshold < 1 else 0.0
     width = r if r > 0 else 1.0
+    dim = vector_dim(left.select(vec).unionByName(right.select(vec)), vec)
     lu = left.select(F.col(key).alias("left_key"), unit(F.col(vec).cast("array<double>")).alias("_a"))
     ru = right.select(F.col(key).alias("right_key"), unit(F.col(vec).cast("array<double>")).alias("_b"))
     lo = F.floor((F.col("_a")[0] - F.lit(r)) / width).cast("long")
     hi = F.floor((F.col("_a")[0] + F.lit(r)) / width).cast("long")
     probes = lu.select("left_key", "_a", F.explode(F.sequence(lo, hi)).alias("_bk"))
     home = ru.select("right_key", "_b", F.floor(F.col("_b")[0] / width).cast("long").alias("_bk"))
-    sim = dot(F.col("_a"), F.col("_b"))
+    sim = dot(F.col("_a"), F.col("_b"), dim)
     return (probes.join(home, "_bk")
             .where(F.abs(F.col("_a")[0] - F.col("_b")[0]) <= F.lit(r))
             .select("left_key", "right_key", sim.alias("similarity"))
