@@ -35,16 +35,35 @@ def _offsets(sizes: DataFrame, group_cols: Sequence[str], size_col: str) -> Data
             .drop(size_col))
 
 
+TARGET_CHUNK_ROWS = 2_000_000
+
+
+def chunk_bits_for(df: DataFrame, group_cols: Sequence[str], lo: int = 6, hi: int = 20) -> int:
+    """Bits of the md5 draw used as chunk id, so that the largest group
+    splits into chunks of about ``TARGET_CHUNK_ROWS`` rows (one count job)."""
+    import math
+    g = list(group_cols)
+    counts = df.groupBy(*g).count() if g else df.groupBy().count()
+    n = counts.agg(F.max("count")).first()[0] or 0
+    need = math.ceil(math.log2(max(n, 1) / TARGET_CHUNK_ROWS)) if n > TARGET_CHUNK_ROWS else 0
+    return max(lo, min(hi, need))
+
+
 def hash_positions(df: DataFrame, group_cols: Sequence[str], key_col: str, seed: int | str,
-                   chunk_bits: int = 10) -> DataFrame:
+                   chunk_bits: int | None = None) -> DataFrame:
     """Add ``_h`` (md5 draw), ``_pos`` (0-based rank in ``(_h, key)`` order
     within ``group_cols``) and ``_total`` (group size).
 
     Chunks are the top ``chunk_bits`` bits of the draw, so chunk order is the
     global order and chunks are balanced by construction - no sampling, no
-    checkpoint.  Equals ``row_number() over (partition by g order by _h, key) - 1``.
+    checkpoint.  By default the bit count grows with the largest group
+    (chunks of ~2M rows), so a class holding a third of the data is ranked
+    by thousands of tasks.  Equals
+    ``row_number() over (partition by g order by _h, key) - 1``.
     """
     group_cols = list(group_cols)
+    if chunk_bits is None:
+        chunk_bits = chunk_bits_for(df, group_cols)
     d = (df.withColumn("_h", hash32(key_col, seed=seed))
          .withColumn("_chunk", F.shiftright(F.col("_h"), 32 - chunk_bits).cast("int")))
     sizes = d.groupBy(*group_cols, "_chunk").agg(F.count(F.lit(1)).alias("_cn"))
