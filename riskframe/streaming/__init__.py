@@ -1,0 +1,3 @@
+"""Intentionally empty: every entry point of the reference is a one-shot
+batch job (no stream, watermark or state), so no streaming operator is
+built (SURVEY §2.11)."""
