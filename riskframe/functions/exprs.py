@@ -80,4 +80,8 @@ def epoch_ms_to_ts(ms) -> Column:
 
 
 def ts_to_epoch_ms(ts) -> Column:
-    return F.unix_millis(as_col(ts).cast("timestamp"))
+    """Wall-clock TIMESTAMP_NTZ -> epoch milliseconds (floor), independent of
+    the session time zone (microseconds since the NTZ epoch, then // 1000)."""
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
+                              as_col(ts).cast("timestamp_ntz"))
+    return F.floor(micros / 1000).cast("long")

@@ -203,37 +203,71 @@ def knn(df: DataFrame, key: str, vec: str, k: int = 5, group_cols: Sequence[str]
 
 
 def smote(df: DataFrame, key: str, vec: str, label: str, k: int = 5, seed: int = 42,
-          minority: object | None = None) -> DataFrame:
-    """R2: add ``n_major - n_minor`` synthetic minority rows
-    ``x + g (nn - x)``, base row, neighbour rank (1..k) and gap g in [0, 1)
-    drawn from md5 of (synthetic id, seed).  Returns the input rows plus the
-    synthetic ones (``synthetic`` flag, ``syn_id``, ``base_key``,
-    ``nn_key``)."""
-    df = checkpoint(df.select(key, label, F.col(vec).cast("array<double>").alias(vec)))   # read by 4 jobs
-    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
-    if minority is None:
-        minority = min(counts, key=lambda c: (counts[c], str(c)))
-    n_min = counts[minority]
-    n_syn = max(counts.values()) - n_min
-    mino = df.where(F.col(label) == minority).select(key, vec)
-    neigh = knn(mino, key, vec, k)
-    pos = hash_positions(mino, [], key, seed=f"smote{seed}").select(key, vec, F.col("_pos").alias("_bp"))
+          minority: object | None = None, group_cols: Sequence[str] = ()) -> DataFrame:
+    """Per group, add ``n_major - n_minor`` synthetic minority rows
+    ``x + g (nn - x)``; base row, neighbour rank (1..k) and gap g in [0, 1)
+    are md5 draws of (group, synthetic id, seed).  Returns the input rows
+    plus the synthetic ones (``synthetic`` flag, ``syn_id``, ``base_key``,
+    ``nn_key``).
+
+    All groups run in one plan: k-NN is grouped, minority positions are
+    chunked ranks per group, and the synthetic ids are one ``range`` over
+    the total, mapped to (group, local id) by per-group offsets (a
+    groups-sized literal table)."""
+    g = list(group_cols)
+    df = checkpoint(df.select(*g, key, label, F.col(vec).cast("array<double>").alias(vec)))   # read by 4 jobs
+    counts = df.groupBy(*g, label).agg(F.count(F.lit(1)).alias("n")).collect()
+    per: dict[tuple, dict] = {}
+    for r in counts:
+        per.setdefault(tuple(r[c] for c in g), {})[r[label]] = r["n"]
+    plan = []                        # (group values, minority label, n_min, n_syn, offset)
+    offset = 0
+    for gk in sorted(per, key=repr):
+        c = per[gk]
+        mino_label = minority if minority is not None else min(c, key=lambda v: (c[v], str(v)))
+        n_syn = max(c.values()) - c.get(mino_label, 0)
+        plan.append((gk, mino_label, c.get(mino_label, 0), n_syn, offset))
+        offset += n_syn
     spark = df.sparkSession
-    syn = spark.range(n_syn).select(
-        F.col("id").alias("syn_id"),
-        F.floor(uniform("id", seed=f"base{seed}") * n_min).cast("long").alias("_bp"),
-        (F.floor(uniform("id", seed=f"rank{seed}") * k) + 1).cast("int").alias("rank"),
-        uniform("id", seed=f"gap{seed}").alias("gap"))
-    s = (syn.join(pos, "_bp").withColumnRenamed(key, "base_key")
-         .join(neigh.select(F.col(key).alias("base_key"), "rank", "nn_key"), ["base_key", "rank"]))
-    nn_vec = mino.select(F.col(key).alias("nn_key"), F.col(vec).alias("_nv"))
-    s = s.join(nn_vec, "nn_key")
+    ltype = df.schema[label].dataType.simpleString()
+    gschema = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in g)
+    info = spark.createDataFrame([(*gk, ml, nm, ns, off) for gk, ml, nm, ns, off in plan],
+                                 (gschema + ", " if g else "") + f"_ml {ltype}, _nmin long, _nsyn long, _off long")
+    # minority rows of each group (the info side has one row per group)
+    if g:
+        mino = (df.join(F.broadcast(info.select(*g, "_ml")), g)
+                .where(F.col(label) == F.col("_ml")).select(*g, key, vec))
+    else:
+        mino = df.where(F.col(label) == F.lit(plan[0][1] if plan else None)).select(key, vec)
+    neigh = knn(mino, key, vec, k, g)
+    pos = hash_positions(mino, g, key, seed=f"smote{seed}").select(*g, key, vec, F.col("_pos").alias("_bp"))
+    # synthetic ids: one range over all groups, mapped to a group by offsets
+    gidx = None
+    for i, (_, _, _, _, off) in enumerate(plan):
+        cond = F.col("id") >= F.lit(off)
+        gidx = F.when(cond, F.lit(i)) if gidx is None else F.when(cond, F.lit(i)).otherwise(gidx)
+    ids = spark.range(offset).withColumn("_gi", gidx if gidx is not None else F.lit(0))
+    gi_info = spark.createDataFrame([(i, *gk, nm, off) for i, (gk, _, nm, _, off) in enumerate(plan)],
+                                    "_gi int" + (", " + gschema if g else "") + ", _nmin long, _off long")
+    ids = ids.join(F.broadcast(gi_info), "_gi").withColumn("syn_id", F.col("id") - F.col("_off"))
+    draw_parts = [*g, "syn_id"]
+    syn = ids.select(*g, "syn_id",
+                     F.floor(uniform(*draw_parts, seed=f"base{seed}") * F.col("_nmin")).cast("long").alias("_bp"),
+                     (F.floor(uniform(*draw_parts, seed=f"rank{seed}") * k) + 1).cast("int").alias("rank"),
+                     uniform(*draw_parts, seed=f"gap{seed}").alias("gap"))
+    s = (syn.join(pos, [*g, "_bp"]).withColumnRenamed(key, "base_key")
+         .join(neigh.select(*g, F.col(key).alias("base_key"), "rank", "nn_key"), [*g, "base_key", "rank"]))
+    nn_vec = mino.select(*g, F.col(key).alias("nn_key"), F.col(vec).alias("_nv"))
+    if g:
+        s = s.join(nn_vec, [*g, "nn_key"]).join(F.broadcast(info.select(*g, "_ml")), g)
+    else:
+        s = s.join(nn_vec, "nn_key").withColumn("_ml", F.lit(plan[0][1] if plan else None))
     new = F.zip_with(F.col(vec), F.col("_nv"), lambda a, b: a + F.col("gap") * (b - a))
-    synth = s.select(F.lit(True).alias("synthetic"), "syn_id", "base_key", "nn_key", F.lit(None).cast(df.schema[key].dataType).alias(key),
-                     F.lit(minority).cast(df.schema[label].dataType).alias(label), new.alias(vec))
-    orig = df.select(F.lit(False).alias("synthetic"), F.lit(None).cast("long").alias("syn_id"),
-                     F.lit(None).cast(df.schema[key].dataType).alias("base_key"),
-                     F.lit(None).cast(df.schema[key].dataType).alias("nn_key"), key, label, vec)
+    ktype = df.schema[key].dataType
+    synth = s.select(*g, F.lit(True).alias("synthetic"), "syn_id", "base_key", "nn_key", F.lit(None).cast(ktype).alias(key),
+                     F.col("_ml").cast(df.schema[label].dataType).alias(label), new.alias(vec))
+    orig = df.select(*g, F.lit(False).alias("synthetic"), F.lit(None).cast("long").alias("syn_id"),
+                     F.lit(None).cast(ktype).alias("base_key"), F.lit(None).cast(ktype).alias("nn_key"), key, label, vec)
     return orig.unionByName(synth)
 
 

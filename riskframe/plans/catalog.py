@@ -113,6 +113,7 @@ from riskframe.functions import exprs as X  # noqa: E402
 from riskframe.operators import encode as ENC  # noqa: E402
 from riskframe.operators import split as SPL  # noqa: E402
 from riskframe.sources.tables import read_table, scored  # noqa: E402
+from riskframe.session import checkpoint  # noqa: E402
 
 SEED = 42
 def unseen_fit():
@@ -126,7 +127,7 @@ def split_apps(spark, sf, raw: bool = False):
 
 def train_prep(spark, sf):
     """(split frame, FittedPrep fitted on the train split)."""
-    sp = split_apps(spark, sf).cache()
+    sp = checkpoint(split_apps(spark, sf))      # read by the fit jobs and the query
     prep = ENC.FittedPrep.fit(sp.where(F.col("split") == "train"), NUM, CAT)
     return sp, prep
 

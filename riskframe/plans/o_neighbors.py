@@ -93,3 +93,36 @@ SELECT left_key AS test_id, right_key AS train_id, round(similarity, 6) AS simil
 FROM {_sims('test', 'train')} s WHERE similarity > 0.4"""
 ORACLE["l9_integrity"] = EMB + "\n" + _summary("test", 0.95).replace("AS threshold", "AS threshold, 'train-test' AS pair") + \
     "\nUNION ALL\n" + _summary("val", 0.95).replace("AS threshold", "AS threshold, 'train-val' AS pair")
+
+FOLD_SMOTE = split_cte() + f"""
+, pool AS (SELECT * FROM sp WHERE split IN ('train', 'val')),
+folds AS (SELECT *, CAST((row_number() OVER (PARTITION BY class ORDER BY {_hash('app_id', 'fold42')}, app_id) - 1) % 5
+                         AS INTEGER) AS fold FROM pool),
+fit AS (SELECT f.app_id, f.class, {XS} AS x, CAST(ff AS INTEGER) AS fit_fold
+        FROM folds f, range(0, 5) t(ff) WHERE ff <> f.fold),
+src AS (SELECT fit_fold AS grp, app_id AS key, x AS vec FROM fit WHERE class = 2)
+""" + knn_sql("src", 5) + f"""
+, cnt AS (SELECT fit_fold, count(*) FILTER (WHERE class = 2) AS n_min, count(*) FILTER (WHERE class <> 2) AS n_maj
+          FROM fit GROUP BY fit_fold),
+pos AS (SELECT grp, key, vec, row_number() OVER (PARTITION BY grp ORDER BY {_hash('key', 'smote42')}, key) - 1 AS bp FROM src),
+ids AS (SELECT fit_fold, n_min, unnest(range(0, n_maj - n_min)) AS syn_id FROM cnt),
+syn AS (SELECT fit_fold, syn_id,
+               CAST(floor(CAST(('0x' || substr(md5(CAST(fit_fold AS VARCHAR) || '|' || CAST(syn_id AS VARCHAR) || '|base42'), 1, 8)) AS BIGINT)
+                          / 4294967296.0 * n_min) AS BIGINT) AS bp,
+               CAST(floor(CAST(('0x' || substr(md5(CAST(fit_fold AS VARCHAR) || '|' || CAST(syn_id AS VARCHAR) || '|rank42'), 1, 8)) AS BIGINT)
+                          / 4294967296.0 * 5) + 1 AS INTEGER) AS rank,
+               CAST(('0x' || substr(md5(CAST(fit_fold AS VARCHAR) || '|' || CAST(syn_id AS VARCHAR) || '|gap42'), 1, 8)) AS BIGINT)
+                 / 4294967296.0 AS gap
+        FROM ids),
+s AS (SELECT syn.fit_fold, syn.syn_id, p.key AS base_key, nn.nn_key, syn.gap, p.vec AS x, v.vec AS nv
+      FROM syn JOIN pos p ON p.grp = syn.fit_fold AND p.bp = syn.bp
+      JOIN nn ON nn.grp = syn.fit_fold AND nn.key = p.key AND nn.rank = syn.rank
+      JOIN src v ON v.grp = syn.fit_fold AND v.key = nn.nn_key),
+allrows AS (SELECT fit_fold, false AS synthetic, NULL::BIGINT AS syn_id, NULL::BIGINT AS base_key, NULL::BIGINT AS nn_key,
+                   app_id, class, x FROM fit
+            UNION ALL
+            SELECT fit_fold, true, syn_id, base_key, nn_key, NULL::BIGINT, 2,
+                   list_transform(range(1, {NX} + 1), lambda i: x[i] + gap * (nv[i] - x[i])) FROM s)"""
+
+ORACLE["r4_smote_per_fold"] = with_views(FOLD_SMOTE + "\nSELECT fit_fold, synthetic, syn_id, base_key, nn_key, app_id, class, " +
+                                         ", ".join(f"round(x[{i + 1}], 9) AS x{i}" for i in range(NX)) + " FROM allrows")

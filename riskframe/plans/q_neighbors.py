@@ -8,6 +8,7 @@ from riskframe.operators import neighbors as N
 from riskframe.operators import profile as P
 from riskframe.operators import split as SPL
 from riskframe.plans.catalog import SEED, query, split_apps
+from riskframe.session import checkpoint
 from riskframe.sources.tables import read_table
 
 # Per-feature divisors putting the numeric roles on comparable
@@ -62,20 +63,16 @@ def _r3(spark, sf):
 
 @query("r4_smote_per_fold")
 def _r4(spark, sf):
-    """SMOTE on the fit part of each of 5 folds (train+val pool); one lazy
-    plan per fold, unioned (the fold count is a parameter)."""
+    """SMOTE on the fit part of each of 5 folds (train+val pool): every row
+    joins the 4 fit sets it belongs to, and one grouped SMOTE plan serves
+    all folds."""
     pool = SPL.pool(split_apps(spark, sf))
     folds = SPL.stratified_folds(pool, "app_id", "class", k=5, seed=SEED)
     x = F.array(*[F.col(c).cast("double") / F.lit(s) for c, s in SMOTE_SCALES.items()])
-    base = folds.select("app_id", "class", "fold", x.alias("x")).cache()
-    parts = []
-    for f in range(5):
-        fit = base.where(F.col("fold") != f).drop("fold")
-        parts.append(N.smote(fit, "app_id", "x", "class", k=K, seed=SEED).withColumn("fold", F.lit(f)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.groupBy("fold", "synthetic", "class").agg(F.count(F.lit(1)).alias("n"))
+    fits = F.filter(F.array(*[F.lit(f) for f in range(5)]), lambda f: f != F.col("fold"))
+    fit_rows = folds.select("app_id", "class", x.alias("x"), F.explode(fits).alias("fit_fold"))
+    out = N.smote(fit_rows, "app_id", "x", "class", k=K, seed=SEED, group_cols=["fit_fold"])
+    return _flat(out, len(SMOTE_SCALES))
 
 
 def _pairs(spark, sf, a, b):
