@@ -308,12 +308,14 @@ def leakage_report(test: DataFrame, train: DataFrame, key: str, vec: str, thresh
 
 def leakage_summary(test: DataFrame, train: DataFrame, key: str, vec: str, threshold: float = 0.95,
                     digits: int = 6) -> DataFrame:
-    """Rows on each side, test rows flagged (similarity > threshold)."""
+    """Rows on each side, test rows flagged (similarity > threshold) and
+    the best similarity among them - one aggregation over the tagged union
+    of the three inputs (no join)."""
     rep = leakage_report(test, train, key, vec, threshold, digits)
-    n_test = test.agg(F.count(F.lit(1)).alias("n_test"))
-    n_train = train.agg(F.count(F.lit(1)).alias("n_train"))
-    flagged = rep.agg(F.count(F.lit(1)).alias("n_flagged"), F.max("max_similarity").alias("max_similarity"))
-    one = F.lit(1)
-    return (n_test.withColumn("_j", one).join(n_train.withColumn("_j", one), "_j")
-            .join(flagged.withColumn("_j", one), "_j").drop("_j")
-            .withColumn("threshold", F.lit(float(threshold))))
+    tagged = (test.select(F.lit("test").alias("_side"), F.lit(None).cast("double").alias("_s"))
+              .unionByName(train.select(F.lit("train").alias("_side"), F.lit(None).cast("double").alias("_s")))
+              .unionByName(rep.select(F.lit("flag").alias("_side"), F.col("max_similarity").alias("_s"))))
+    return tagged.agg(F.count_if(F.col("_side") == "test").alias("n_test"),
+                      F.count_if(F.col("_side") == "train").alias("n_train"),
+                      F.count_if(F.col("_side") == "flag").alias("n_flagged"),
+                      F.max("_s").alias("max_similarity")).withColumn("threshold", F.lit(float(threshold)))

@@ -51,17 +51,20 @@ def assign_split(df: DataFrame, key: str, group_cols: Sequence[str] = (), seed:
                  test_size: float = 0.15, val_size: float = 0.15, col: str = "split") -> DataFrame:
     """T1 (stratified when ``group_cols`` = [label]) / T2 (no groups)."""
     group_cols = list(group_cols)
-    drop = []
-    if not group_cols:            # one group: rank over a constant key
-        df, group_cols, drop = df.withColumn("_all", F.lit(0)), ["_all"], ["_all"]
-    ranked = hash_positions(df, group_cols, key, seed)
-    # cuts has one row per group (class): Spark broadcasts it at runtime (AQE).
-    cuts = cut_counts(df, group_cols, test_size, val_size).select(*group_cols, "n_test", "n_val")
-    joined = ranked.join(cuts, group_cols)
+    if not group_cols:
+        # one group: the two cut counts are scalars, applied as literals
+        ranked = hash_positions(df.withColumn("_all", F.lit(0)), ["_all"], key, seed).drop("_all")
+        c = cut_counts(df, [], test_size, val_size).first()
+        n_test, n_val = F.lit(c["n_test"]), F.lit(c["n_val"])
+    else:
+        ranked = hash_positions(df, group_cols, key, seed)
+        # cuts has one row per group (class): Spark broadcasts it at runtime (AQE).
+        cuts = cut_counts(df, group_cols, test_size, val_size).select(*group_cols, "n_test", "n_val")
+        ranked = ranked.join(cuts, group_cols)
+        n_test, n_val = F.col("n_test"), F.col("n_val")
     pos = F.col("_pos")
-    split = (F.when(pos < F.col("n_test"), "test")
-             .when(pos < F.col("n_test") + F.col("n_val"), "val").otherwise("train"))
-    return joined.withColumn(col, split).drop("_h", "_pos", "_total", "n_test", "n_val", *drop)
+    split = F.when(pos < n_test, "test").when(pos < n_test + n_val, "val").otherwise("train")
+    return ranked.withColumn(col, split).drop("_h", "_pos", "_total", "n_test", "n_val")
 
 
 def stratified_split(df: DataFrame, key: str, label: str, seed: int = 42, test_size: float = 0.15,
