@@ -62,6 +62,25 @@ def label_encode(df: DataFrame, levels: dict[str, list[str]]) -> DataFrame:
     return df.select(*[exprs[c].alias(c) if c in exprs else F.col(c) for c in df.columns])
 
 
+def label_encode_fitted(df: DataFrame, vocab: DataFrame, cols: Sequence[str], max_inline: int = MAX_LEVELS) -> DataFrame:
+    """F1 with a size check per column: vocabularies up to ``max_inline``
+    levels are inlined as literal maps (no join); larger ones are joined
+    on the level (a shuffle join sized by the data, not by the driver).
+    Unseen or NULL levels get 0 either way."""
+    sizes = {r["column_name"]: r["n"] for r in
+             vocab.groupBy("column_name").agg(F.count(F.lit(1)).alias("n")).collect()}
+    small = [c for c in cols if sizes.get(c, 0) <= max_inline]
+    big = [c for c in cols if c not in small]
+    levels = collect_vocabulary(vocab.where(F.col("column_name").isin(small)), small, max_inline) if small else {}
+    out = label_encode(df, levels)
+    for c in big:
+        v = vocab.where(F.col("column_name") == c).select(F.col("level").alias(f"_lv_{c}"),
+                                                          F.col("ordinal").alias(f"_ord_{c}"))
+        out = (out.join(v, F.col(c).cast("string") == F.col(f"_lv_{c}"), "left")
+               .withColumn(c, F.coalesce(F.col(f"_ord_{c}"), F.lit(0))).drop(f"_lv_{c}", f"_ord_{c}"))
+    return out
+
+
 def one_hot_names(levels: dict[str, list[str]]) -> list[tuple[str, str, str]]:
     """``(column, level, feature_name)`` for every non-first level."""
     return [(c, lv, f"{c}_{i}") for c, lvs in levels.items() for i, lv in enumerate(lvs) if i > 0]

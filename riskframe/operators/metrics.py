@@ -75,6 +75,32 @@ def collect_coefficients(table: DataFrame, max_features: int = 100_000) -> tuple
     return {r["feature"]: r["weight"] for r in rows if r["feature"] != "(intercept)"}, b
 
 
+def score_by_join(df: DataFrame, key: str, coefs: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
+    """M12 for a coefficient table too large to inline: features go long
+    (``unpivot``), join the ``(feature, weight)`` table on ``feature`` (a
+    shuffle join - no size assumption on either side) and sum per row;
+    ``(key, z)`` with the intercept added.  Rows whose features are all
+    NULL keep the intercept."""
+    feats = list(features) if features is not None else [c for c in df.columns if c != key]
+    long = (df.select(key, *[F.col(c).cast("double").alias(c) for c in feats])
+            .unpivot([key], feats, "feature", "x").where(F.col("x").isNotNull() & (F.col("x") != 0)))
+    w = coefs.where(F.col("feature") != "(intercept)")
+    b = coefs.where(F.col("feature") == "(intercept)").agg(F.sum("weight")).first()[0] or 0.0   # one scalar
+    part = long.join(w, "feature").groupBy(key).agg(F.sum(F.col("x") * F.col("weight")).alias("_s"))
+    return (df.select(key).join(part, key, "left")
+            .select(key, (F.coalesce(F.col("_s"), F.lit(0.0)) + F.lit(float(b))).alias("z")))
+
+
+def score_linear(df: DataFrame, key: str, coefs: DataFrame, max_inline: int = 10_000) -> DataFrame:
+    """M12 with a size check: up to ``max_inline`` coefficients are applied
+    as one projection (no shuffle); beyond that the join form is used."""
+    n = coefs.count()
+    if n - 1 <= max_inline:
+        w, b = collect_coefficients(coefs, max_inline + 1)
+        return df.select(key, linear_score(w, b).alias("z"))
+    return score_by_join(df, key, coefs)
+
+
 def trend_line(df: DataFrame, y: str, x: str, group_cols: Sequence[str] = (), digits: int = 6) -> DataFrame:
     """Least-squares line ``y ~ a + b x`` (``polyfit(x, y, 1)``)."""
     return _agg(df, group_cols,

@@ -110,3 +110,14 @@ def test_permutation_importance_zero_for_unused_feature(spark):
     out = {r["feature"]: r for r in V.permutation_importance(df, "k", "y", {"a": 1, "b": 0}, -3.5, repeats=3).collect()}
     assert out["b"]["importance_mean"] == 0.0
     assert out["a"]["importance_mean"] > 0.2
+
+
+def test_linear_score_inline_equals_join(spark):
+    df = spark.range(50).select(F.col("id").alias("k"), (F.col("id") % 7).cast("double").alias("a"),
+                                (F.col("id") % 3).cast("double").alias("b"))
+    coefs = V.coefficient_table(spark, {"a": 0.5, "b": -2.0}, 1.25)
+    inline = {r["k"]: r["z"] for r in V.score_linear(df, "k", coefs).collect()}
+    joined = {r["k"]: r["z"] for r in V.score_linear(df, "k", coefs, max_inline=1).collect()}
+    assert inline.keys() == joined.keys()
+    assert all(abs(inline[k] - joined[k]) < 1e-12 for k in inline)
+    assert inline[3] == 1.25 + 0.5 * 3 - 2.0 * 0

@@ -66,3 +66,13 @@ def test_class_weights_balanced(spark):
     df = spark.createDataFrame([(1,)] * 6 + [(2,)] * 2, "y int")
     w = {r["y"]: r["weight"] for r in ENC.class_weights(df, "y").collect()}
     assert w == {1: 8 / (2 * 6), 2: 8 / (2 * 2)}
+
+
+def test_label_encode_join_path_equals_inline(spark):
+    train = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", "x")], "c1 string, c2 string")
+    df = spark.createDataFrame([(1, "b", "y"), (2, "z", "x"), (3, None, "q")], "k int, c1 string, c2 string")
+    vocab = ENC.vocabulary(train, ["c1", "c2"])
+    inline = sorted(tuple(r) for r in ENC.label_encode_fitted(df, vocab, ["c1", "c2"]).collect())
+    joined = sorted(tuple(r) for r in ENC.label_encode_fitted(df, vocab, ["c1", "c2"], max_inline=1)
+                    .select("k", "c1", "c2").collect())
+    assert inline == joined == [(1, 1, 1), (2, 0, 0), (3, 0, 0)]
