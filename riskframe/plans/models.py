@@ -74,7 +74,7 @@ def logistic(train: DataFrame, C: float = 1.0, penalty: str = "l1", balanced: bo
     sw = train.agg(F.sum("weight" if balanced else F.lit(1.0))).first()[0]
     lr = LogisticRegression(featuresCol="features", labelCol="label", regParam=1.0 / (C * sw),
                             elasticNetParam=1.0 if penalty == "l1" else 0.0, standardization=False,
-                            maxIter=max_iter, tol=1e-8)
+                            maxIter=max_iter, tol=1e-6)
     return lr.setWeightCol("weight") if balanced else lr
 
 
@@ -106,7 +106,7 @@ def linear_regression(train: DataFrame, kind: str = "ols", alpha: float = 0.0, l
                       fit_intercept: bool = True) -> LinearRegression:
     """M6-M9 with the scikit-learn alpha mapped onto regParam."""
     common = dict(featuresCol="features", labelCol="y_reg", fitIntercept=fit_intercept, standardization=False,
-                  maxIter=200, tol=1e-10)
+                  maxIter=200, tol=1e-6)
     if kind == "ols":
         return LinearRegression(regParam=0.0, **common)
     st = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("y_reg").alias("sd")).first()
