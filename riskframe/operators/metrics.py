@@ -329,6 +329,8 @@ def permutation_importance(df: DataFrame, key: str, label: str, coefs: Mapping[s
             .select(key, label, "_z", "c.feature", "c._w", "c._x")
             .withColumn("repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats)))))
     long = long.withColumn("_k", F.concat_ws("|", F.col(key).cast("string"), "feature", F.col("repeat").cast("string")))
+    from riskframe.session import checkpoint
+    long = checkpoint(long)          # read by both rankings (sizes, offsets, ranks)
     grp = ["feature", "repeat"]
     dst = hash_positions(long, grp, "_k", seed=f"dst{seed}").select(key, label, "_z", "_w", "_x", *grp, "_pos")
     src = hash_positions(long.select("_k", "_x", *grp), grp, "_k", seed=f"src{seed}").select(

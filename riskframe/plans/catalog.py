@@ -122,7 +122,11 @@ def unseen_fit():
 
 
 def split_apps(spark, sf, raw: bool = False):
-    return SPL.stratified_split(applications(spark, sf, coalesce_lines=not raw), "app_id", "class", seed=SEED)
+    """Applications with their T1 split.  The view (a lineitem aggregate and
+    four joins) is read by every job of the split - sizes, cut counts and
+    ranks - so it is written once to the shared checkpoint folder."""
+    apps = checkpoint(applications(spark, sf, coalesce_lines=not raw))
+    return SPL.stratified_split(apps, "app_id", "class", seed=SEED)
 
 
 def train_prep(spark, sf):
