@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from riskframe.operators import tune as G
 from riskframe.plans import models as M
 from riskframe.plans.catalog import CAT, NUM, query, split_apps
-from riskframe.session import scratch_path
+from riskframe.session import checkpoint, scratch_path
 
 EVAL_SPLITS = ("val", "test")
 
@@ -176,3 +176,40 @@ def _g11(spark, sf):
     return rep.select(F.lit(best["config_id"]).alias("config_id"), F.lit(best["C"]).alias("C"),
                       F.lit(best["val_f1"]).alias("val_f1"), F.col("accuracy").alias("test_accuracy"),
                       F.col("f1_pos2").alias("test_f1"), F.col("roc_auc").alias("test_roc_auc"))
+
+
+# ---------------------------------------------------------------- cross-validation with fitting inside each fold
+@query("g12_cv_fitted")
+def _g12_fitted(spark, sf):
+    """5-fold CV of the L2 logistic model on the train+val pool: the
+    preprocessor (vocabulary, scaler, class weights) and the model are fitted
+    on each fold's fit part only and scored on the held-out fold; the fold
+    metrics are summarised as mean and population std."""
+    from riskframe.operators import split as SPL
+    from riskframe.operators import tune as G
+    from riskframe.plans.catalog import SEED
+    pool = SPL.pool(split_apps(spark, sf))
+    folds = checkpoint(SPL.stratified_folds(pool, "app_id", "class", k=5, seed=SEED))
+    reports = []
+    for f in range(5):
+        part = folds.withColumn("split", F.when(F.col("fold") == f, "test").otherwise("train"))
+        x, _ = M.linear_frame(part, NUM, CAT)
+        train = x.where(F.col("split") == "train")
+        model = M.logistic(train, C=1.0, penalty="l2").fit(train)
+        rep = M.classification_report(M.predict(model, x.where(F.col("split") == "test")))
+        reports.append(rep.withColumn("fold", F.lit(f)))
+    per_fold = reports[0]
+    for r in reports[1:]:
+        per_fold = per_fold.unionByName(r)
+    per_fold = per_fold.withColumn("model", F.lit("logistic_l2")).select(
+        "model", "fold", "accuracy", F.col("precision_pos2").alias("precision"), F.col("recall_pos2").alias("recall"),
+        F.col("f1_pos2").alias("f1"), "roc_auc")
+    return G.fold_summary(per_fold, ["model"], ["accuracy", "precision", "recall", "f1", "roc_auc"])
+
+
+@query("l8_learning_curves_regression")
+def _l8_reg(spark, sf):
+    x, _ = _frames(spark, sf)
+    train = x.where(F.col("split") == "train")
+    model = M.linear_regression(train, "ridge", alpha=1.0).fit(train)
+    return M.loss_curve(model, "regression:ridge")
