@@ -68,9 +68,22 @@ def select_numeric(df: DataFrame) -> DataFrame:
     return df.select(*numeric_columns(df))
 
 
-def describe(df: DataFrame, cols: Sequence[str], digits: int = 4) -> DataFrame:
-    """Count, mean, sample std, min, 25/50/75 % (exact, linear), max."""
+def describe(df: DataFrame, cols: Sequence[str], digits: int = 4, exact: bool = True,
+             accuracy: int = 10000) -> DataFrame:
+    """Count, mean, sample std, min, 25/50/75 % (exact, linear), max.
+
+    ``exact=False`` is the opt-in for continuous columns of extreme
+    cardinality: ``percentile_approx`` (a bounded sketch per group, rank
+    error about 1/``accuracy``) instead of the exact value-count ranking."""
     long = _long(df, cols)
+    if not exact:
+        q = F.percentile_approx("value", [0.25, 0.5, 0.75], accuracy)
+        return (long.groupBy("feature").agg(
+            F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+            F.min("value").alias("min"), q.alias("_q"), F.max("value").alias("max"))
+            .select("feature", "count", *[F.round(c, digits).alias(c) for c in ("mean", "std", "min")],
+                    *[F.round(F.col("_q")[i], digits).alias(n) for i, n in enumerate(("q25", "q50", "q75"))],
+                    F.round("max", digits).alias("max")))
     moments = long.groupBy("feature").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"))

@@ -333,3 +333,25 @@ import riskframe.plans.q_sources  # noqa: E402,F401  (registers S*)
 import riskframe.plans.q_neighbors  # noqa: E402,F401  (registers R*, L9)
 
 import riskframe.plans.q_models  # noqa: E402,F401  (registers M*, S6, S7, G2, G3, G11, L8)
+
+
+# ---------------------------------------------------------------- second labelled source (labels x documents)
+def labelled_documents(spark, sf):
+    """``labels`` joined to ``documents`` (FIXTURES: the 341:58 imbalance case)."""
+    lab = read_table(spark, sf, "labels")
+    docs = read_table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
+    return lab.join(docs, "doc_id")
+
+
+@query("p7_imbalance_ratio_labels")
+def _p7b(spark, sf):
+    from riskframe.roles import Roles
+    roles = Roles(numeric=("n_chars",), categorical=("lang",), label="quality", key="doc_id",
+                  positive=0, negative=1, label_text={1: "good", 0: "low"})
+    return P.imbalance_ratio(labelled_documents(spark, sf), roles)
+
+
+@query("f8_class_weights_labels")
+def _f8b(spark, sf):
+    return ENC.class_weights(labelled_documents(spark, sf), "quality").select(
+        "quality", "n_c", F.round("weight", 6).alias("weight"))

@@ -102,3 +102,12 @@ def test_competition_rank(spark):
     df = spark.createDataFrame([("a", 0.9), ("b", 0.9), ("c", 0.8)], "model string, s double")
     assert sorted((r["model"], r["rank"]) for r in G.competition_rank(df, "s", "model").collect()) == \
         [("a", 1), ("b", 1), ("c", 3)]
+
+
+def test_describe_approx_close_to_exact(spark):
+    df = spark.range(1000).select((F.col("id") * 1.0).alias("v"))
+    ex = P.describe(df, ["v"]).first()
+    ap = P.describe(df, ["v"], exact=False).first()
+    assert ex["count"] == ap["count"] == 1000 and ex["mean"] == ap["mean"]
+    for q in ("q25", "q50", "q75"):
+        assert abs(ex[q] - ap[q]) <= 2.0
