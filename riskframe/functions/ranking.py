@@ -87,7 +87,13 @@ def running_totals(df: DataFrame, group_cols: Sequence[str], order_cols: Sequenc
     """
     group_cols, order_cols = list(group_cols), list(order_cols)
     spark = df.sparkSession
-    n = num_chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if num_chunks is None:
+        # at least the shuffle width, and enough range partitions that each
+        # local window sorts about TARGET_CHUNK_ROWS rows
+        import math
+        rows = df.count()
+        num_chunks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / TARGET_CHUNK_ROWS))
+    n = num_chunks
     ranged = checkpoint(df.repartitionByRange(n, *group_cols, *order_cols)
                         .withColumn("_chunk", F.spark_partition_id()))
     sizes = ranged.groupBy(*group_cols, "_chunk").agg(F.sum(weight_col).alias("_cw"))
