@@ -83,15 +83,27 @@ def running_totals(df: DataFrame, group_cols: Sequence[str], order_cols: Sequenc
     Rows must be unique on ``group_cols + order_cols`` (callers pre-aggregate
     ties into weights, which also removes key skew).  Chunks are range
     partitions; the partitioned data is checkpointed to shared storage so that
-    the local ranks and the chunk totals see the same sampled bounds.
+    the local ranks and the chunk totals see the same sampled bounds.  A
+    table of at most ``TARGET_CHUNK_ROWS`` rows (checked by a count) is one
+    chunk and uses a plain window per group.
     """
     group_cols, order_cols = list(group_cols), list(order_cols)
     spark = df.sparkSession
+    # the input (usually a compact pre-aggregate) is read by the count, the
+    # range-bound sampling and the partitioned write: materialise it once
+    df = checkpoint(df)
     if num_chunks is None:
-        # at least the shuffle width, and enough range partitions that each
-        # local window sorts about TARGET_CHUNK_ROWS rows
         import math
         rows = df.count()
+        if rows <= TARGET_CHUNK_ROWS:
+            # size-checked small case: the whole table is at most one chunk,
+            # so an ordinary window per group is bounded by the check
+            g = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))
+            before = g.orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+            return (df.withColumn("_before", F.coalesce(F.sum(weight_col).over(before), F.lit(0)).cast("long"))
+                    .withColumn("_total", F.sum(weight_col).over(g).cast("long")))
+        # otherwise at least the shuffle width, and enough range partitions
+        # that each local window sorts about TARGET_CHUNK_ROWS rows
         num_chunks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / TARGET_CHUNK_ROWS))
     n = num_chunks
     ranged = checkpoint(df.repartitionByRange(n, *group_cols, *order_cols)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from riskframe.operators import metrics as V
 from riskframe.operators import profile as P
 from riskframe.plans.catalog import query, split_apps
+from riskframe.session import checkpoint
 from riskframe.sources.tables import applications, scored
 
 # The linear model used as the deterministic scorer (M12);
@@ -127,7 +128,7 @@ def _v11(spark, sf):
 @query("v12_metrics_by_model")
 def _v12(spark, sf):
     from riskframe.sources.tables import scored_models
-    pred = scored_models(spark, sf, n_models=8)
+    pred = checkpoint(scored_models(spark, sf, n_models=8))     # read by both aggregations
     cls = V.classification_metrics(pred, group_cols=["config_id"])
     auc = V.roc_auc(pred, group_cols=["config_id"]).select("config_id", "roc_auc")
     return cls.join(auc, "config_id").drop("tp", "fp", "fn", "tn")   # one row per model on each side

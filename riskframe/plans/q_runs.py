@@ -8,6 +8,7 @@ from riskframe.operators import metrics as V
 from riskframe.operators import runs as R
 from riskframe.plans.catalog import query, runs_view, split_apps
 from riskframe.plans.q_tune import CV_MODELS, _z
+from riskframe.session import checkpoint
 
 
 @query("l1_latest_run_per_name")
@@ -48,7 +49,7 @@ def model_split_metrics(spark, sf):
     pred = (sp.select("app_id", "class", "split", F.explode(arr).alias("m"))
             .select("app_id", "class", "split", "m.model",
                     F.round(1 / (1 + F.exp(-F.col("m.zd").cast("double"))), 6).alias("p"), "m.t"))
-    pred = pred.withColumn("yhat", F.when(F.col("p") > F.col("t"), 2).otherwise(1))
+    pred = checkpoint(pred.withColumn("yhat", F.when(F.col("p") > F.col("t"), 2).otherwise(1)))
     g = ["model", "split"]
     cls = V.classification_metrics(pred, group_cols=g, digits=12)
     auc = V.roc_auc(pred, group_cols=g, digits=12).select(*g, "roc_auc")

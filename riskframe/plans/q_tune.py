@@ -9,6 +9,7 @@ from riskframe.operators import metrics as V
 from riskframe.operators import split as SPL
 from riskframe.operators import tune as G
 from riskframe.plans.catalog import SEED, query, split_apps
+from riskframe.session import checkpoint
 
 # The scorer grid (nested-loop order, last parameter fastest).
 GRID = {"threshold": [0.3, 0.4, 0.5, 0.6], "w_bal": [0, 5, 10, 20], "w_qty": ["0.01", "0.02", "0.04"],
@@ -40,8 +41,9 @@ def score_grid(spark: SparkSession, rows: DataFrame, params: dict = GRID) -> Dat
     scorers = sorted({tuple(r[p] for p in SCORER_PARAMS) for r in grid.collect()}, key=repr)
     arr = F.array(*[F.struct(F.lit(i).alias("scorer_id"), _z(wb, wq, disc == "on").alias("zd"))
                     for i, (wb, wq, disc) in enumerate(scorers)])
-    fanned = rows.select("app_id", "class", F.explode(arr).alias("s")).select(
-        "app_id", "class", "s.scorer_id", F.round(1 / (1 + F.exp(-F.col("s.zd").cast("double"))), 6).alias("p"))
+    fanned = checkpoint(rows.select("app_id", "class", F.explode(arr).alias("s")).select(
+        "app_id", "class", "s.scorer_id", F.round(1 / (1 + F.exp(-F.col("s.zd").cast("double"))), 6).alias("p")))
+    # (fanned is read by the count aggregation and by the AUC ranking)
     ths = list(params["threshold"])
     y, p = F.col("class"), F.col("p")
     cnt = []
@@ -145,7 +147,7 @@ def cv_per_fold(spark, sf):
     pred = folds.select("app_id", "class", "fold", F.explode(arr).alias("m")).select(
         "app_id", "class", "fold", "m.model", F.round(1 / (1 + F.exp(-F.col("m.zd").cast("double"))), 6).alias("p"),
         "m.t")
-    pred = pred.withColumn("yhat", F.when(F.col("p") > F.col("t"), 2).otherwise(1))
+    pred = checkpoint(pred.withColumn("yhat", F.when(F.col("p") > F.col("t"), 2).otherwise(1)))
     g = ["model", "fold"]
     cls = V.classification_metrics(pred, group_cols=g, digits=12)
     auc = V.roc_auc(pred, group_cols=g, digits=12).select(*g, "roc_auc")

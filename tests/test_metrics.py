@@ -121,3 +121,13 @@ def test_linear_score_inline_equals_join(spark):
     assert inline.keys() == joined.keys()
     assert all(abs(inline[k] - joined[k]) < 1e-12 for k in inline)
     assert inline[3] == 1.25 + 0.5 * 3 - 2.0 * 0
+
+
+def test_running_totals_chunked_equals_window(spark):
+    from riskframe.functions.ranking import running_totals
+    df = spark.range(3000).select((F.col("id") % 3).alias("g"), ((F.col("id") * 7919) % 3001).alias("v"),
+                                  (F.col("id") % 5 + 1).alias("w"))
+    small = {(r["g"], r["v"]): (r["_before"], r["_total"]) for r in running_totals(df, ["g"], ["v"], "w").collect()}
+    chunked = {(r["g"], r["v"]): (r["_before"], r["_total"])
+               for r in running_totals(df, ["g"], ["v"], "w", num_chunks=7).collect()}
+    assert small == chunked and len(small) == 3000
