@@ -265,7 +265,7 @@ def _sparse(df, key, cols):
 
 @query("f1_label_encode")
 def _f1(spark, sf):
-    a = applications(spark, sf)
+    a = checkpoint(applications(spark, sf))     # read by the vocabulary jobs and the projection
     levels = ENC.collect_vocabulary(ENC.vocabulary(a.where(unseen_fit()), CAT), CAT)
     enc = ENC.label_encode_columns(levels)
     return a.select("app_id", *[enc[c].cast("int").alias(c) for c in CAT])
@@ -273,7 +273,7 @@ def _f1(spark, sf):
 
 @query("f2_one_hot_drop_first")
 def _f2(spark, sf):
-    a = applications(spark, sf)
+    a = checkpoint(applications(spark, sf))     # read by the vocabulary jobs and the projection
     levels = ENC.collect_vocabulary(ENC.vocabulary(a.where(unseen_fit()), CAT), CAT)
     wide = a.select("app_id", *ENC.one_hot_columns(levels))
     return _sparse(wide, "app_id", [n for _, _, n in ENC.one_hot_names(levels)])
