@@ -135,7 +135,10 @@ def knn_vectors(vecs: DataFrame, k: int, group_cols: Sequence[str] = (), ring: i
     gdims = dims[:GRID_DIMS]
     for i, j in enumerate(gdims):
         v = v.withColumn(f"_c{i}", F.col("vec")[j])
-    ranked = running_totals(v, g, ["_z", "vid"], "_one").withColumnRenamed("_before", "_pos").drop("_one")
+    # range-partitioned ranks (explicit chunk count): the ranked vectors feed
+    # both passes, so they must stay spread over many tasks
+    n_parts = int(vecs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranked = running_totals(v, g, ["_z", "vid"], "_one", num_chunks=n_parts).withColumnRenamed("_before", "_pos").drop("_one")
     # ---- pass 1: bounded candidates around each vector in Morton order
     offs = F.array(*[F.lit(o) for o in range(-ring, ring + 1) if o != 0])
     probes = ranked.select(*g, "vid", "vec", "cnt", "_pos", "_total", F.explode(offs).alias("_o"))
@@ -150,6 +153,7 @@ def knn_vectors(vecs: DataFrame, k: int, group_cols: Sequence[str] = (), ring: i
     bound = cand.where(F.col("_cum") >= k).groupBy(*g, "vid").agg(F.min("dist").alias("_r"))
     selfish = ranked.where(F.col("cnt") - 1 >= k).select(*g, "vid", F.lit(0.0).alias("_r"))
     bound = bound.join(selfish.select(*g, "vid"), [*g, "vid"], "left_anti").unionByName(selfish)
+    bound = checkpoint(bound)        # one row per vector; read by the width statistic and by pass 2
     # ---- pass 2: exact band join on a grid of the widest coordinates
     st = bound.agg(F.percentile_approx("_r", 0.5).alias("med"), F.max("_r").alias("mx")).first()
     width = st["med"] if st["med"] and st["med"] > 0 else (st["mx"] if st["mx"] and st["mx"] > 0 else 1.0)
