@@ -217,13 +217,14 @@ ORACLE["e8_feature_names"] = with_views(split_cte() + vocab_cte("split = 'train'
 SELECT column_name, level, ordinal, column_name || '_' || CAST(ordinal AS VARCHAR) AS feature_name
 FROM vocab WHERE ordinal > 0""")
 
-ORACLE["e9_array_functions"] = """
-WITH a AS (SELECT l_orderkey, list_sort(list(CAST(l_quantity AS INTEGER))) AS layers FROM lineitem GROUP BY l_orderkey)
-SELECT l_orderkey, CAST(len(layers) AS INTEGER) AS n_layers, CAST(list_sum(layers) AS BIGINT) AS total_units,
+ORACLE["e9_array_functions"] = with_views("""
+, a AS (SELECT app_id, list_filter([CAST(n_lines * 16 AS INTEGER), CAST(cust_orders AS INTEGER), 8], lambda v: v > 0) AS layers
+        FROM apps)
+SELECT app_id, CAST(len(layers) AS INTEGER) AS n_layers, CAST(list_sum(layers) AS BIGINT) AS total_units,
        '(' || array_to_string(layers, ', ') || ')' AS layers_text,
        CAST(replace(replace('(' || array_to_string(layers, ', ') || ')', '(', '['), ')', ']') AS INTEGER[]) = layers
          AS roundtrip_ok
-FROM a"""
+FROM a""")
 
 ORACLE["e10_math_functions"] = with_views("""
 SELECT app_id, abs(z) AS abs_z, round(sqrt(abs(z)), 6) AS sqrt_abs_z, round(pow(z, 2), 6) AS z_sq FROM scored""",
