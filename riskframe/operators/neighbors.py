@@ -28,6 +28,7 @@ similarity *threshold* join (cosine > t), pruned the same way.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -165,7 +166,14 @@ def knn_vectors(vecs: DataFrame, k: int, group_cols: Sequence[str] = (), ring: i
     probe2 = base.select(*g, "vid", "vec", "_r", *[f"_c{i}" for i in range(len(gdims))])
     for i in range(len(gdims)):
         c = F.col(f"_c{i}")
-        probe2 = probe2.select("*", F.explode(F.sequence(cell(c - F.col("_r")), cell(c + F.col("_r")))).alias(f"_b{i}"))
+        # the band is clamped to the occupied cells of this coordinate, so an
+        # isolated vector with a large radius never enumerates empty cells
+        # same IEEE division then floor as the JVM-side cell(), so bounds agree
+        lo_cell = math.floor(ranges[i][0] / width) if ranges[i][0] is not None else 0
+        hi_cell = math.floor(ranges[i][1] / width) if ranges[i][1] is not None else 0
+        band = F.sequence(F.greatest(cell(c - F.col("_r")), F.lit(lo_cell).cast("long")),
+                          F.least(cell(c + F.col("_r")), F.lit(hi_cell).cast("long")))
+        probe2 = probe2.select("*", F.explode(band).alias(f"_b{i}"))
     home = ranked.select(*g, *[cell(F.col(f"_c{i}")).alias(f"_b{i}") for i in range(len(gdims))],
                          F.col("vid").alias("nn_vid"), F.col("vec").alias("nn_vec"), F.col("cnt").alias("nn_cnt"),
                          *[F.col(f"_c{i}").alias(f"_q{i}") for i in range(len(gdims))])
@@ -250,7 +258,8 @@ def smote(df: DataFrame, key: str, vec: str, label: str, k: int = 5, seed: int =
     for i, (_, _, _, _, off) in enumerate(plan):
         cond = F.col("id") >= F.lit(off)
         gidx = F.when(cond, F.lit(i)) if gidx is None else F.when(cond, F.lit(i)).otherwise(gidx)
-    ids = spark.range(offset).withColumn("_gi", gidx if gidx is not None else F.lit(0))
+    slices = max(spark.sparkContext.defaultParallelism, offset // 1_000_000 + 1)
+    ids = spark.range(0, offset, 1, slices).withColumn("_gi", gidx if gidx is not None else F.lit(0))
     gi_info = spark.createDataFrame([(i, *gk, nm, off) for i, (gk, _, nm, _, off) in enumerate(plan)],
                                     "_gi int" + (", " + gschema if g else "") + ", _nmin long, _off long")
     ids = ids.join(F.broadcast(gi_info), "_gi").withColumn("syn_id", F.col("id") - F.col("_off"))
