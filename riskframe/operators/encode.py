@@ -21,12 +21,18 @@ MAX_LEVELS = 1000
 
 def vocabulary(train: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``(column_name, level, ordinal, feature_name)``; ordinal is the
-    0-based rank in sorted level order (UTF-8 binary), learnt on train only."""
+    0-based rank in sorted level order (UTF-8 binary), learnt on train only.
+
+    Levels are distinct per column, so the ordinal is a running count in
+    level order - computed by the chunked running totals, which stay
+    parallel even for a column with very many levels."""
+    from riskframe.functions.ranking import running_totals
     long = (train.select(*[F.col(c).cast("string").alias(c) for c in cols])
             .unpivot([], list(cols), "column_name", "level")
-            .where(F.col("level").isNotNull()).distinct())
-    ordinal = F.dense_rank().over(Window.partitionBy("column_name").orderBy("level")) - 1
-    return (long.withColumn("ordinal", ordinal.cast("int"))
+            .where(F.col("level").isNotNull()).distinct()
+            .withColumn("_one", F.lit(1).cast("long")))
+    ranked = running_totals(long, ["column_name"], ["level"], "_one")
+    return (ranked.select("column_name", "level", F.col("_before").cast("int").alias("ordinal"))
             .withColumn("feature_name", F.concat_ws("_", "column_name", F.col("ordinal").cast("string"))))
 
 

@@ -171,8 +171,10 @@ def _e4b(spark, sf):
     a = applications(spark, sf)
     vocab = ENC.vocabulary(a.where(unseen_fit()), CAT).select("column_name", "level")
     long = a.select(*CAT).unpivot([], CAT, "column_name", "level")
-    return (long.join(vocab, ["column_name", "level"], "left_anti")
-            .groupBy("column_name", "level").agg(F.count(F.lit(1)).alias("n_rows")))
+    # count per level first (map-side combined, so a hot level is one row),
+    # then anti-join the distinct levels against the vocabulary
+    per_level = long.groupBy("column_name", "level").agg(F.count(F.lit(1)).alias("n_rows"))
+    return per_level.join(vocab, ["column_name", "level"], "left_anti")
 
 
 @query("e5_threshold_label")
