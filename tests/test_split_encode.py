@@ -76,3 +76,16 @@ def test_label_encode_join_path_equals_inline(spark):
     joined = sorted(tuple(r) for r in ENC.label_encode_fitted(df, vocab, ["c1", "c2"], max_inline=1)
                     .select("k", "c1", "c2").collect())
     assert inline == joined == [(1, 1, 1), (2, 0, 0), (3, 0, 0)]
+
+
+def test_hash_positions_equal_row_number_for_any_chunking(spark):
+    from riskframe.functions.hashing import hash32
+    from riskframe.functions.ranking import hash_positions
+    df = spark.range(2000).select(F.col("id").alias("k"), F.when(F.col("id") % 10 == 0, 1).otherwise(0).alias("g"))
+    want_df = df.withColumn("h", hash32("k", seed=7))
+    want_df.createOrReplaceTempView("hp")
+    want = {r["k"]: r["p"] for r in spark.sql(
+        "SELECT k, row_number() OVER (PARTITION BY g ORDER BY h, k) - 1 AS p FROM hp").collect()}
+    for bits in (1, 4, 12):
+        got = {r["k"]: r["_pos"] for r in hash_positions(df, ["g"], "k", 7, chunk_bits=bits).collect()}
+        assert got == want, bits
