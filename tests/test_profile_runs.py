@@ -50,7 +50,7 @@ def test_tracking_store_scan(spark, tmpdir_path):
     _write(f"{root}/e1/meta.yaml", "name: exp\n")
     _write(f"{root}/e1/r1/meta.yaml", "run_name: baseline\nstart_time: 1700000000000\nend_time: 1700000001385\n")
     _write(f"{root}/e1/r1/params/C", "1.0")
-    _write(f"{root}/e1/r1/tags/mlflow.runName", "baseline")
+    _write(f"{root}/e1/r1/tags/run.name", "baseline")
     _write(f"{root}/e1/r1/metrics/val_roc_auc", "1700000000500 0.70 0\n1700000000900 0.78 1\n")
     _write(f"{root}/e1/r2/meta.yaml", "run_name: tuned\nstart_time: 1700000005000\nend_time: 1700000006000\n")
     _write(f"{root}/e1/r2/metrics/val_roc_auc", "1700000005500 0.80 0\n")
