@@ -87,6 +87,40 @@ def label_encode_fitted(df: DataFrame, vocab: DataFrame, cols: Sequence[str], ma
     return out
 
 
+def one_hot_sparse(df: DataFrame, vocab: DataFrame, col: str, out: str | None = None) -> DataFrame:
+    """F2 for a column with too many levels for generated columns: the same
+    drop-first encoding (first level and unseen / NULL levels are all zeros)
+    as one sparse vector of size ``levels - 1``.
+
+    The level's ordinal comes from a join on the level (no driver-side
+    vocabulary); the first level is moved to the last slot, which
+    ``OneHotEncoder(dropLast=True)`` drops."""
+    from pyspark.ml.feature import OneHotEncoder
+    out = out or f"{col}_ohe"
+    v = vocab.where(F.col("column_name") == col)
+    n = v.count()
+    if n < 2:
+        return _empty_vector(df, out)
+    coded = _join_ordinal(df, v, col)
+    idx = F.when(F.col("_ord") == 0, F.lit(n - 1)).otherwise(F.col("_ord") - 1).cast("double")
+    coded = coded.withColumn("_idx", idx)
+    spark = df.sparkSession
+    enc = OneHotEncoder(inputCols=["_idx"], outputCols=[out], dropLast=True).fit(
+        spark.range(n).select(F.col("id").cast("double").alias("_idx")))
+    return enc.transform(coded).drop("_idx", "_ord")
+
+
+def _join_ordinal(df: DataFrame, v: DataFrame, col: str) -> DataFrame:
+    lv = v.select(F.col("level").alias("_lv"), F.col("ordinal").alias("_o"))
+    return (df.join(lv, F.col(col).cast("string") == F.col("_lv"), "left")
+            .withColumn("_ord", F.coalesce(F.col("_o"), F.lit(0))).drop("_lv", "_o"))
+
+
+def _empty_vector(df: DataFrame, out: str) -> DataFrame:
+    from pyspark.ml.functions import array_to_vector
+    return df.withColumn(out, array_to_vector(F.array().cast("array<double>")))
+
+
 def one_hot_names(levels: dict[str, list[str]]) -> list[tuple[str, str, str]]:
     """``(column, level, feature_name)`` for every non-first level."""
     return [(c, lv, f"{c}_{i}") for c, lvs in levels.items() for i, lv in enumerate(lvs) if i > 0]

@@ -89,3 +89,13 @@ def test_hash_positions_equal_row_number_for_any_chunking(spark):
     for bits in (1, 4, 12):
         got = {r["k"]: r["_pos"] for r in hash_positions(df, ["g"], "k", 7, chunk_bits=bits).collect()}
         assert got == want, bits
+
+
+def test_one_hot_sparse_equals_generated_columns(spark):
+    train = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "c string")
+    df = spark.createDataFrame([(1, "a"), (2, "c"), (3, "z"), (4, None), (5, "d")], "k int, c string")
+    vocab = ENC.vocabulary(train, ["c"])
+    levels = ENC.collect_vocabulary(vocab, ["c"])
+    wide = {r["k"]: list(r)[1:] for r in df.select("k", *ENC.one_hot_columns(levels)).collect()}
+    sparse = {r["k"]: r["c_ohe"].toArray().tolist() for r in ENC.one_hot_sparse(df, vocab, "c").collect()}
+    assert sparse == {k: [float(x) for x in v] for k, v in wide.items()}
