@@ -141,7 +141,7 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 20, digits: int =
 
 
 def boxplot_by_class(df: DataFrame, cols: Sequence[str], roles: Roles = APPLICATION_ROLES,
-                     digits: int = 4) -> DataFrame:
+                     digits: int = 4, exact: bool = True, accuracy: int = 10000) -> DataFrame:
     """P10: q1, median, q3, mean, Tukey whiskers (furthest datum within
     1.5 IQR), outlier count and notch interval ``median +- 1.57 IQR / sqrt(n)``
     per (feature, class).
@@ -151,11 +151,19 @@ def boxplot_by_class(df: DataFrame, cols: Sequence[str], roles: Roles = APPLICAT
     """
     long = _long(df, cols, ids=[roles.label])
     g = ["feature", roles.label]
-    rc = running_totals(value_counts(long, g, "value"), g, ["value"], "_w")
     v, w = F.col("value"), F.col("_w")
-    stats = rc.groupBy(*g).agg(
-        F.sum("_w").alias("n"), (F.sum(v * w) / F.sum(w)).alias("mean_w"),
-        *quantile_columns(rc, "value", [0.25, 0.5, 0.75], ["q1", "median", "q3"]))
+    if exact:
+        rc = running_totals(value_counts(long, g, "value"), g, ["value"], "_w")
+        stats = rc.groupBy(*g).agg(
+            F.sum("_w").alias("n"), (F.sum(v * w) / F.sum(w)).alias("mean_w"),
+            *quantile_columns(rc, "value", [0.25, 0.5, 0.75], ["q1", "median", "q3"]))
+    else:
+        # opt-in for extreme cardinality: bounded sketches instead of exact ranks
+        rc = value_counts(long, g, "value")
+        q = F.percentile_approx("value", [0.25, 0.5, 0.75], accuracy)
+        stats = (long.where(v.isNotNull()).groupBy(*g)
+                 .agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean_w"), q.alias("_q"))
+                 .select(*g, "n", "mean_w", *[F.col("_q")[i].alias(n) for i, n in enumerate(("q1", "median", "q3"))]))
     iqr = F.col("q3") - F.col("q1")
     stats = stats.withColumn("lo_fence", F.col("q1") - 1.5 * iqr).withColumn("hi_fence", F.col("q3") + 1.5 * iqr)
     # stats has one row per (feature, class): a bounded, broadcastable side.

@@ -111,3 +111,12 @@ def test_describe_approx_close_to_exact(spark):
     assert ex["count"] == ap["count"] == 1000 and ex["mean"] == ap["mean"]
     for q in ("q25", "q50", "q75"):
         assert abs(ex[q] - ap[q]) <= 2.0
+
+
+def test_boxplot_approx_close_to_exact(spark):
+    df = spark.range(2000).select((F.col("id") % 97 * 1.0).alias("x"), (F.col("id") % 2 + 1).cast("int").alias("class"))
+    ex = {r["class"]: r for r in P.boxplot_by_class(df, ["x"]).collect()}
+    ap = {r["class"]: r for r in P.boxplot_by_class(df, ["x"], exact=False).collect()}
+    for c in (1, 2):
+        assert ex[c]["n"] == ap[c]["n"] and ex[c]["mean"] == ap[c]["mean"]
+        assert abs(ex[c]["median"] - ap[c]["median"]) <= 1.0
