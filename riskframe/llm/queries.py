@@ -4,15 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskframe.llm.exact_dedup import exact_dedup
 from riskframe.sources.tables import read_table
 
+WORD_VOCABULARY = "word_bpe_49k.json"
+BYTE_VOCABULARY = "byte_bpe_50k.json"
+
+
+def vocabulary(name: str) -> str:
+    """The place of a public vocabulary file; every machine has it."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op4_token_store(spark, sf_dir):
+    from riskframe.llm.token_store import read_token_shards, write_token_shards
+    shards = write_token_shards(read_table(spark, sf_dir, "documents"), vocabulary(WORD_VOCABULARY), end_id=1)
+    return read_token_shards(shards).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
 
 def op6_exact_dedup(spark, sf_dir):
+    from riskframe.llm.exact_dedup import exact_dedup
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op4_token_store": op4_token_store,
     "op6_exact_dedup": op6_exact_dedup,
 }
 
