@@ -16,6 +16,16 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_bpe(spark, sf_dir):
+    from riskframe.llm.bpe import build_lexicon, encode
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    lexicon = build_lexicon(docs, vocabulary(BYTE_VOCABULARY))
+    coded = encode(docs, vocabulary(BYTE_VOCABULARY), lexicon, out_col="token_ids", decoded_col="decoded")
+    return coded.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
 def op4_token_store(spark, sf_dir):
     from riskframe.llm.token_store import read_token_shards, write_token_shards
     shards = write_token_shards(read_table(spark, sf_dir, "documents"), vocabulary(WORD_VOCABULARY), end_id=1)
@@ -28,6 +38,7 @@ def op6_exact_dedup(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_bpe": op1_bpe,
     "op4_token_store": op4_token_store,
     "op6_exact_dedup": op6_exact_dedup,
 }
