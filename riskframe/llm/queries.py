@@ -37,10 +37,16 @@ def op6_exact_dedup(spark, sf_dir):
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op9_near_dedup(spark, sf_dir):
+    from riskframe.llm.near_dedup import near_dedup
+    return near_dedup(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op4_token_store": op4_token_store,
     "op6_exact_dedup": op6_exact_dedup,
+    "op9_near_dedup": op9_near_dedup,
 }
 
 ORACLE_SQL = {
