@@ -26,6 +26,14 @@ def op1_bpe(spark, sf_dir):
                         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+def op2_language_id(spark, sf_dir):
+    from riskframe.llm import language_id as L
+    docs = read_table(spark, sf_dir, "documents")
+    fold = L.held_out(F.col("doc_id"))
+    model = L.train(docs.where(~fold).select("text", "lang"))
+    return L.predict(docs.select("doc_id", fold.alias("held_out"), "text"), model).drop("text")
+
+
 def op4_token_store(spark, sf_dir):
     from riskframe.llm.token_store import read_token_shards, write_token_shards
     shards = write_token_shards(read_table(spark, sf_dir, "documents"), vocabulary(WORD_VOCABULARY), end_id=1)
@@ -44,6 +52,7 @@ def op9_near_dedup(spark, sf_dir):
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_language_id": op2_language_id,
     "op4_token_store": op4_token_store,
     "op6_exact_dedup": op6_exact_dedup,
     "op9_near_dedup": op9_near_dedup,
