@@ -40,6 +40,20 @@ def op4_token_store(spark, sf_dir):
     return read_token_shards(shards).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_license_scan(spark, sf_dir):
+    from riskframe.llm.license_scan import license_scan
+    found = license_scan(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def joined(*columns):
+        return F.array_join(F.array_sort(F.array_distinct(F.concat(*columns))), ",")
+
+    n_base = F.size("phrases").cast("long")
+    return found.select("doc_id", "n_words", n_base.alias("n_base"), F.array_min("phrases.start").alias("first_word"),
+                        F.array_max("phrases.start").alias("last_word"), joined("phrases.label").alias("base_labels"),
+                        joined("phrases.label", "blocks.label").alias("labels"),
+                        F.when(n_base > 0, 1.0).otherwise(F.coalesce(F.array_max("blocks.containment"), F.lit(0.0))).alias("score"))
+
+
 def op6_exact_dedup(spark, sf_dir):
     from riskframe.llm.exact_dedup import exact_dedup
     return exact_dedup(read_table(spark, sf_dir, "documents"))
@@ -54,6 +68,7 @@ QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_language_id": op2_language_id,
     "op4_token_store": op4_token_store,
+    "op5_license_scan": op5_license_scan,
     "op6_exact_dedup": op6_exact_dedup,
     "op9_near_dedup": op9_near_dedup,
 }
