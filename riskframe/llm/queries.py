@@ -59,6 +59,14 @@ def op6_exact_dedup(spark, sf_dir):
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark, sf_dir):
+    from riskframe.llm.decontaminate import find_contamination
+    found = find_contamination(read_table(spark, sf_dir, "documents").select("doc_id", "text"), read_table(spark, sf_dir, "benchmark"), matches=False)
+    ids = F.array_sort(F.col("items").cast("array<string>"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op9_near_dedup(spark, sf_dir):
     from riskframe.llm.near_dedup import near_dedup
     return near_dedup(read_table(spark, sf_dir, "documents"))
@@ -70,6 +78,7 @@ QUERIES = {
     "op4_token_store": op4_token_store,
     "op5_license_scan": op5_license_scan,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_decontamination": op7_decontamination,
     "op9_near_dedup": op9_near_dedup,
 }
 
@@ -80,4 +89,21 @@ ORACLE_SQL = {
              k AS (SELECT norm, first(doc_id ORDER BY cp DESC, doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY norm)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256
         FROM n JOIN k USING (norm)""",
+    "op7_decontamination": r"""
+        WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+             bw AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL),
+             win AS (SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS g, w[i] AS first
+                     FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM bw WHERE len(w) > 0)),
+             word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM dw),
+             pos AS (SELECT doc_id, x, i, string_agg(x, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS g FROM word),
+             hit AS (SELECT DISTINCT doc_id, i, n, item_id FROM pos JOIN win ON win.n = 10 AND win.g = pos.g
+                     UNION SELECT DISTINCT doc_id, i, n, item_id FROM pos JOIN win ON win.n < 10 AND win.first = pos.x AND starts_with(pos.g || ' ', win.g || ' ')),
+             words AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM hit) GROUP BY doc_id),
+             items AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS ids
+                       FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS s FROM hit) GROUP BY doc_id)
+        SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM dw d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
 }
