@@ -34,6 +34,14 @@ def op2_language_id(spark, sf_dir):
     return L.predict(docs.select("doc_id", fold.alias("held_out"), "text"), model).drop("text")
 
 
+def op3_warc(spark, sf_dir):
+    from riskframe.llm import warc as W
+    pages = read_table(spark, sf_dir, "pages")
+    index = W.build_index(W.write_archive(pages, min_payload=0))
+    records = W.read_records(W.lookup(index, pages.select("url")), payloads=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_token_store(spark, sf_dir):
     from riskframe.llm.token_store import read_token_shards, write_token_shards
     shards = write_token_shards(read_table(spark, sf_dir, "documents"), vocabulary(WORD_VOCABULARY), end_id=1)
@@ -75,6 +83,7 @@ def op9_near_dedup(spark, sf_dir):
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_language_id": op2_language_id,
+    "op3_warc": op3_warc,
     "op4_token_store": op4_token_store,
     "op5_license_scan": op5_license_scan,
     "op6_exact_dedup": op6_exact_dedup,
@@ -83,6 +92,16 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op3_warc": r"""
+        WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+             f AS (SELECT body, min(page_id) AS first FROM p GROUP BY body),
+             h AS (SELECT page_id, strlen(body) AS n, sha1(body) AS hex, first FROM p JOIN f USING (body))
+        SELECT page_id, n::BIGINT AS payload_bytes,
+               array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   1 + ((('0x' || substr(hex, 5 * (i // 4)::INT + 1, 5))::BIGINT >> (5 * (3 - i % 4))::INT) & 31)::INT, 1)), '') AS payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM h""",
     "op6_exact_dedup": r"""
         WITH n AS (SELECT doc_id, length(coalesce(text, '')) AS cp,
                           regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents),
