@@ -75,6 +75,12 @@ def op7_decontamination(spark, sf_dir):
                         F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op8_html_extract(spark, sf_dir):
+    from riskframe.llm.html_extract import extract_main_text
+    found = extract_main_text(read_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op9_near_dedup(spark, sf_dir):
     from riskframe.llm.near_dedup import near_dedup
     return near_dedup(read_table(spark, sf_dir, "documents"))
@@ -88,6 +94,7 @@ QUERIES = {
     "op5_license_scan": op5_license_scan,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_decontamination": op7_decontamination,
+    "op8_html_extract": op8_html_extract,
     "op9_near_dedup": op9_near_dedup,
 }
 
