@@ -86,6 +86,13 @@ def op9_near_dedup(spark, sf_dir):
     return near_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op10_language_model(spark, sf_dir):
+    from riskframe.llm import language_model as M
+    held = M.held_out(F.col("doc_id"))
+    scored = M.score_texts(read_table(spark, sf_dir, "documents"), ~held)
+    return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_language_id": op2_language_id,
@@ -96,6 +103,7 @@ QUERIES = {
     "op7_decontamination": op7_decontamination,
     "op8_html_extract": op8_html_extract,
     "op9_near_dedup": op9_near_dedup,
+    "op10_language_model": op10_language_model,
 }
 
 ORACLE_SQL = {
