@@ -1,10 +1,10 @@
 """Train-fitted encoders and scalers (F1-F8).
 
-Fitted parameters are small by construction (one row per categorical level,
-one row per numeric column); they are collected once, size-checked, and
-applied as literal expressions - a projection inside whole-stage codegen,
-no join and no shuffle on the big side.  Above ``MAX_LEVELS`` a column is
-rejected with a clear error instead of generating thousands of columns.
+The fitted vocabulary is a table ``(column_name, level, ordinal)`` and stays
+one: rows get their ordinals by a hash join on the level, whatever the number
+of levels.  The driver only learns the number of levels per column, which
+gives every feature its index; up to ``BROADCAST_ROWS`` levels the join gets a
+broadcast hint, beyond that Spark shuffles.  Scaler parameters are one row.
 """
 
 from __future__ import annotations
@@ -12,11 +12,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_LEVELS = 1000
+from riskframe.session import checkpoint
+
+BROADCAST_ROWS = 100_000
 
 
 def vocabulary(train: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -36,100 +38,48 @@ def vocabulary(train: DataFrame, cols: Sequence[str]) -> DataFrame:
             .withColumn("feature_name", F.concat_ws("_", "column_name", F.col("ordinal").cast("string"))))
 
 
-def collect_vocabulary(vocab: DataFrame, cols: Sequence[str], max_levels: int = MAX_LEVELS) -> dict[str, list[str]]:
-    """Bring the fitted vocabulary to the driver after checking its size."""
-    sizes = {r["column_name"]: r["n"] for r in vocab.groupBy("column_name").agg(F.count(F.lit(1)).alias("n")).collect()}
-    too_big = {c: n for c, n in sizes.items() if n > max_levels}
-    if too_big:
-        raise ValueError(f"categorical columns exceed {max_levels} levels: {too_big}")
-    levels: dict[str, list[str]] = {c: [] for c in cols}
-    for r in vocab.select("column_name", "level", "ordinal").collect():
-        levels[r["column_name"]].append((r["ordinal"], r["level"]))
-    return {c: [lv for _, lv in sorted(levels[c])] for c in cols}
-
-
-def _lookup(levels: list[str]) -> Column:
-    return F.create_map(*[x for i, lv in enumerate(levels) for x in (F.lit(lv), F.lit(i))])
-
-
-def label_encode_columns(levels: dict[str, list[str]]) -> dict[str, Column]:
-    """ordinal of the level, unseen (or NULL) -> 0."""
-    out = {}
-    for c, lv in levels.items():
-        if not lv:
-            out[c] = F.lit(0)
-        else:
-            out[c] = F.coalesce(F.try_element_at(_lookup(lv), F.col(c).cast("string")), F.lit(0))
-    return out
-
-
-def label_encode(df: DataFrame, levels: dict[str, list[str]]) -> DataFrame:
-    exprs = label_encode_columns(levels)
-    return df.select(*[exprs[c].alias(c) if c in exprs else F.col(c) for c in df.columns])
-
-
-def label_encode_fitted(df: DataFrame, vocab: DataFrame, cols: Sequence[str], max_inline: int = MAX_LEVELS) -> DataFrame:
-    """F1 with a size check per column: vocabularies up to ``max_inline``
-    levels are inlined as literal maps (no join); larger ones are joined
-    on the level (a shuffle join sized by the data, not by the driver).
-    Unseen or NULL levels get 0 either way."""
-    sizes = {r["column_name"]: r["n"] for r in
-             vocab.groupBy("column_name").agg(F.count(F.lit(1)).alias("n")).collect()}
-    small = [c for c in cols if sizes.get(c, 0) <= max_inline]
-    big = [c for c in cols if c not in small]
-    levels = collect_vocabulary(vocab.where(F.col("column_name").isin(small)), small, max_inline) if small else {}
-    out = label_encode(df, levels)
-    for c in big:
-        v = vocab.where(F.col("column_name") == c).select(F.col("level").alias(f"_lv_{c}"),
-                                                          F.col("ordinal").alias(f"_ord_{c}"))
-        out = (out.join(v, F.col(c).cast("string") == F.col(f"_lv_{c}"), "left")
-               .withColumn(c, F.coalesce(F.col(f"_ord_{c}"), F.lit(0))).drop(f"_lv_{c}", f"_ord_{c}"))
-    return out
-
-
-def one_hot_sparse(df: DataFrame, vocab: DataFrame, col: str, out: str | None = None) -> DataFrame:
-    """F2 for a column with too many levels for generated columns: the same
-    drop-first encoding (first level and unseen / NULL levels are all zeros)
-    as one sparse vector of size ``levels - 1``.
-
-    The level's ordinal comes from a join on the level (no driver-side
-    vocabulary); the first level is moved to the last slot, which
-    ``OneHotEncoder(dropLast=True)`` drops."""
-    from pyspark.ml.feature import OneHotEncoder
-    out = out or f"{col}_ohe"
-    v = vocab.where(F.col("column_name") == col)
-    n = v.count()
-    if n < 2:
-        return _empty_vector(df, out)
-    coded = _join_ordinal(df, v, col)
-    idx = F.when(F.col("_ord") == 0, F.lit(n - 1)).otherwise(F.col("_ord") - 1).cast("double")
-    coded = coded.withColumn("_idx", idx)
-    spark = df.sparkSession
-    enc = OneHotEncoder(inputCols=["_idx"], outputCols=[out], dropLast=True).fit(
-        spark.range(n).select(F.col("id").cast("double").alias("_idx")))
-    return enc.transform(coded).drop("_idx", "_ord")
-
-
-def _join_ordinal(df: DataFrame, v: DataFrame, col: str) -> DataFrame:
-    lv = v.select(F.col("level").alias("_lv"), F.col("ordinal").alias("_o"))
-    return (df.join(lv, F.col(col).cast("string") == F.col("_lv"), "left")
-            .withColumn("_ord", F.coalesce(F.col("_o"), F.lit(0))).drop("_lv", "_o"))
-
-
-def _empty_vector(df: DataFrame, out: str) -> DataFrame:
-    from pyspark.ml.functions import array_to_vector
-    return df.withColumn(out, array_to_vector(F.array().cast("array<double>")))
-
-
-def one_hot_names(levels: dict[str, list[str]]) -> list[tuple[str, str, str]]:
-    """``(column, level, feature_name)`` for every non-first level."""
-    return [(c, lv, f"{c}_{i}") for c, lvs in levels.items() for i, lv in enumerate(lvs) if i > 0]
-
-
-def one_hot_columns(levels: dict[str, list[str]]) -> list[Column]:
-    """drop-first one-hot; unknown level or NULL -> all zeros."""
-    return [F.coalesce((F.col(c).cast("string") == F.lit(lv)).cast("int"), F.lit(0)).alias(name)
-            for c, lv, name in one_hot_names(levels)]
+@dataclass
+class Levels:
+    """A fitted vocabulary: its table and the number of levels per column."""
+    table: DataFrame
+    sizes: dict[str, int]
+
+    @classmethod
+    def fit(cls, train: DataFrame, cols: Sequence[str]) -> "Levels":
+        return cls.of(checkpoint(vocabulary(train, cols).drop("feature_name")), cols)   # read by every join
+
+    @classmethod
+    def of(cls, table: DataFrame, cols: Sequence[str]) -> "Levels":
+        found = {r["column_name"]: r["n"] for r in table.groupBy("column_name").agg(F.count(F.lit(1)).alias("n")).collect()}
+        return cls(table, {c: found.get(c, 0) for c in cols})
+
+    def join(self, df: DataFrame, prefix: str = "_ord_", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+        """Add ``<prefix><column>``: the ordinal of the row's level, NULL where
+        the level was not learnt."""
+        for c, n in self.sizes.items():
+            v = self.table.where(F.col("column_name") == c).select(F.col("level").alias("_lv"), F.col("ordinal").alias(f"{prefix}{c}"))
+            v = F.broadcast(v) if n <= broadcast_rows else v
+            df = df.join(v, F.col(c).cast("string") == F.col("_lv"), "left").drop("_lv")
+        return df
+
+
+def label_encode(df: DataFrame, levels: Levels, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """the columns of ``levels`` as ordinals, unseen or NULL -> 0."""
+    coded = levels.join(df, broadcast_rows=broadcast_rows)
+    return coded.select(*[F.coalesce(f"_ord_{c}", F.lit(0)).cast("int").alias(c) if c in levels.sizes else F.col(c) for c in df.columns])
+
+
+def one_hot_entries(df: DataFrame, levels: Levels, key: str) -> DataFrame:
+    """F2, drop-first, as its non-zero entries ``(key, feature, value)``; the
+    first level, unseen levels and NULL have none."""
+    cells = F.array(*[F.struct(F.lit(c).alias("c"), F.col(f"_ord_{c}").alias("o")) for c in levels.sizes])
+    return (levels.join(df).select(key, F.explode(F.filter(cells, lambda x: x["o"] > 0)).alias("x"))
+            .select(key, F.concat_ws("_", "x.c", F.col("x.o").cast("string")).alias("feature"), F.lit(1).alias("value")))
+
+
+def one_hot_names(sizes: dict[str, int]) -> list[str]:
+    """The feature name of every non-first level, in feature order."""
+    return [f"{c}_{i}" for c, n in sizes.items() for i in range(1, n)]
 
 
 @dataclass
@@ -151,14 +101,6 @@ def scaled_columns(params: ScalerParams) -> dict[str, Column]:
     return {c: ((F.col(c).cast("double") - F.lit(params.mean[c])) / F.lit(params.scale[c])) for c in params.mean}
 
 
-def scaler_stats(train: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """F3 as a table: one row per column with mean and population std."""
-    long = train.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], list(cols), "feature", "value")
-    sd = F.stddev_pop("value")
-    return long.groupBy("feature").agg(F.avg("value").alias("mean"),
-                                       F.when(sd == 0, F.lit(1.0)).otherwise(sd).alias("scale"))
-
-
 def interaction(a: str, b: str) -> Column:
     """raw (unscaled) product of two numeric columns, by name."""
     return (F.col(a).cast("double") * F.col(b).cast("double")).alias(f"{a}_x_{b}")
@@ -181,55 +123,70 @@ def with_class_weight(df: DataFrame, label: str, col: str = "weight") -> DataFra
 @dataclass
 class FittedPrep:
     """fitted linear-model preparation (scaled numerics ++ drop-first
-    one-hot [++ interaction]).  Fit on train, apply to any split."""
+    one-hot [++ interactions]).  Fit on train, apply to any split."""
     numeric: list[str]
     categorical: list[str]
-    levels: dict[str, list[str]]
+    levels: Levels
     scaler: ScalerParams
     interactions: list[tuple[str, str]] = field(default_factory=list)
 
     @classmethod
     def fit(cls, train: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
             interactions: Sequence[tuple[str, str]] = ()) -> "FittedPrep":
-        levels = collect_vocabulary(vocabulary(train, categorical), categorical)
-        return cls(list(numeric), list(categorical), levels, fit_scaler(train, numeric), list(interactions))
+        return cls(list(numeric), list(categorical), Levels.fit(train, categorical), fit_scaler(train, numeric), list(interactions))
 
     @property
-    def feature_names(self) -> list[str]:
-        return (self.numeric + [n for _, _, n in one_hot_names(self.levels)]
-                + [f"{a}_x_{b}" for a, b in self.interactions])
-
-    def design_columns(self) -> list[Column]:
-        sc = scaled_columns(self.scaler)
-        return ([sc[c].alias(c) for c in self.numeric] + one_hot_columns(self.levels)
-                + [interaction(a, b) for a, b in self.interactions])
-
-    def transform(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-        """Wide prepared frame: ``keep`` columns + one column per feature."""
-        return df.select(*keep, *self.design_columns())
+    def n_features(self) -> int:
+        return len(self.numeric) + sum(max(0, n - 1) for n in self.levels.sizes.values()) + len(self.interactions)
 
-    def transform_array(self, df: DataFrame, keep: Sequence[str] = (), col: str = "x") -> DataFrame:
-        """F5 (SQL form): the design row as ARRAY<DOUBLE>."""
-        return df.select(*keep, F.array(*[c.cast("double") for c in self.design_columns()]).alias(col))
-
-    def transform_vector(self, df: DataFrame, keep: Sequence[str] = (), col: str = "features") -> DataFrame:
-        """F5 (MLlib form): VectorAssembler over the generated columns."""
-        wide = self.transform(df, keep)
-        asm = VectorAssembler(inputCols=self.feature_names, outputCol=col)
-        return asm.transform(wide).select(*keep, col)
+    @property
+    def feature_names(self) -> list[str]:
+        return self.numeric + one_hot_names(self.levels.sizes) + [f"{a}_x_{b}" for a, b in self.interactions]
+
+    def _cells(self) -> Column:
+        """The design row without its zero one-hot entries, in feature order, as
+        an array of ``(feature_index, feature, value)``."""
+        def cell(index, name, value):
+            return F.struct(index.cast("int").alias("feature_index"), name.alias("feature"), value.cast("double").alias("value"))
+        sc, at, cells = scaled_columns(self.scaler), 0, []
+        for c in self.numeric:
+            cells.append(cell(F.lit(at), F.lit(c), sc[c]))
+            at += 1
+        for c, n in self.levels.sizes.items():
+            o = F.col(f"_ord_{c}")
+            cells.append(cell(F.lit(at - 1) + o, F.concat_ws("_", F.lit(c), o.cast("string")), F.when(o > 0, 1.0)))
+            at += max(0, n - 1)
+        for a, b in self.interactions:
+            cells.append(cell(F.lit(at), F.lit(f"{a}_x_{b}"), interaction(a, b)))
+            at += 1
+        return F.filter(F.array(*cells), lambda x: x["value"] != 0)
+
+    def transform_cells(self, df: DataFrame, keep: Sequence[str] = (), col: str = "x") -> DataFrame:
+        """F5 (SQL form): the design row as an array of its non-zero entries."""
+        return self.levels.join(df).select(*keep, self._cells().alias(col))
 
     def transform_sparse(self, df: DataFrame, key: str) -> DataFrame:
         """Non-zero design entries ``(key, feature_index, feature, value)``."""
-        names = F.array(*[F.lit(n) for n in self.feature_names])
-        arr = self.transform_array(df, [key], "x")
-        return (arr.select(key, F.posexplode("x").alias("feature_index", "value"))
-                .where(F.col("value") != 0)
-                .select(key, F.col("feature_index").cast("int").alias("feature_index"),
-                        F.element_at(names, F.col("feature_index") + 1).alias("feature"), "value"))
-
+        return self.transform_cells(df, [key]).select(key, F.explode("x").alias("x")).select(key, "x.feature_index", "x.feature", "x.value")
 
-def tree_prep(df: DataFrame, levels: dict[str, list[str]], numeric: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    def transform_vector(self, df: DataFrame, keep: Sequence[str] = (), col: str = "features") -> DataFrame:
+        """F5 (MLlib form): scaled numerics and one sparse one-hot vector per
+        column, assembled.  Level k has slot k - 1; the first level and unseen
+        ones go to the last slot, which the encoder drops."""
+        spark, sc = df.sparkSession, scaled_columns(self.scaler)
+        hot = {c: n for c, n in self.levels.sizes.items() if n > 1}
+        wide = self.levels.join(df).select(
+            *keep, *[sc[c].alias(f"_n_{c}") for c in self.numeric],
+            *[F.when(F.col(f"_ord_{c}") > 0, F.col(f"_ord_{c}") - 1).otherwise(n - 1).cast("double").alias(f"_i_{c}") for c, n in hot.items()],
+            *[interaction(a, b) for a, b in self.interactions])
+        if hot:
+            encoder = OneHotEncoder(inputCols=[f"_i_{c}" for c in hot], outputCols=[f"_h_{c}" for c in hot], dropLast=True)
+            widths = spark.createDataFrame([tuple(float(n - 1) for n in hot.values())], [f"_i_{c}" for c in hot])
+            wide = encoder.fit(widths).transform(wide)
+        inputs = [f"_n_{c}" for c in self.numeric] + [f"_h_{c}" for c in hot] + [f"{a}_x_{b}" for a, b in self.interactions]
+        return VectorAssembler(inputCols=inputs, outputCol=col).transform(wide).select(*keep, col)
+
+
+def tree_prep(df: DataFrame, levels: Levels, numeric: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """raw numerics (as double) ++ label-encoded categoricals."""
-    enc = label_encode_columns(levels)
-    return df.select(*keep, *[F.col(c).cast("double").alias(c) for c in numeric],
-                     *[enc[c].cast("int").alias(c) for c in levels])
+    return label_encode(df, levels).select(*keep, *[F.col(c).cast("double").alias(c) for c in numeric], *levels.sizes)

@@ -65,11 +65,8 @@ def coefficient_table(spark, coefs: Mapping[str, object], intercept: object = 0)
     return spark.createDataFrame(rows, "feature string, weight double")
 
 
-def collect_coefficients(table: DataFrame, max_features: int = 100_000) -> tuple[dict[str, float], float]:
-    """Bring a fitted coefficient table to the driver after a size check."""
-    n = table.count()
-    if n > max_features:
-        raise ValueError(f"coefficient table has {n} rows (> {max_features}); score with a join instead")
+def collect_coefficients(table: DataFrame) -> tuple[dict[str, float], float]:
+    """A fitted coefficient table on the driver; the caller bounds its size."""
     rows = table.collect()
     b = sum(r["weight"] for r in rows if r["feature"] == "(intercept)")
     return {r["feature"]: r["weight"] for r in rows if r["feature"] != "(intercept)"}, b
@@ -96,7 +93,7 @@ def score_linear(df: DataFrame, key: str, coefs: DataFrame, max_inline: int = 10
     as one projection (no shuffle); beyond that the join form is used."""
     n = coefs.count()
     if n - 1 <= max_inline:
-        w, b = collect_coefficients(coefs, max_inline + 1)
+        w, b = collect_coefficients(coefs)
         return df.select(key, linear_score(w, b).alias("z"))
     return score_by_join(df, key, coefs)
 
@@ -180,7 +177,7 @@ def roc_auc(pred: DataFrame, y: str = "class", score: str = "p", positive: int =
     rt = running_totals(per_score, g, ["_s"], "_neg")
     part = F.col("_pos") * (F.col("_before") + F.col("_neg") * 0.5)
     out = _agg(rt, g, F.sum(part).alias("_num"), F.sum("_pos").alias("n_pos"), F.sum("_neg").alias("n_neg"))
-    auc = F.try_divide(F.col("_num"), (F.col("n_pos") * F.col("n_neg")).cast("double"))
+    auc = F.try_divide(F.col("_num"), F.col("n_pos").cast("double") * F.col("n_neg").cast("double"))
     return out.select(*g, "n_pos", "n_neg", F.round(auc, digits).alias("roc_auc"))
 
 

@@ -10,7 +10,7 @@ combined before the shuffle instead of being sorted in one window task.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,10 +48,16 @@ def preferred_or_fallback(runs: DataFrame, names: Sequence[str], group_cols: Seq
 
 def best_run(runs: DataFrame, metric: str = "metric", ascending: bool = False, group_cols: Sequence[str] = ("experiment",),
              cols: Sequence[str] = ("run_id", "run_name", "metric")) -> DataFrame:
-    """L4: run with the best metric per group (ties: smallest run_id)."""
-    m = F.col(metric)
-    order = [(-m) if ascending else m, -F.col("run_id")]
-    return _pick(runs.where(m.isNotNull()), list(group_cols), order, list(cols))
+    """L4: run with the best metric per group (ties: smallest run_id, of any
+    type; NULL and NaN metrics never win)."""
+    m = F.col(metric).cast("double")
+    r = runs.where(m.isNotNull() & ~F.isnan(m))
+    # smallest (score, run_id) wins: partial aggregate, no sorted window
+    score = m if ascending else -m
+    key = F.struct(score.alias("_score"), F.col("run_id").alias("_id"), *[F.col(c).alias(c) for c in cols])
+    g = list(group_cols)
+    best = (r.groupBy(*g) if g else r).agg(F.min(key).alias("_best"))
+    return best.select(*g, *[F.col(f"_best.{c}").alias(c) for c in cols])
 
 
 def comparison_table(long: DataFrame, model: str, split: str, metrics: Sequence[str],
@@ -152,7 +158,3 @@ def scan_tracking_store(spark: SparkSession, root: str) -> DataFrame:
 def metrics_long(runs: DataFrame) -> DataFrame:
     """Run table -> ``(run_id, experiment, run_name, metric, value)``."""
     return runs.select("run_id", "experiment", "run_name", F.explode("metrics").alias("metric", "value"))
-
-
-def runs_from_records(spark: SparkSession, records: Sequence[Mapping]) -> DataFrame:
-    return spark.createDataFrame(list(records), RUN_SCHEMA)

@@ -74,6 +74,11 @@ def _p7(spark, sf):
 
 @query("p8_duplicate_rows")
 def _p8(spark, sf):
+    return P.duplicate_rows(applications(spark, sf).drop("app_id"))      # whole rows but for the key
+
+
+@query("p8_duplicate_rows_few_columns")
+def _p8b(spark, sf):
     return P.duplicate_rows(applications(spark, sf).select("priority", "segment", "region", "class"))
 
 
@@ -261,27 +266,34 @@ def _t5b(spark, sf):
 
 
 # ---------------------------------------------------------------- encoders
-def _sparse(df, key, cols):
-    names = F.array(*[F.lit(c) for c in cols])
-    arr = df.select(key, F.array(*[F.col(c).cast("double") for c in cols]).alias("x"))
-    return (arr.select(key, F.posexplode("x").alias("i", "value")).where(F.col("value") != 0)
-            .select(key, F.element_at(names, F.col("i") + 1).alias("feature"), F.col("value").cast("int").alias("value")))
-
-
 @query("f1_label_encode")
 def _f1(spark, sf):
-    a = checkpoint(applications(spark, sf))     # read by the vocabulary jobs and the projection
-    levels = ENC.collect_vocabulary(ENC.vocabulary(a.where(unseen_fit()), CAT), CAT)
-    enc = ENC.label_encode_columns(levels)
-    return a.select("app_id", *[enc[c].cast("int").alias(c) for c in CAT])
+    a = checkpoint(applications(spark, sf).select("app_id", *CAT))     # read by the vocabulary jobs and the joins
+    return ENC.label_encode(a, ENC.Levels.fit(a.where(unseen_fit()), CAT))
 
 
 @query("f2_one_hot_drop_first")
 def _f2(spark, sf):
-    a = checkpoint(applications(spark, sf))     # read by the vocabulary jobs and the projection
-    levels = ENC.collect_vocabulary(ENC.vocabulary(a.where(unseen_fit()), CAT), CAT)
-    wide = a.select("app_id", *ENC.one_hot_columns(levels))
-    return _sparse(wide, "app_id", [n for _, _, n in ENC.one_hot_names(levels)])
+    a = checkpoint(applications(spark, sf).select("app_id", *CAT))     # read by the vocabulary jobs and the joins
+    return ENC.one_hot_entries(a, ENC.Levels.fit(a.where(unseen_fit()), CAT), "app_id")
+
+
+def many_levels(spark, sf):
+    """Orders with a text column of thousands of levels; fitted on those of
+    before 1998, so that later days are unseen."""
+    o = read_table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").cast("string").alias("order_day"),
+                                               F.col("o_custkey").cast("string").alias("customer"))
+    return o, ENC.Levels.fit(o.where(F.col("order_day") < "1998-01-01"), ["order_day", "customer"])
+
+
+@query("f1_label_encode_many_levels")
+def _f1b(spark, sf):
+    return ENC.label_encode(*many_levels(spark, sf))
+
+
+@query("f2_one_hot_many_levels")
+def _f2b(spark, sf):
+    return ENC.one_hot_entries(*many_levels(spark, sf), "o_orderkey")
 
 
 @query("f3_standard_scale")
@@ -301,17 +313,15 @@ def _f4(spark, sf):
 @query("f5_assemble")
 def _f5(spark, sf):
     sp, prep = train_prep(spark, sf)
-    arr = prep.transform_array(sp, ["app_id"], "x")
-    return arr.select("app_id", F.size("x").alias("n_features"),
-                      F.size(F.filter("x", lambda v: v != 0)).alias("n_nonzero"),
-                      F.round(F.aggregate("x", F.lit(0.0), lambda acc, v: acc + F.abs(v)), 4).alias("l1_norm"))
+    x = prep.transform_cells(sp, ["app_id"])
+    return x.select("app_id", F.lit(prep.n_features).alias("n_features"), F.size("x").alias("n_nonzero"),
+                    F.round(F.aggregate("x.value", F.lit(0.0), lambda acc, v: acc + F.abs(v)), 4).alias("l1_norm"))
 
 
 @query("f6_tree_prep")
 def _f6(spark, sf):
     sp = split_apps(spark, sf)
-    levels = ENC.collect_vocabulary(ENC.vocabulary(sp.where(F.col("split") == "train"), CAT), CAT)
-    return ENC.tree_prep(sp, levels, NUM, keep=["app_id"])
+    return ENC.tree_prep(sp, ENC.Levels.fit(sp.where(F.col("split") == "train"), CAT), NUM, keep=["app_id"])
 
 
 @query("f7_linear_prep")

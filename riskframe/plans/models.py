@@ -58,8 +58,7 @@ def tree_frame(split_df: DataFrame, numeric: Sequence[str], categorical: Sequenc
     """F6 as an MLlib frame (raw numerics ++ label-encoded categoricals)."""
     split_df = checkpoint(split_df)      # read by the vocabulary, weight and transform jobs
     train = split_df.where(F.col("split") == "train")
-    levels = ENC.collect_vocabulary(ENC.vocabulary(train, categorical), categorical)
-    t = ENC.tree_prep(split_df, levels, numeric, keep=[key, label, "split"])
+    t = ENC.tree_prep(split_df, ENC.Levels.fit(train, categorical), numeric, keep=[key, label, "split"])
     cols = list(numeric) + list(categorical)
     x = VectorAssembler(inputCols=cols, outputCol="features").transform(t).select(key, label, "split", "features")
     x = x.withColumn("label", (F.col(label) - 1).cast("double")).withColumn("y_reg", F.col(label).cast("double"))
@@ -210,7 +209,3 @@ def fit_grid(configs: Sequence[Mapping], build: Callable[[Mapping], object], tra
         return row
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         return list(pool.map(one, configs))
-
-
-def pipeline(stages: Sequence) -> Pipeline:
-    return Pipeline(stages=list(stages))

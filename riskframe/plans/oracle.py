@@ -72,6 +72,10 @@ FROM apps""")
 
 ORACLE["p8_duplicate_rows"] = with_views("""
 SELECT CAST(sum(c) AS BIGINT) AS n_rows, count(*) AS n_distinct, CAST(sum(c - 1) AS BIGINT) AS n_duplicates
+FROM (SELECT * EXCLUDE (app_id), count(*) AS c FROM apps GROUP BY ALL) g""")
+
+ORACLE["p8_duplicate_rows_few_columns"] = with_views("""
+SELECT CAST(sum(c) AS BIGINT) AS n_rows, count(*) AS n_distinct, CAST(sum(c - 1) AS BIGINT) AS n_duplicates
 FROM (SELECT priority, segment, region, class, count(*) AS c FROM apps GROUP BY ALL) g""")
 
 ORACLE["p9_histogram"] = with_views(f"""
@@ -261,6 +265,22 @@ _ENC_COLS = ",\n       ".join(
 ORACLE["f1_label_encode"] = with_views(vocab_cte("order_year < 'Y2000'") + f"""
 SELECT app_id, {_ENC_COLS} FROM apps a""")
 
+_MANY = """WITH o AS (SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_day, CAST(o_custkey AS VARCHAR) AS customer FROM orders),
+d AS (SELECT order_day AS level, CAST(dense_rank() OVER (ORDER BY order_day) - 1 AS INTEGER) AS ordinal
+      FROM (SELECT DISTINCT order_day FROM o WHERE order_day < '1998-01-01') x),
+c AS (SELECT customer AS level, CAST(dense_rank() OVER (ORDER BY customer) - 1 AS INTEGER) AS ordinal
+      FROM (SELECT DISTINCT customer FROM o WHERE order_day < '1998-01-01') x)
+"""
+
+ORACLE["f1_label_encode_many_levels"] = _MANY + """
+SELECT o_orderkey, coalesce(d.ordinal, 0) AS order_day, coalesce(c.ordinal, 0) AS customer
+FROM o LEFT JOIN d ON d.level = order_day LEFT JOIN c ON c.level = customer"""
+
+ORACLE["f2_one_hot_many_levels"] = _MANY + """
+SELECT o_orderkey, 'order_day_' || CAST(ordinal AS VARCHAR) AS feature, 1 AS value FROM o JOIN d ON level = order_day WHERE ordinal > 0
+UNION ALL
+SELECT o_orderkey, 'customer_' || CAST(ordinal AS VARCHAR), 1 FROM o JOIN c ON level = customer WHERE ordinal > 0"""
+
 ORACLE["f2_one_hot_drop_first"] = with_views(vocab_cte("order_year < 'Y2000'") + """
 , long AS (""" + "\nUNION ALL ".join(f"SELECT app_id, '{c}' AS column_name, CAST({c} AS VARCHAR) AS level FROM apps" for c in CAT) + """)
 SELECT l.app_id, v.column_name || '_' || CAST(v.ordinal AS VARCHAR) AS feature, 1 AS value

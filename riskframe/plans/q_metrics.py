@@ -28,7 +28,7 @@ def reg_residuals(spark, sf):
 
 
 def m12_model(spark, sf):
-    """M12 applied through its coefficient table (size-checked collect)."""
+    """M12 applied through its coefficient table (a fixed list of terms)."""
     return V.collect_coefficients(V.coefficient_table(spark, M12_COEFS, M12_INTERCEPT))
 
 

@@ -96,7 +96,7 @@ def _m9(spark, sf):
 def _fit_mlp(spark, sf):
     x, prep = _frames(spark, sf)
     train = x.where(F.col("split") == "train")
-    return M.mlp(len(prep.feature_names), (64, 32), max_iter=50).fit(train), x
+    return M.mlp(prep.n_features, (64, 32), max_iter=50).fit(train), x
 
 
 @query("m10_mlp")

@@ -34,18 +34,18 @@ def test_folds_balanced_per_class(spark):
 
 def test_label_encode_unseen_to_zero_and_sorted_levels(spark):
     train = spark.createDataFrame([("A42",), ("A410",), ("A40",)], "purpose string")
-    levels = ENC.collect_vocabulary(ENC.vocabulary(train, ["purpose"]), ["purpose"])
-    assert levels["purpose"] == ["A40", "A410", "A42"]          # binary string order
-    test = spark.createDataFrame([("A42",), ("A47",), (None,)], "purpose string")
-    got = [r[0] for r in ENC.label_encode(test, levels).collect()]
-    assert got == [2, 0, 0]
+    levels = ENC.Levels.fit(train, ["purpose"])
+    order = [r["level"] for r in levels.table.orderBy("ordinal").collect()]
+    assert order == ["A40", "A410", "A42"] and levels.sizes == {"purpose": 3}          # binary string order
+    test = spark.createDataFrame([(0, "A42"), (1, "A47"), (2, None)], "k int, purpose string")
+    got = {r["k"]: r["purpose"] for r in ENC.label_encode(test, levels).collect()}
+    assert got == {0: 2, 1: 0, 2: 0}
 
 
 def test_one_hot_drop_first_unknown_all_zero(spark):
-    levels = {"c": ["a", "b", "c"]}
-    df = spark.createDataFrame([("a",), ("c",), ("z",)], "c string")
-    rows = [tuple(r) for r in df.select(*ENC.one_hot_columns(levels)).collect()]
-    assert rows == [(0, 0), (0, 1), (0, 0)]
+    levels = ENC.Levels.fit(spark.createDataFrame([("a",), ("b",), ("c",)], "c string"), ["c"])
+    df = spark.createDataFrame([(1, "a"), (2, "c"), (3, "z"), (4, None)], "k int, c string")
+    assert [tuple(r) for r in ENC.one_hot_entries(df, levels, "k").collect()] == [(2, "c_2", 1)]
 
 
 def test_scaler_population_sd_and_zero_sd(spark):
@@ -68,14 +68,25 @@ def test_class_weights_balanced(spark):
     assert w == {1: 8 / (2 * 6), 2: 8 / (2 * 2)}
 
 
-def test_label_encode_join_path_equals_inline(spark):
+def test_label_encode_shuffled_equals_broadcast(spark):
     train = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", "x")], "c1 string, c2 string")
     df = spark.createDataFrame([(1, "b", "y"), (2, "z", "x"), (3, None, "q")], "k int, c1 string, c2 string")
-    vocab = ENC.vocabulary(train, ["c1", "c2"])
-    inline = sorted(tuple(r) for r in ENC.label_encode_fitted(df, vocab, ["c1", "c2"]).collect())
-    joined = sorted(tuple(r) for r in ENC.label_encode_fitted(df, vocab, ["c1", "c2"], max_inline=1)
-                    .select("k", "c1", "c2").collect())
-    assert inline == joined == [(1, 1, 1), (2, 0, 0), (3, 0, 0)]
+    levels = ENC.Levels.fit(train, ["c1", "c2"])
+    for rows in (0, 100):
+        got = sorted(tuple(r) for r in ENC.label_encode(df, levels, broadcast_rows=rows).collect())
+        assert got == [(1, 1, 1), (2, 0, 0), (3, 0, 0)]
+
+
+def test_thousands_of_levels(spark):
+    df = spark.range(5000).select(F.col("id").alias("k"), F.format_string("v%05d", "id").alias("c"), F.col("id").cast("double").alias("n"),
+                                  F.lit("only").alias("one"))
+    prep = ENC.FittedPrep.fit(df, ["n"], ["c", "one"])
+    assert prep.n_features == len(prep.feature_names) == 5000
+    v = {r["k"]: r["features"] for r in prep.transform_vector(df, ["k"]).where("k in (0, 1, 4999)").collect()}
+    assert v[0].size == 5000 and [v[0][i] for i in range(1, 5000, 777)] == [0.0] * 7
+    assert v[1][1] == 1.0 and v[4999][4999] == 1.0
+    cells = {r["k"]: [(x["feature_index"], x["feature"]) for x in r["x"]] for r in prep.transform_cells(df, ["k"]).where("k in (0, 1, 4999)").collect()}
+    assert cells == {0: [(0, "n")], 1: [(0, "n"), (1, "c_1")], 4999: [(0, "n"), (4999, "c_4999")]}
 
 
 def test_hash_positions_equal_row_number_for_any_chunking(spark):
@@ -91,11 +102,14 @@ def test_hash_positions_equal_row_number_for_any_chunking(spark):
         assert got == want, bits
 
 
-def test_one_hot_sparse_equals_generated_columns(spark):
-    train = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "c string")
-    df = spark.createDataFrame([(1, "a"), (2, "c"), (3, "z"), (4, None), (5, "d")], "k int, c string")
-    vocab = ENC.vocabulary(train, ["c"])
-    levels = ENC.collect_vocabulary(vocab, ["c"])
-    wide = {r["k"]: list(r)[1:] for r in df.select("k", *ENC.one_hot_columns(levels)).collect()}
-    sparse = {r["k"]: r["c_ohe"].toArray().tolist() for r in ENC.one_hot_sparse(df, vocab, "c").collect()}
-    assert sparse == {k: [float(x) for x in v] for k, v in wide.items()}
+def test_vector_equals_cells(spark):
+    train = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", 4.0), ("d", 9.0)], "c string, n double")
+    df = spark.createDataFrame([(1, "a", 0.5), (2, "c", 4.0), (3, "z", 1.0), (4, None, 2.0), (5, "d", 9.0)], "k int, c string, n double")
+    prep = ENC.FittedPrep.fit(train, ["n"], ["c"], [("n", "n")])
+    vectors = {r["k"]: r["features"].toArray().tolist() for r in prep.transform_vector(df, ["k"]).collect()}
+    for r in prep.transform_cells(df, ["k"]).collect():
+        dense = [0.0] * prep.n_features
+        for x in r["x"]:
+            dense[x["feature_index"]] = x["value"]
+            assert prep.feature_names[x["feature_index"]] == x["feature"]
+        assert vectors[r["k"]] == dense
