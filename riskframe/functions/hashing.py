@@ -25,6 +25,18 @@ def hash32(*parts, seed: int | str) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
 
 
+def hash60(*parts, seed: int | str) -> Column:
+    """Unsigned 60-bit integer (as BIGINT) from the same md5."""
+    text = F.concat(_key_text(*parts), F.lit(f"|{seed}"))
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+
+
+def pick(*parts, seed: int | str, n: Column | int) -> Column:
+    """Deterministic draw from ``0 .. n - 1``; reaches every value of any table
+    of fewer than 2^60 rows."""
+    return hash60(*parts, seed=seed) % (n if isinstance(n, Column) else F.lit(n))
+
+
 def uniform(*parts, seed: int | str) -> Column:
     """Deterministic draw in [0, 1)."""
     return hash32(*parts, seed=seed) / F.lit(TWO_POW_32)

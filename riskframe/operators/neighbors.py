@@ -23,7 +23,8 @@ A vector's id is the smallest key among its copies.
 
 SMOTE draws base row, neighbour rank and gap from md5 of the synthetic
 row number, so the output is identical under re-execution.  Leakage is a
-similarity *threshold* join (cosine > t), pruned the same way.
+similarity *threshold* join (cosine > t) on buckets of random hyperplane
+signatures with exact verification.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.functions.hashing import uniform
+from riskframe.functions.hashing import pick, uniform
 from riskframe.functions.ranking import hash_positions, running_totals
 from riskframe.session import checkpoint
 
@@ -120,13 +121,13 @@ ORDER_DIMS = 8      # coordinates interleaved in the Morton key (pass 1)
 GRID_DIMS = 3       # coordinates of the band grid (pass 2)
 
 
-def knn_vectors(vecs: DataFrame, k: int, group_cols: Sequence[str] = (), ring: int | None = None) -> DataFrame:
-    """R1 on distinct vectors: ``(group.., vid, rank, nn_vid, dist)`` with
-    ranks 1..k; a neighbour vector with c copies fills up to c ranks, a
-    vector's own extra copies come first (distance 0).
+def near_vectors(vecs: DataFrame, k: int, group_cols: Sequence[str] = (), ring: int | None = None) -> DataFrame:
+    """R1 on distinct vectors: ``(group.., vid, nn_vid, dist)`` with, for every
+    vector, all vectors that may hold one of its ``k`` nearest other points.
 
     Pass 1 rings over the Morton order of the widest coordinates (up to 8);
-    pass 2 is a band join on a grid of the 3 widest coordinates."""
+    pass 2 is a band join on a grid of the 3 widest coordinates.  A vector
+    whose group has no more than ``k`` points gets all of them."""
     g = list(group_cols)
     ring = ring or 2 * k
     dims, ranges, dim = _spread_coordinates(vecs, ORDER_DIMS)
@@ -152,8 +153,12 @@ def knn_vectors(vecs: DataFrame, k: int, group_cols: Sequence[str] = (), ring: i
     cand = cand.withColumn("_cum", F.col("cnt") - 1 + F.sum("nn_cnt").over(
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     bound = cand.where(F.col("_cum") >= k).groupBy(*g, "vid").agg(F.min("dist").alias("_r"))
-    selfish = ranked.where(F.col("cnt") - 1 >= k).select(*g, "vid", F.lit(0.0).alias("_r"))
-    bound = bound.join(selfish.select(*g, "vid"), [*g, "vid"], "left_anti").unionByName(selfish)
+    copied = ranked.where(F.col("cnt") - 1 >= k).select(*g, "vid", F.lit(0.0).alias("_r"))
+    bound = bound.join(copied.select(*g, "vid"), [*g, "vid"], "left_anti").unionByName(copied)
+    # too few points in the ring (a small group): the diagonal of the whole range
+    widest = math.sqrt(sum(((hi or 0.0) - (lo or 0.0)) ** 2 for lo, hi in _ranges(vecs)))
+    bound = (ranked.select(*g, "vid").join(bound, [*g, "vid"], "left")
+             .select(*g, "vid", F.coalesce("_r", F.lit(widest)).alias("_r")))
     bound = checkpoint(bound)        # one row per vector; read by the width statistic and by pass 2
     # ---- pass 2: exact band join on a grid of the widest coordinates
     st = bound.agg(F.percentile_approx("_r", 0.5).alias("med"), F.max("_r").alias("mx")).first()
@@ -183,35 +188,47 @@ def knn_vectors(vecs: DataFrame, k: int, group_cols: Sequence[str] = (), ring: i
     pairs = (probe2.join(home, [*g, *cells]).where(near)
              .withColumn("dist", F.sqrt(sq_dist(F.col("vec"), F.col("nn_vec"), dim)))
              .where(F.col("dist") <= F.col("_r"))
-             .select(*g, "vid", "nn_vid", "nn_cnt", "dist"))
-    copies = vecs.where(F.col("cnt") > 1).select(*g, "vid", F.col("vid").alias("nn_vid"),
-                                                 (F.col("cnt") - 1).alias("nn_cnt"), F.lit(0.0).alias("dist"))
-    allc = pairs.unionByName(copies)
-    w2 = Window.partitionBy(*g, "vid").orderBy("dist", "nn_vid")   # candidates within the bound only
-    allc = allc.withColumn("_before", F.coalesce(F.sum("nn_cnt").over(
-        w2.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    kept = allc.where(F.col("_before") < k)
-    ranks = F.sequence(F.col("_before") + 1, F.least(F.col("_before") + F.col("nn_cnt"), F.lit(k))).cast("array<int>")
-    return kept.select(*g, "vid", F.explode(ranks).alias("rank"), "nn_vid", "dist")
+             .select(*g, "vid", "nn_vid", "dist"))
+    return pairs.unionByName(vecs.select(*g, "vid", F.col("vid").alias("nn_vid"), F.lit(0.0).alias("dist")))
+
+
+def _ranges(vecs: DataFrame) -> list[tuple[float, float]]:
+    """Least and greatest value of every coordinate."""
+    per = (vecs.select(F.posexplode("vec").alias("_j", "_v")).groupBy("_j")
+           .agg(F.min("_v").alias("lo"), F.max("_v").alias("hi")).collect())
+    return [(r["lo"], r["hi"]) for r in per]
+
+
+def _members(points: DataFrame, vecs: DataFrame, key: str, k: int, g: list[str]) -> DataFrame:
+    """``(group.., vid, nn_key)``: the ``k + 1`` smallest keys of every vector.
+    Only vectors with copies are ranked, by chunked ranks: a group of copies,
+    however large, never meets in one task."""
+    many = points.join(vecs.where("cnt > 1").select(*g, "vid"), [*g, "vid"]).withColumn("_one", F.lit(1).cast("long"))
+    ranked = running_totals(many, [*g, "vid"], [key], "_one").where(F.col("_before") <= k)
+    single = vecs.where("cnt = 1").select(*g, "vid", F.col("vid").alias("nn_key"))
+    return single.unionByName(ranked.select(*g, "vid", F.col(key).alias("nn_key")))
 
 
 def knn(df: DataFrame, key: str, vec: str, k: int = 5, group_cols: Sequence[str] = ()) -> DataFrame:
-    """Exact k nearest neighbours of every row among the rows of its
-    group (self excluded; copies of the same vector count as neighbours at
-    distance 0).  ``(group.., key, rank, nn_key, dist)`` where ``nn_key`` is
-    the smallest key holding the neighbour's vector."""
+    """Exact k nearest neighbours of every row among the other rows of its
+    group, ordered by distance, then key: ``(group.., key, rank, nn_key,
+    dist)``.  A row is never its own neighbour; copies of its vector are, at
+    distance 0.  A row of a group with fewer than ``k`` others gets them all.
+    Keys are unique within a group."""
     g = list(group_cols)
     points, vecs = distinct_vectors(df, key, vec, g)
-    # several jobs read the distinct vectors (sizes, ranks, bound, pairs):
-    # materialise them once in the shared checkpoint folder
-    vecs = checkpoint(vecs)
-    sizes = {tuple(r[c] for c in g): r["n"] for r in
-             (vecs.groupBy(*g).agg(F.sum("cnt").alias("n")) if g else vecs.agg(F.sum("cnt").alias("n"))).collect()}
-    small = {gk: n for gk, n in sizes.items() if n is not None and n <= k}
-    if small:
-        raise ValueError(f"groups with no more than k={k} rows cannot have k neighbours: {small}")
-    nn = knn_vectors(vecs, k, g)
-    return points.join(nn, [*g, "vid"]).select(*g, key, "rank", F.col("nn_vid").alias("nn_key"), "dist")
+    # several jobs read both: materialise them once in the shared folder
+    points, vecs = checkpoint(points), checkpoint(vecs)
+    near = near_vectors(vecs, k, g)
+    members = checkpoint(_members(points, vecs, key, k, g))
+    cand = near.join(members.withColumnRenamed("vid", "nn_vid"), [*g, "nn_vid"]).select(*g, "vid", "nn_key", "dist")
+    # the k + 1 nearest points of the vector, itself included: a rank limit, which Spark applies before the shuffle too
+    order = Window.partitionBy(*g, "vid").orderBy("dist", "nn_key")
+    best = cand.withColumn("_i", F.row_number().over(order)).where(F.col("_i") <= k + 1)
+    lists = checkpoint(best.groupBy(*g, "vid").agg(F.sort_array(F.collect_list(F.struct("dist", "nn_key"))).alias("_nn")))
+    others = F.slice(F.filter("_nn", lambda x: x["nn_key"] != F.col(key)), 1, k)
+    return (points.join(lists, [*g, "vid"]).select(*g, key, F.posexplode(others).alias("rank", "_x"))
+            .select(*g, key, (F.col("rank") + 1).cast("int").alias("rank"), "_x.nn_key", "_x.dist"))
 
 
 def smote(df: DataFrame, key: str, vec: str, label: str, k: int = 5, seed: int = 42,
@@ -240,6 +257,9 @@ def smote(df: DataFrame, key: str, vec: str, label: str, k: int = 5, seed: int =
         n_syn = max(c.values()) - c.get(mino_label, 0)
         plan.append((gk, mino_label, c.get(mino_label, 0), n_syn, offset))
         offset += n_syn
+    alone = [gk for gk, _, n_min, n_syn, _ in plan if n_syn and n_min < 2]
+    if alone:
+        raise ValueError(f"oversampling needs two minority rows; groups with fewer: {alone}")
     spark = df.sparkSession
     ltype = df.schema[label].dataType.simpleString()
     gschema = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in g)
@@ -265,8 +285,8 @@ def smote(df: DataFrame, key: str, vec: str, label: str, k: int = 5, seed: int =
     ids = ids.join(F.broadcast(gi_info), "_gi").withColumn("syn_id", F.col("id") - F.col("_off"))
     draw_parts = [*g, "syn_id"]
     syn = ids.select(*g, "syn_id",
-                     F.floor(uniform(*draw_parts, seed=f"base{seed}") * F.col("_nmin")).cast("long").alias("_bp"),
-                     (F.floor(uniform(*draw_parts, seed=f"rank{seed}") * k) + 1).cast("int").alias("rank"),
+                     pick(*draw_parts, seed=f"base{seed}", n=F.col("_nmin")).alias("_bp"),
+                     (pick(*draw_parts, seed=f"rank{seed}", n=F.least(F.lit(k), F.col("_nmin") - 1)) + 1).cast("int").alias("rank"),
                      uniform(*draw_parts, seed=f"gap{seed}").alias("gap"))
     s = (syn.join(pos, [*g, "_bp"]).withColumnRenamed(key, "base_key")
          .join(neigh.select(*g, F.col(key).alias("base_key"), "rank", "nn_key"), [*g, "base_key", "rank"]))
@@ -284,29 +304,83 @@ def smote(df: DataFrame, key: str, vec: str, label: str, k: int = 5, seed: int =
     return orig.unionByName(synth)
 
 
-def similar_pairs(left: DataFrame, right: DataFrame, key: str, vec: str, threshold: float) -> DataFrame:
-    """R5 core: all (left, right) pairs with cosine similarity > threshold.
+def balance_before_after(distribution: DataFrame) -> DataFrame:
+    """The class counts before oversampling, and after it, when every class
+    has as many rows as the largest: no neighbour is needed to count."""
+    d = distribution.select("class", "label_text", F.col("n").alias("_n"), F.max("n").over(Window.partitionBy(F.lit(0))).alias("_most"),
+                            F.min("n").over(Window.partitionBy(F.lit(0))).alias("_least"))      # k class rows
+    grown = F.when(F.col("_n") == F.col("_least"), F.col("_most")).otherwise(F.col("_n"))
+    long = d.select("class", "label_text", F.explode(F.array(F.struct(F.lit("before").alias("stage"), F.col("_n").alias("n")),
+                                                             F.struct(F.lit("after").alias("stage"), grown.alias("n")))).alias("x"))
+    total = F.sum("x.n").over(Window.partitionBy("x.stage"))
+    return long.select("class", "label_text", F.col("x.n").alias("n"), F.round(100.0 * F.col("x.n") / total, 4).alias("pct"), F.col("x.stage").alias("stage"))
+
+
+LSH_FROM = 0.7      # thresholds from here on use signature buckets
+
+
+def hash_tables(threshold: float, bits: int, miss: float) -> int:
+    """Tables of ``bits`` random hyperplanes with which a pair at the threshold
+    shares no bucket with probability ``miss`` at most."""
+    same = (1.0 - math.acos(threshold) / math.pi) ** bits
+    return max(1, math.ceil(math.log(miss) / math.log(1.0 - same))) if same < 1 else 1
 
-    On unit vectors cos > t  <=>  ||a - b|| < sqrt(2 - 2t), which bounds the
-    difference in every coordinate; right rows sit in buckets of that width
-    on their first coordinate and each left row probes the buckets its band
-    covers (at most 3)."""
+
+def _signatures(vectors: DataFrame, key: str, dim: int, bits: int, tables: int, seed: int) -> DataFrame:
+    """``(key, _sig)`` per table: the sides of seeded random hyperplanes, with
+    the table's number in the upper bits."""
+    import numpy as np
+    import pyarrow as pa
+
+    def run(batches):
+        planes = np.random.default_rng(seed).standard_normal((dim, tables * bits))
+        weights = np.left_shift(1, np.arange(bits, dtype=np.int64))
+        for b in batches:
+            for lo in range(0, b.num_rows, 1000):
+                part = b.slice(lo, 1000)
+                x = np.array(part.column("_u").to_pylist(), np.float64).reshape(part.num_rows, dim)
+                side = (x @ planes >= 0).reshape(part.num_rows, tables, bits) @ weights
+                sig = side + (np.arange(tables, dtype=np.int64) << bits)
+                at = np.repeat(np.arange(part.num_rows), tables)
+                yield pa.RecordBatch.from_arrays([part.column(key).take(pa.array(at)), pa.array(sig.ravel())], [key, "_sig"])
+    return vectors.select(key, "_u").mapInArrow(run, vectors.select(key).schema.add("_sig", "long"))
+
+
+def _unit_vectors(df: DataFrame, key: str, vec: str) -> tuple[DataFrame, DataFrame]:
+    points, vecs = distinct_vectors(df, key, vec)
+    return checkpoint(points), checkpoint(vecs.select("vid", unit(F.col("vec")).alias("_u")))
+
+
+def similar_pairs(left: DataFrame, right: DataFrame, key: str, vec: str, threshold: float, miss: float = 1e-6,
+                  bits: int = 14, seed: int = 42) -> DataFrame:
+    """R5 core: (left, right) pairs with cosine similarity > threshold.
+
+    Copies are one vector.  From ``LSH_FROM`` on, vectors meet in buckets of
+    random hyperplane signatures and candidates are verified exactly; a pair
+    at the threshold is missed with probability ``miss`` at most.  Lower
+    thresholds use the bound ``cos > t  <=>  ||a - b|| < sqrt(2 - 2t)`` on the
+    first coordinate: exact, but little is pruned."""
     if threshold < -1:
         raise ValueError("threshold below -1 matches every pair; use a full scan instead")
-    r = (2.0 - 2.0 * threshold) ** 0.5 if threshold < 1 else 0.0
-    width = r if r > 0 else 1.0
     dim = vector_dim(left.select(vec).unionByName(right.select(vec)), vec)
-    lu = left.select(F.col(key).alias("left_key"), unit(F.col(vec).cast("array<double>")).alias("_a"))
-    ru = right.select(F.col(key).alias("right_key"), unit(F.col(vec).cast("array<double>")).alias("_b"))
-    lo = F.floor((F.col("_a")[0] - F.lit(r)) / width).cast("long")
-    hi = F.floor((F.col("_a")[0] + F.lit(r)) / width).cast("long")
-    probes = lu.select("left_key", "_a", F.explode(F.sequence(lo, hi)).alias("_bk"))
-    home = ru.select("right_key", "_b", F.floor(F.col("_b")[0] / width).cast("long").alias("_bk"))
-    sim = dot(F.col("_a"), F.col("_b"), dim)
-    return (probes.join(home, "_bk")
-            .where(F.abs(F.col("_a")[0] - F.col("_b")[0]) <= F.lit(r))
-            .select("left_key", "right_key", sim.alias("similarity"))
-            .where(F.col("similarity") > F.lit(float(threshold))))
+    (lp, lv), (rp, rv) = _unit_vectors(left, key, vec), _unit_vectors(right, key, vec)
+    a, b = lv.select(F.col("vid").alias("_l"), F.col("_u").alias("_a")), rv.select(F.col("vid").alias("_r"), F.col("_u").alias("_b"))
+    if threshold >= LSH_FROM:
+        tables = hash_tables(threshold, bits, miss)
+        ls = _signatures(lv, "vid", dim, bits, tables, seed).withColumnRenamed("vid", "_l")
+        rs = _signatures(rv, "vid", dim, bits, tables, seed).withColumnRenamed("vid", "_r")
+        met = ls.join(rs, "_sig").select("_l", "_r").distinct()
+        cand = met.join(a, "_l").join(b, "_r")
+    else:
+        r = (2.0 - 2.0 * threshold) ** 0.5
+        lo = F.floor((F.col("_a")[0] - F.lit(r)) / r).cast("long")
+        hi = F.floor((F.col("_a")[0] + F.lit(r)) / r).cast("long")
+        probes = a.withColumn("_bk", F.explode(F.sequence(lo, hi)))
+        cand = probes.join(b.withColumn("_bk", F.floor(F.col("_b")[0] / r).cast("long")), "_bk").where(F.abs(F.col("_a")[0] - F.col("_b")[0]) <= F.lit(r))
+    hits = checkpoint(cand.select("_l", "_r", dot(F.col("_a"), F.col("_b"), dim).alias("similarity")).where(F.col("similarity") > F.lit(float(threshold))))
+    return (hits.join(lp.select(F.col(key).alias("left_key"), F.col("vid").alias("_l")), "_l")
+            .join(rp.select(F.col(key).alias("right_key"), F.col("vid").alias("_r")), "_r")
+            .select("left_key", "right_key", "similarity"))
 
 
 def leakage_report(test: DataFrame, train: DataFrame, key: str, vec: str, threshold: float = 0.95,

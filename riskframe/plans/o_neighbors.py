@@ -11,17 +11,11 @@ DOT = "list_reduce(list_transform(range(1, len({a}) + 1), lambda i: {a}[i] * {b}
 
 
 def knn_sql(src: str, k: int) -> str:
-    """CTEs pts / rk: exact kNN over distinct vectors of ``src(grp, key, vec)``."""
-    return f""", pts AS (SELECT grp, vec, min(key) AS vid, count(*) AS c FROM {src} GROUP BY grp, vec),
-pairs AS (SELECT a.grp, a.vid, b.vid AS nn, b.c, sqrt({SQD.format(a='a.vec', b='b.vec')}) AS dist
-          FROM pts a JOIN pts b ON a.grp = b.grp AND a.vid <> b.vid
-          UNION ALL SELECT grp, vid, vid, c - 1, 0.0 FROM pts WHERE c > 1),
-ord AS (SELECT *, coalesce(sum(c) OVER (PARTITION BY grp, vid ORDER BY dist, nn
-                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM pairs),
-rk AS (SELECT grp, vid, nn, dist, unnest(range(CAST(before AS BIGINT) + 1, CAST(least(before + c, {k}) AS BIGINT) + 1)) AS rank
-       FROM ord WHERE before < {k}),
-nn AS (SELECT s.grp, s.key, CAST(rk.rank AS INTEGER) AS rank, rk.nn AS nn_key, rk.dist
-       FROM {src} s JOIN pts p ON s.grp = p.grp AND s.vec = p.vec JOIN rk ON rk.grp = p.grp AND rk.vid = p.vid)"""
+    """CTE nn: exact kNN of every row of ``src(grp, key, vec)`` among the others."""
+    return f""", nn AS (SELECT grp, key, CAST(rank AS INTEGER) AS rank, nn_key, dist FROM (
+  SELECT *, row_number() OVER (PARTITION BY grp, key ORDER BY dist, nn_key) AS rank FROM (
+    SELECT a.grp, a.key, b.key AS nn_key, sqrt({SQD.format(a='a.vec', b='b.vec')}) AS dist
+    FROM {src} a JOIN {src} b ON a.grp = b.grp AND a.key <> b.key) p) q WHERE rank <= {k})"""
 
 
 ORACLE["r1_knn"] = f"""
@@ -43,8 +37,8 @@ SMOTE = TRAIN + """
 """ + knn_sql("src", 5) + f"""
 , cnt AS (SELECT count(*) FILTER (WHERE class = 2) AS n_min, count(*) FILTER (WHERE class <> 2) AS n_maj FROM tr),
 pos AS (SELECT key, vec, row_number() OVER (ORDER BY {_hash('key', 'smote42')}, key) - 1 AS bp FROM src),
-syn AS (SELECT id AS syn_id, CAST(floor({_hash('id', 'base42')} / 4294967296.0 * n_min) AS BIGINT) AS bp,
-               CAST(floor({_hash('id', 'rank42')} / 4294967296.0 * 5) + 1 AS INTEGER) AS rank,
+syn AS (SELECT id AS syn_id, CAST(('0x' || substr(md5(CAST(id AS VARCHAR) || '|base42'), 1, 15)) AS BIGINT) % n_min AS bp,
+               CAST(CAST(('0x' || substr(md5(CAST(id AS VARCHAR) || '|rank42'), 1, 15)) AS BIGINT) % least(5, n_min - 1) + 1 AS INTEGER) AS rank,
                {_hash('id', 'gap42')} / 4294967296.0 AS gap
         FROM cnt, range(0, (SELECT n_maj - n_min FROM cnt)) t(id)),
 s AS (SELECT syn.syn_id, p.key AS base_key, nn.nn_key, syn.gap, p.vec AS x, v.vec AS nv
@@ -65,8 +59,11 @@ SELECT class, CASE WHEN class = 1 THEN 'Good Credit' ELSE 'Bad Credit' END AS la
        round(100.0 * count(*) / sum(count(*)) OVER (PARTITION BY stage), 4)::DOUBLE AS pct, stage
 FROM b GROUP BY stage, class""")
 
-EMB_SPLIT = split_cte(group="label", src="emb").replace("app_id", "vec_id")
-EMB = "WITH emb AS (SELECT * FROM embeddings)\n" + EMB_SPLIT + """
+EMB_SPLIT = split_cte(group="label", src="emb", name="sp0").replace("app_id", "vec_id")
+EMB = "WITH emb AS (SELECT * FROM embeddings)\n" + EMB_SPLIT.replace(", sp AS", ", sp0 AS") + """
+, sp AS (SELECT vec_id, split, embedding FROM sp0
+         UNION ALL SELECT vec_id + 1000000000 * o, s, list_transform(embedding, lambda x, i: CAST(x AS DOUBLE) * CASE WHEN i % 3 = 0 THEN 1.25 ELSE 1.0 END)
+         FROM sp0 JOIN (VALUES (1, 'test', 7), (2, 'val', 11)) t(o, s, every) ON split = 'train' AND vec_id % every = 0)
 , unitv AS (SELECT vec_id, split, CASE WHEN nrm > 0 THEN list_transform(v, lambda x: x / nrm)
                                        ELSE list_transform(v, lambda x: x * 0.0) END AS u
             FROM (SELECT vec_id, split, CAST(embedding AS DOUBLE[]) AS v,
@@ -90,7 +87,10 @@ FROM {_sims(a, 'train')} s WHERE similarity > {t}"""
 ORACLE["r5_leakage_summary"] = EMB + "\n" + _summary("test", 0.95)
 ORACLE["r5_similar_pairs"] = EMB + f"""
 SELECT left_key AS test_id, right_key AS train_id, round(similarity, 6) AS similarity
-FROM {_sims('test', 'train')} s WHERE similarity > 0.4"""
+FROM {_sims('test', 'train')} s WHERE similarity > 0.9"""
+ORACLE["r5_leakage_report"] = EMB + f"""
+SELECT left_key AS vec_id, round(max(similarity), 6) AS max_similarity, count(*) AS n_matches
+FROM {_sims('test', 'train')} s WHERE similarity > 0.95 GROUP BY left_key"""
 ORACLE["l9_integrity"] = EMB + "\n" + _summary("test", 0.95).replace("AS threshold", "AS threshold, 'train-test' AS pair") + \
     "\nUNION ALL\n" + _summary("val", 0.95).replace("AS threshold", "AS threshold, 'train-val' AS pair")
 
@@ -107,10 +107,9 @@ src AS (SELECT fit_fold AS grp, app_id AS key, x AS vec FROM fit WHERE class = 2
 pos AS (SELECT grp, key, vec, row_number() OVER (PARTITION BY grp ORDER BY {_hash('key', 'smote42')}, key) - 1 AS bp FROM src),
 ids AS (SELECT fit_fold, n_min, unnest(range(0, n_maj - n_min)) AS syn_id FROM cnt),
 syn AS (SELECT fit_fold, syn_id,
-               CAST(floor(CAST(('0x' || substr(md5(CAST(fit_fold AS VARCHAR) || '|' || CAST(syn_id AS VARCHAR) || '|base42'), 1, 8)) AS BIGINT)
-                          / 4294967296.0 * n_min) AS BIGINT) AS bp,
-               CAST(floor(CAST(('0x' || substr(md5(CAST(fit_fold AS VARCHAR) || '|' || CAST(syn_id AS VARCHAR) || '|rank42'), 1, 8)) AS BIGINT)
-                          / 4294967296.0 * 5) + 1 AS INTEGER) AS rank,
+               CAST(('0x' || substr(md5(CAST(fit_fold AS VARCHAR) || '|' || CAST(syn_id AS VARCHAR) || '|base42'), 1, 15)) AS BIGINT) % n_min AS bp,
+               CAST(CAST(('0x' || substr(md5(CAST(fit_fold AS VARCHAR) || '|' || CAST(syn_id AS VARCHAR) || '|rank42'), 1, 15)) AS BIGINT)
+                    % least(5, n_min - 1) + 1 AS INTEGER) AS rank,
                CAST(('0x' || substr(md5(CAST(fit_fold AS VARCHAR) || '|' || CAST(syn_id AS VARCHAR) || '|gap42'), 1, 8)) AS BIGINT)
                  / 4294967296.0 AS gap
         FROM ids),

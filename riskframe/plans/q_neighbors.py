@@ -26,7 +26,16 @@ def smote_input(spark, sf):
 
 
 def embedding_split(spark, sf):
-    return SPL.stratified_split(read_table(spark, sf, "embeddings"), "vec_id", "label", seed=SEED)
+    """Split embeddings, with near copies of train vectors added to the test
+    and the validation side, so that there is something to find."""
+    sp = checkpoint(SPL.stratified_split(read_table(spark, sf, "embeddings"), "vec_id", "label", seed=SEED)
+                    .select("vec_id", "split", F.col("embedding").cast("array<double>").alias("embedding")))
+    near = F.transform("embedding", lambda x, i: x * F.when((i + 1) % 3 == 0, 1.25).otherwise(1.0))
+    out = sp
+    for offset, side, every in ((1, "test", 7), (2, "val", 11)):
+        out = out.unionByName(sp.where((F.col("split") == "train") & (F.col("vec_id") % every == 0))
+                              .select((F.col("vec_id") + offset * 1_000_000_000).alias("vec_id"), F.lit(side).alias("split"), near.alias("embedding")))
+    return out
 
 
 @query("r1_knn")
@@ -55,10 +64,7 @@ def _r2(spark, sf):
 
 @query("r3_balance_before_after")
 def _r3(spark, sf):
-    src = smote_input(spark, sf)
-    before = P.class_distribution(src).withColumn("stage", F.lit("before"))
-    after = P.class_distribution(N.smote(src, "app_id", "x", "class", k=K, seed=SEED)).withColumn("stage", F.lit("after"))
-    return before.unionByName(after)
+    return N.balance_before_after(P.class_distribution(smote_input(spark, sf)))
 
 
 @query("r4_smote_per_fold")
@@ -86,10 +92,16 @@ def _r5(spark, sf):
     return N.leakage_summary(test, train, "vec_id", "embedding", threshold=0.95)
 
 
+@query("r5_leakage_report")
+def _r5c(spark, sf):
+    test, train = _pairs(spark, sf, "test", "train")
+    return N.leakage_report(test, train, "vec_id", "embedding", threshold=0.95)
+
+
 @query("r5_similar_pairs")
 def _r5b(spark, sf):
     test, train = _pairs(spark, sf, "test", "train")
-    p = N.similar_pairs(test, train, "vec_id", "embedding", threshold=0.4)
+    p = N.similar_pairs(test, train, "vec_id", "embedding", threshold=0.9)
     return p.select(F.col("left_key").alias("test_id"), F.col("right_key").alias("train_id"),
                     F.round("similarity", 6).alias("similarity"))
 

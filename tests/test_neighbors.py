@@ -9,31 +9,11 @@ from riskframe.operators import neighbors as N
 
 
 def _brute_knn(points, k):
-    """Same semantics as N.knn: distinct vectors with multiplicity, ties by
-    the neighbour's smallest key."""
-    vid = {}
-    for key, v in points:
-        vid[tuple(v)] = min(vid.get(tuple(v), key), key)
-    cnt = {}
-    for _, v in points:
-        cnt[tuple(v)] = cnt.get(tuple(v), 0) + 1
+    """The k nearest other rows by (distance, key)."""
     out = {}
     for key, v in points:
-        cands = []
-        for u, c in cnt.items():
-            if u == tuple(v):
-                if c > 1:
-                    cands.append((0.0, vid[u], c - 1))
-            else:
-                cands.append((math.sqrt(sum((a - b) ** 2 for a, b in zip(v, u))), vid[u], c))
-        cands.sort()
-        ranks, r = [], 0
-        for d, nid, c in cands:
-            for _ in range(c):
-                if r < k:
-                    r += 1
-                    ranks.append((r, nid, round(d, 9)))
-        out[key] = ranks
+        near = sorted((math.sqrt(sum((a - b) ** 2 for a, b in zip(v, u))), other) for other, u in points if other != key)
+        out[key] = [(i + 1, other, round(d, 9)) for i, (d, other) in enumerate(near[:k])]
     return out
 
 
@@ -49,16 +29,12 @@ def test_knn_matches_brute_force_with_duplicates(spark):
     assert {k: sorted(v) for k, v in got.items()} == want
 
 
-def test_knn_groups_and_small_group_error(spark):
+def test_knn_groups_and_small_groups(spark):
     df = spark.createDataFrame([(i, i % 2, [float(i)]) for i in range(20)], "k long, g int, v array<double>")
     nn = N.knn(df, "k", "v", k=2, group_cols=["g"]).where(F.col("k") == 10).orderBy("rank").collect()
     assert [(r["nn_key"], r["dist"]) for r in nn] == [(8, 2.0), (12, 2.0)]
     tiny = spark.createDataFrame([(1, [0.0]), (2, [1.0])], "k long, v array<double>")
-    try:
-        N.knn(tiny, "k", "v", k=5).collect()
-        raise AssertionError("expected an error")
-    except ValueError:
-        pass
+    assert sorted((r["k"], r["rank"], r["nn_key"]) for r in N.knn(tiny, "k", "v", k=5).collect()) == [(1, 1, 2), (2, 1, 1)]
 
 
 def test_smote_balances_and_stays_on_segments(spark):
@@ -90,3 +66,17 @@ def test_similar_pairs_match_brute_force(spark):
         want = {(a, b) for a, va in left for b, vb in right if cos(va, vb) > t}
         got = {(r["left_key"], r["right_key"]) for r in N.similar_pairs(L, R, "k", "v", t).collect()}
         assert got == want, t
+
+
+def test_signature_buckets_find_planted_copies_among_many(spark):
+    rnd = random.Random(6)
+    right = [(i, [rnd.gauss(0, 1) for _ in range(32)]) for i in range(600)] + [(5000 + i, [1.0] * 32) for i in range(50)]
+    left = [(10000 + i, [x + rnd.gauss(0, 0.15) for x in v]) for i, v in right[:40]] + [(20000, [1.0] * 32)]
+    L, R = (spark.createDataFrame(x, "k long, v array<double>") for x in (left, right))
+
+    def cos(a, b):
+        return sum(x * y for x, y in zip(a, b)) / math.sqrt(sum(x * x for x in a) * sum(y * y for y in b))
+    want = {(a, b) for a, va in left for b, vb in right if cos(va, vb) > 0.95}
+    got = {(r["left_key"], r["right_key"]) for r in N.similar_pairs(L, R, "k", "v", 0.95).collect()}
+    assert got == want and len(want) > 80
+    assert N.hash_tables(0.95, 14, 1e-6) < 80
