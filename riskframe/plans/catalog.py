@@ -349,6 +349,8 @@ import riskframe.plans.q_neighbors  # noqa: E402,F401  (registers R*, L9)
 
 import riskframe.plans.q_models  # noqa: E402,F401  (registers M*, S6, S7, G2, G3, G11, L8)
 
+import riskframe.plans.q_checks  # noqa: E402,F401  (registers the facts about fitted models)
+
 
 # ---------------------------------------------------------------- second labelled source (labels x documents)
 def labelled_documents(spark, sf):

@@ -68,7 +68,7 @@ def tree_frame(split_df: DataFrame, numeric: Sequence[str], categorical: Sequenc
 
 # ---------------------------------------------------------------- learners
 def logistic(train: DataFrame, C: float = 1.0, penalty: str = "l1", balanced: bool = True,
-             max_iter: int = 100) -> LogisticRegression:
+             max_iter: int = 1000) -> LogisticRegression:
     """M1 / M2 with the scikit-learn C mapped onto regParam."""
     if penalty not in ("l1", "l2"):
         raise ValueError(f"penalty must be l1 or l2, not {penalty!r}")
@@ -80,7 +80,8 @@ def logistic(train: DataFrame, C: float = 1.0, penalty: str = "l1", balanced: bo
 
 
 def decision_tree(max_depth: int = 5, min_samples_leaf: int = 1, balanced: bool = True,
-                  max_features: str | None = None, seed: int = 42, **unsupported) -> object:
+                  max_features: str | float | None = None, seed: int = 42,
+                  max_bins: int = 64, **unsupported) -> object:
     """M3 / M4: a single tree; a per-split feature subset needs the forest
     learner with one tree and no bootstrap."""
     if unsupported:
@@ -88,7 +89,7 @@ def decision_tree(max_depth: int = 5, min_samples_leaf: int = 1, balanced: bool
         raise ValueError(f"no MLlib counterpart for tree parameter(s): {sorted(unsupported)}"
                          + (f" (scikit-learn only: {known})" if known else ""))
     common = dict(featuresCol="features", labelCol="label", maxDepth=max_depth,
-                  minInstancesPerNode=min_samples_leaf, impurity="gini", maxBins=64)
+                  minInstancesPerNode=min_samples_leaf, impurity="gini", maxBins=max_bins)
     if max_features is None:
         m = DecisionTreeClassifier(seed=seed, **common)
     else:
@@ -97,17 +98,17 @@ def decision_tree(max_depth: int = 5, min_samples_leaf: int = 1, balanced: bool
     return m.setWeightCol("weight") if balanced else m
 
 
-def tree_regressor(max_depth: int = 5, min_samples_leaf: int = 30, seed: int = 42) -> DecisionTreeRegressor:
+def tree_regressor(max_depth: int = 5, min_samples_leaf: int = 30, seed: int = 42, max_bins: int = 64) -> DecisionTreeRegressor:
     """M5."""
     return DecisionTreeRegressor(featuresCol="features", labelCol="y_reg", maxDepth=max_depth,
-                                 minInstancesPerNode=min_samples_leaf, seed=seed, maxBins=64)
+                                 minInstancesPerNode=min_samples_leaf, seed=seed, maxBins=max_bins)
 
 
 def linear_regression(train: DataFrame, kind: str = "ols", alpha: float = 0.0, l1_ratio: float = 0.5,
                       fit_intercept: bool = True) -> LinearRegression:
     """M6-M9 with the scikit-learn alpha mapped onto regParam."""
     common = dict(featuresCol="features", labelCol="y_reg", fitIntercept=fit_intercept, standardization=False,
-                  maxIter=200, tol=1e-6)
+                  maxIter=1000, tol=1e-6)
     if kind == "ols":
         return LinearRegression(regParam=0.0, **common)
     st = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("y_reg").alias("sd")).first()

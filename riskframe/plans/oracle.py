@@ -343,3 +343,5 @@ import riskframe.plans.o_runs  # noqa: E402,F401  (registers L* twins)
 import riskframe.plans.o_sources  # noqa: E402,F401  (registers S* twins)
 
 import riskframe.plans.o_neighbors  # noqa: E402,F401  (registers R*, L9 twins)
+
+import riskframe.plans.o_checks  # noqa: E402,F401  (registers the twins of the model facts)
