@@ -7,7 +7,6 @@ functions  column-expression helpers (hashing, scalar exprs, distributed ranking
 operators  DataFrame -> DataFrame operators: profiling, splits, encoders,
            resampling, leakage, scoring, metrics, tuning analysis, leaderboards
 plans      MLlib model builders, the named query catalog and its SQL oracle
-streaming  intentionally empty (the reference has no streaming path)
 """
 
 __version__ = "0.1.0"

@@ -107,24 +107,28 @@ def read_runs(spark: SparkSession, path: str, experiment: str | None = None) ->
 def scan_tracking_store(spark: SparkSession, root: str) -> DataFrame:
     """Read a file-per-value tracking tree into one row per run.
 
-    Layout: ``<exp>/<run>/meta.yaml`` (``start_time: <ms>``, ``end_time``,
-    ``run_name``), ``<exp>/<run>/params/<k>``, ``<exp>/<run>/tags/<k>``,
-    ``<exp>/<run>/metrics/<k>`` with lines ``<ts_ms> <value> <step>`` (the
-    last by (step, ts) wins).  Many tiny files are read in one job with
-    ``wholetext`` + the file path from ``_metadata``; parsing is regex.
+    Layout: ``<exp>/meta.yaml`` (``name:``), ``<exp>/<run>/meta.yaml``
+    (``start_time: <ms>``, ``end_time``, ``run_name``), and
+    ``<exp>/<run>/{params,tags,metrics}/<name>``, where a name may have slashes;
+    metric files hold lines ``<ts_ms> <value> <step>`` (the last by (step, ts)
+    wins).  ``experiment`` is the name in the experiment's meta file, or its
+    folder where there is none.  Other files (models, artifacts) are left out by
+    a filter on the path, which Spark applies to the file listing; the rest are
+    read in one job with ``wholetext``.
     """
+    import re
     root = root.rstrip("/")
+    bare = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:/+", "/", root).rstrip("/")         # scheme-less form of the root
+    wanted = re.escape(bare) + r"/[^/]+/(meta\.yaml|[^/]+/(meta\.yaml|(params|tags|metrics)/.+))$"
     files = (spark.read.text(root, wholetext=True, recursiveFileLookup=True)
-             .select(F.col("value").alias("body"), F.col("_metadata.file_path").alias("path")))
-    import re
-    bare = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:/+", "/", root)         # scheme-less form of the root
-    rel = F.regexp_extract("path", re.escape(bare.rstrip("/")) + r"/(.*)$", 1)
-    parts = F.split(rel, "/")
-    kind = F.when(F.size(parts).isin(3, 4), F.get(parts, 2))
-    f = files.select("body", F.get(parts, 0).alias("experiment"), F.get(parts, 1).alias("run_id"),
-                     kind.alias("kind"), F.when(F.size(parts) == 4, F.get(parts, 3)).alias("key"))
-    f = f.where(((F.col("kind") == "meta.yaml") & F.col("key").isNull())
-                | (F.col("kind").isin("params", "tags", "metrics") & F.col("key").isNotNull()))
+             .select(F.col("value").alias("body"), F.col("_metadata.file_path").alias("path")).where(F.col("path").rlike(wanted)))
+    parts = F.split(F.regexp_extract("path", re.escape(bare) + r"/(.*)$", 1), "/")
+    f = files.select("body", F.get(parts, 0).alias("folder"), F.when(F.size(parts) > 2, F.get(parts, 1)).alias("run_id"),
+                     F.coalesce(F.get(parts, 2), F.lit("meta.yaml")).alias("kind"),
+                     F.array_join(F.slice(parts, 4, 1000), "/").alias("key"))
+    names = f.where(F.col("run_id").isNull()).select("folder", F.nullif(F.regexp_extract("body", r"(?m)^name:\s*(.*?)\s*$", 1), F.lit("")).alias("_name"))
+    f = (f.where(F.col("run_id").isNotNull()).join(names, "folder", "left")
+         .withColumn("experiment", F.coalesce("_name", "folder")).drop("_name", "folder"))
     meta = f.where(F.col("kind") == "meta.yaml")
     def field(name):  # noqa: E306
         return F.regexp_extract("body", rf"(?m)^{name}:\s*(.*?)\s*$", 1)

@@ -18,11 +18,23 @@ WHERE run_name = 'purchase' AND json_extract_string(props, '$.k') = '42'
 ORDER BY start_time DESC, run_id DESC LIMIT 1"""
 
 ORACLE["l3_preferred_or_fallback"] = R + """
-, r AS (SELECT *, CAST(start_time AS DATE) AS day FROM runs),
-f AS (SELECT *, CASE run_name WHEN 'signup' THEN 0 WHEN 'view' THEN 1 END AS prio FROM r
-      WHERE NOT (run_name = 'signup' AND dayofmonth(day) % 3 = 0) AND run_name IN ('signup', 'view'))
-SELECT experiment, day, run_id, run_name, start_time, metric FROM f
-QUALIFY row_number() OVER (PARTITION BY experiment, day ORDER BY prio, start_time DESC, run_id DESC) = 1"""
+, f AS (SELECT *, date_trunc('hour', start_time) AS hour, CASE run_name WHEN 'purchase' THEN 0 WHEN 'signup' THEN 1 END AS prio FROM runs
+      WHERE run_name IN ('purchase', 'signup'))
+SELECT experiment, hour, run_id, run_name, start_time, metric FROM f
+QUALIFY row_number() OVER (PARTITION BY experiment, hour ORDER BY prio, start_time DESC, run_id DESC) = 1"""
+
+ORACLE["s4_tracking_scan"] = R + """
+, d AS (SELECT *, CAST(start_time AS DATE) AS day, CAST(floor(epoch_us(start_time) / 1000) AS BIGINT) AS ms, hour(start_time) AS step FROM runs),
+h AS (SELECT experiment, run_name, day, step, max(metric) AS value FROM d GROUP BY ALL)
+SELECT 'run_' || d.run_name || '_' || strftime(d.day, '%Y%m%d') AS run_id, d.experiment, d.run_name, min(ms) AS start_ms, max(ms) AS end_ms,
+       CAST(d.day AS VARCHAR) AS day, d.run_name AS kind, any_value(v.value) AS value
+FROM d JOIN (SELECT experiment, run_name, day, arg_max(value, step) AS value FROM h GROUP BY ALL) v
+  ON v.experiment = d.experiment AND v.run_name = d.run_name AND v.day = d.day
+GROUP BY d.experiment, d.run_name, d.day"""
+
+ORACLE["l4_best_run_text_ids"] = R + """
+SELECT experiment, 'run-' || CAST(run_id AS VARCHAR) AS run_id, run_name, metric FROM runs WHERE metric IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY experiment ORDER BY metric DESC, 'run-' || CAST(run_id AS VARCHAR)) = 1"""
 
 ORACLE["l4_best_run"] = R + """
 SELECT experiment, run_id, run_name, metric FROM runs WHERE metric IS NOT NULL

@@ -51,7 +51,7 @@ res AS (SELECT g.config_id, g.threshold, g.w_bal, g.w_qty, g.discount,
         FROM grid g JOIN cm USING (config_id)
         JOIN auc a ON g.w_bal = a.w_bal AND g.w_qty = a.w_qty AND g.discount IS NOT DISTINCT FROM a.discount)"""
 
-COLS = "config_id, threshold, w_bal, w_qty, discount, val_accuracy, val_precision, val_recall, val_f1, val_roc_auc"
+COLS = "config_id, 96 AS n_configs, threshold, w_bal, w_qty, discount, val_accuracy, val_precision, val_recall, val_f1, val_roc_auc"
 
 ORACLE["g1_grid_results"] = with_views(RESULTS + f"\nSELECT {COLS} FROM res")
 ORACLE["g4_best_config"] = with_views(RESULTS + f"\nSELECT {COLS} FROM res ORDER BY val_f1 DESC, config_id LIMIT 1")

@@ -8,7 +8,8 @@ from riskframe.operators import metrics as V
 from riskframe.operators import runs as R
 from riskframe.plans.catalog import query, runs_view, split_apps
 from riskframe.plans.q_tune import CV_MODELS, _z
-from riskframe.session import checkpoint
+from riskframe.session import checkpoint, scratch_path
+from riskframe.sources.tracking import run_values, write_values
 
 
 @query("l1_latest_run_per_name")
@@ -25,10 +26,29 @@ def _l2(spark, sf):
 
 @query("l3_preferred_or_fallback")
 def _l3(spark, sf):
-    r = runs_view(spark, sf).withColumn("day", F.to_date("start_time"))
-    # preferred name first; days without it fall back to the next name
-    return R.preferred_or_fallback(r.where(~((F.col("run_name") == "signup") & (F.dayofmonth("day") % 3 == 0))),
-                                   ["signup", "view"], ["experiment", "day"])
+    # hours without a purchase fall back to the next name
+    r = runs_view(spark, sf).withColumn("hour", F.date_trunc("hour", "start_time"))
+    return R.preferred_or_fallback(r, ["purchase", "signup"], ["experiment", "hour"])
+
+
+@query("s4_tracking_scan")
+def _s4(spark, sf):
+    """Events as daily runs with hourly history, written as a tracking tree and
+    scanned back; the metric's name has a slash, the run id is text."""
+    r = runs_view(spark, sf).withColumn("start_time", F.col("start_time").cast("timestamp")).withColumn("day", F.to_date("start_time"))
+    g = ["experiment", "run_name", "day"]
+    hourly = r.groupBy(*g, F.hour("start_time").alias("step")).agg(F.max("metric").alias("value"), F.max(F.unix_millis("start_time")).alias("ts_ms"),
+                                                                   F.min("start_time").alias("lo"), F.max("start_time").alias("hi"))
+    points = F.collect_list(F.struct("ts_ms", "value", "step"))      # at most 24 a run
+    runs = hourly.groupBy(*g).agg(points.alias("p"), F.min("lo").alias("start_time"), F.max("hi").alias("end_time"))
+    runs = runs.select("experiment", F.concat_ws("_", F.lit("run"), "run_name", F.date_format("day", "yyyyMMdd")).alias("run_id"), "run_name",
+                       "start_time", "end_time", F.create_map(F.lit("day"), F.col("day").cast("string")).alias("params"),
+                       F.create_map(F.lit("kind"), F.col("run_name")).alias("tags"), F.create_map(F.lit("val/value"), F.col("p")).alias("history"))
+    root = scratch_path(spark, "tracking")
+    write_values(run_values(runs), root)
+    back = R.scan_tracking_store(spark, root)
+    return back.select("run_id", "experiment", "run_name", F.unix_millis("start_time").alias("start_ms"), F.unix_millis("end_time").alias("end_ms"),
+                       F.col("params")["day"].alias("day"), F.col("tags")["kind"].alias("kind"), F.col("metrics")["val/value"].alias("value"))
 
 
 @query("l4_best_run")
@@ -56,6 +76,14 @@ def model_split_metrics(spark, sf):
     return cls.join(auc, g).select(*g, "accuracy", F.col("f1_pos2").alias("f1"), "roc_auc")
 
 
+@query("l4_best_run_text_ids")
+def _l4c(spark, sf):
+    """Text run ids, and a run whose metric is not a number in every group."""
+    r = runs_view(spark, sf).withColumn("run_id", F.concat(F.lit("run-"), F.col("run_id").cast("string")))
+    nan = r.groupBy("experiment").agg(F.lit("run-nan").alias("run_id"), F.lit("none").alias("run_name"), F.lit(float("nan")).alias("metric"))
+    return R.best_run(r.select("experiment", "run_id", "run_name", "metric").unionByName(nan.select("experiment", "run_id", "run_name", "metric")), "metric")
+
+
 @query("l5_comparison_table")
 def _l5(spark, sf):
     return R.comparison_table(model_split_metrics(spark, sf), "model", "split", ["accuracy", "f1", "roc_auc"])

@@ -23,7 +23,7 @@ APPLICATION_SCHEMA = StructType(
     + [StructField(c, StringType()) for c in APPLICATION_ROLES.categorical]
     + [StructField("class", IntegerType())])
 
-# The raw credit-application layout: 20 features in file order, label last
+# The raw credit-application layout, 20 features in file order, label last
 # (names are ours; the source file addresses columns by position).
 CREDIT_COLUMNS = [
     ("checking_status", "string"), ("duration_months", "int"), ("credit_history", "string"), ("purpose", "string"),

@@ -54,13 +54,17 @@ def test_tracking_store_scan(spark, tmpdir_path):
     _write(f"{root}/e1/r1/metrics/val_roc_auc", "1700000000500 0.70 0\n1700000000900 0.78 1\n")
     _write(f"{root}/e1/r2/meta.yaml", "run_name: tuned\nstart_time: 1700000005000\nend_time: 1700000006000\n")
     _write(f"{root}/e1/r2/metrics/val_roc_auc", "1700000005500 0.80 0\n")
+    _write(f"{root}/e1/r2/metrics/val/f1", "1700000005500 0.5 0\n")          # a name with a slash
+    _write(f"{root}/e1/models/m-1/artifacts/MLmodel", "run_name: no run\n")
+    _write(f"{root}/e2/r3/meta.yaml", "run_name: lone\nstart_time: 1700000007000\nend_time: 1700000008000\n")  # no experiment file
     runs = {r["run_id"]: r for r in R.scan_tracking_store(spark, root).collect()}
-    assert set(runs) == {"r1", "r2"}
+    assert {k: r["experiment"] for k, r in runs.items()} == {"r1": "exp", "r2": "exp", "r3": "e2"}
+    assert runs["r2"]["metrics"] == {"val_roc_auc": 0.8, "val/f1": 0.5}
     assert runs["r1"]["params"] == {"C": "1.0"} and runs["r1"]["metrics"] == {"val_roc_auc": 0.78}
     dur = (runs["r1"]["end_time"] - runs["r1"]["start_time"]).total_seconds()
     assert abs(dur - 1.385) < 1e-9
     latest = R.latest_per_name(R.scan_tracking_store(spark, root).withColumn("metric", F.col("metrics")["val_roc_auc"]),
-                               experiment="e1").collect()
+                               experiment="exp").collect()
     assert {r["run_name"] for r in latest} == {"baseline", "tuned"}
 
 
