@@ -128,8 +128,8 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 20, digits: int =
     span = F.col("mx") - F.col("mn")
     b = F.when(span == 0, F.lit(1)).otherwise(
         F.least(F.floor((F.col("value") - F.col("mn")) * bins / span).cast("int") + 1, F.lit(bins)))
-    # rng has one row per column: Spark broadcasts it (size known at runtime via AQE).
-    counts = long.join(rng, "feature").groupBy("feature", b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    # rng has one row per column: broadcast, the unpivoted rows are not shuffled
+    counts = long.join(F.broadcast(rng), "feature").groupBy("feature", b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     grid = rng.select("feature", "mn", "mx",
                       F.explode(F.sequence(F.lit(1), F.when(span == 0, 1).otherwise(bins))).alias("bin"))
     width = F.when(span == 0, F.lit(0.0)).otherwise(span / bins)
@@ -166,8 +166,8 @@ def boxplot_by_class(df: DataFrame, cols: Sequence[str], roles: Roles = APPLICAT
                  .select(*g, "n", "mean_w", *[F.col("_q")[i].alias(n) for i, n in enumerate(("q1", "median", "q3"))]))
     iqr = F.col("q3") - F.col("q1")
     stats = stats.withColumn("lo_fence", F.col("q1") - 1.5 * iqr).withColumn("hi_fence", F.col("q3") + 1.5 * iqr)
-    # stats has one row per (feature, class): a bounded, broadcastable side.
-    tails = rc.join(stats.select(*g, "lo_fence", "hi_fence"), g).groupBy(*g).agg(
+    # stats has one row per (feature, class): broadcast
+    tails = rc.join(F.broadcast(stats.select(*g, "lo_fence", "hi_fence")), g).groupBy(*g).agg(
         F.min(F.when(v >= F.col("lo_fence"), v)).alias("whisker_lo"),
         F.max(F.when(v <= F.col("hi_fence"), v)).alias("whisker_hi"),
         F.sum(F.when((v < F.col("lo_fence")) | (v > F.col("hi_fence")), w).otherwise(0)).alias("n_outliers"))

@@ -3,8 +3,9 @@
 Row order inside a class is the md5 draw of ``(key, seed)``; cut counts are
 computed exactly per class (largest remainder), so class shares are kept to
 within one row - unlike ``sampleBy`` / ``randomSplit``, which are Bernoulli.
-Ranks come from ``functions.ranking.hash_positions`` (chunked, no one-task
-window), so a class holding half the data does not land in one task.
+A split compares each row's draw with its class's two cut points, found from
+a histogram of the draws, so the rows are not shuffled.  Folds need ranks:
+``functions.ranking.hash_positions`` (chunked, no one-task window).
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskframe.functions.hashing import hash32
 from riskframe.functions.ranking import hash_positions
 
 SPLITS = ("train", "val", "test")
@@ -47,24 +49,46 @@ def cut_counts(df: DataFrame, group_cols: Sequence[str], test_size: float = 0.15
     return counts.drop("_rest")
 
 
+CUT_BITS = 16
+
+
+def cut_points(df: DataFrame, group_cols: Sequence[str], key: str, seed: int, counts: DataFrame) -> DataFrame:
+    """Per group, the draws ``(_h, key)`` of the first row after the test part
+    (``_cut1``) and after the validation part (``_cut2``); NULL where no row is
+    left.  A histogram of the draws' upper bits finds the chunk that holds a
+    cut; only that chunk's rows are ranked."""
+    g = list(group_cols)
+    d = df.select(*g, F.col(key).alias("_key"), hash32(key, seed=seed).alias("_h"))
+    d = d.withColumn("_chunk", F.shiftright("_h", 32 - CUT_BITS).cast("int"))
+    sizes = d.groupBy(*g, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*g).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)     # one row per chunk
+    sizes = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    targets = F.explode(F.array(F.struct(F.lit(1).alias("which"), F.col("n_test").alias("at")),
+                                F.struct(F.lit(2).alias("which"), (F.col("n_test") + F.col("n_val")).alias("at"))))
+    wanted = counts.select(*g, targets.alias("_t")).select(*g, F.col("_t.which").alias("_which"), F.col("_t.at").alias("_at"))
+    hit = (sizes.join(F.broadcast(wanted), g).where((F.col("_off") <= F.col("_at")) & (F.col("_at") < F.col("_off") + F.col("_n")))
+           .select(*g, "_chunk", "_which", (F.col("_at") - F.col("_off")).alias("_rest")))
+    # two rows per group: broadcast, so that the rows of other chunks stay where they are
+    rank = F.row_number().over(Window.partitionBy(*g, "_which").orderBy("_h", "_key")) - 1
+    cut = d.join(F.broadcast(hit), [*g, "_chunk"]).withColumn("_i", rank).where(F.col("_i") == F.col("_rest"))
+    at = F.struct("_h", "_key")
+    found = cut.groupBy(*g).agg(F.max(F.when(F.col("_which") == 1, at)).alias("_cut1"), F.max(F.when(F.col("_which") == 2, at)).alias("_cut2"))
+    return counts.select(*g).join(found, g, "left")
+
+
 def assign_split(df: DataFrame, key: str, group_cols: Sequence[str] = (), seed: int = 42,
                  test_size: float = 0.15, val_size: float = 0.15, col: str = "split") -> DataFrame:
-    """T1 (stratified when ``group_cols`` = [label]) / T2 (no groups)."""
-    group_cols = list(group_cols)
-    if not group_cols:
-        # one group: the two cut counts are scalars, applied as literals
-        ranked = hash_positions(df.withColumn("_all", F.lit(0)), ["_all"], key, seed).drop("_all")
-        c = cut_counts(df, [], test_size, val_size).first()
-        n_test, n_val = F.lit(c["n_test"]), F.lit(c["n_val"])
-    else:
-        ranked = hash_positions(df, group_cols, key, seed)
-        # cuts has one row per group (class): Spark broadcasts it at runtime (AQE).
-        cuts = cut_counts(df, group_cols, test_size, val_size).select(*group_cols, "n_test", "n_val")
-        ranked = ranked.join(cuts, group_cols)
-        n_test, n_val = F.col("n_test"), F.col("n_val")
-    pos = F.col("_pos")
-    split = F.when(pos < n_test, "test").when(pos < n_test + n_val, "val").otherwise("train")
-    return ranked.withColumn(col, split).drop("_h", "_pos", "_total", "n_test", "n_val")
+    """T1 (stratified when ``group_cols`` = [label]) / T2 (no groups): rows are
+    compared with their group's two cut points, so they are not shuffled.  The
+    cut points have one row per group (class) and are broadcast."""
+    g = list(group_cols) or ["_all"]
+    rows = df if group_cols else df.withColumn("_all", F.lit(0))
+    cuts = cut_points(rows, g, key, seed, cut_counts(rows, g, test_size, val_size))
+    at = F.struct(hash32(key, seed=seed).alias("_h"), F.col(key).alias("_key"))
+    split = (F.when(F.col("_cut1").isNull() | (at < F.col("_cut1")), "test")
+             .when(F.col("_cut2").isNull() | (at < F.col("_cut2")), "val").otherwise("train"))
+    out = rows.join(F.broadcast(cuts), g).withColumn(col, split).drop("_cut1", "_cut2")
+    return out if group_cols else out.drop("_all")
 
 
 def stratified_split(df: DataFrame, key: str, label: str, seed: int = 42, test_size: float = 0.15,

@@ -117,8 +117,8 @@ def _p14(spark, sf):
 from riskframe.functions import exprs as X  # noqa: E402
 from riskframe.operators import encode as ENC  # noqa: E402
 from riskframe.operators import split as SPL  # noqa: E402
-from riskframe.sources.tables import read_table, scored  # noqa: E402
-from riskframe.session import checkpoint  # noqa: E402
+from riskframe.sources.tables import application_labels, read_table, scored  # noqa: E402
+from riskframe.session import materialise  # noqa: E402
 
 SEED = 42
 def unseen_fit():
@@ -129,14 +129,20 @@ def unseen_fit():
 def split_apps(spark, sf, raw: bool = False):
     """Applications with their T1 split.  The view (a lineitem aggregate and
     four joins) is read by every job of the split - sizes, cut counts and
-    ranks - so it is written once to the shared checkpoint folder."""
-    apps = checkpoint(applications(spark, sf, coalesce_lines=not raw))
+    ranks - so it is written once to the shared folder, by column."""
+    apps = materialise(applications(spark, sf, coalesce_lines=not raw), "applications")
     return SPL.stratified_split(apps, "app_id", "class", seed=SEED)
 
 
+def split_labels(spark, sf, **options):
+    """Key, class and split, from the two columns that a split needs."""
+    labels = materialise(application_labels(spark, sf), "labels")
+    return SPL.assign_split(labels, "app_id", seed=SEED, **({"group_cols": ["class"]} | options))
+
+
 def train_prep(spark, sf):
     """(split frame, FittedPrep fitted on the train split)."""
-    sp = checkpoint(split_apps(spark, sf))      # read by the fit jobs and the query
+    sp = materialise(split_apps(spark, sf), "split")      # read by the fit jobs and the query
     prep = ENC.FittedPrep.fit(sp.where(F.col("split") == "train"), NUM, CAT)
     return sp, prep
 
@@ -237,44 +243,45 @@ def _e11(spark, sf):
 # ---------------------------------------------------------------- splits
 @query("t1_stratified_split")
 def _t1(spark, sf):
-    return split_apps(spark, sf).select("app_id", "class", "split")
+    return split_labels(spark, sf).select("app_id", "class", "split")
 
 
 @query("t2_random_split")
 def _t2(spark, sf):
-    return SPL.random_split(applications(spark, sf), "app_id", seed=SEED).select("app_id", "class", "split")
+    return split_labels(spark, sf, group_cols=[]).select("app_id", "class", "split")
 
 
 @query("t3_stratified_folds")
 def _t3(spark, sf):
-    return SPL.stratified_folds(applications(spark, sf), "app_id", "class", k=5, seed=SEED).select("app_id", "class", "fold")
+    labels = materialise(application_labels(spark, sf), "labels")
+    return SPL.stratified_folds(labels, "app_id", "class", k=5, seed=SEED).select("app_id", "class", "fold")
 
 
 @query("t4_pool_train_val")
 def _t4(spark, sf):
-    return SPL.pool(split_apps(spark, sf)).select("app_id", "class", "split")
+    return SPL.pool(split_labels(spark, sf)).select("app_id", "class", "split")
 
 
 @query("t5_split_audit")
 def _t5(spark, sf):
-    return SPL.split_audit(split_apps(spark, sf), "class")
+    return SPL.split_audit(split_labels(spark, sf), "class")
 
 
 @query("t5_split_overlap")
 def _t5b(spark, sf):
-    return SPL.split_overlap(split_apps(spark, sf), "app_id")
+    return SPL.split_overlap(split_labels(spark, sf), "app_id")
 
 
 # ---------------------------------------------------------------- encoders
 @query("f1_label_encode")
 def _f1(spark, sf):
-    a = checkpoint(applications(spark, sf).select("app_id", *CAT))     # read by the vocabulary jobs and the joins
+    a = materialise(applications(spark, sf).select("app_id", *CAT), "levels")     # read by the vocabulary jobs and the joins
     return ENC.label_encode(a, ENC.Levels.fit(a.where(unseen_fit()), CAT))
 
 
 @query("f2_one_hot_drop_first")
 def _f2(spark, sf):
-    a = checkpoint(applications(spark, sf).select("app_id", *CAT))     # read by the vocabulary jobs and the joins
+    a = materialise(applications(spark, sf).select("app_id", *CAT), "levels")     # read by the vocabulary jobs and the joins
     return ENC.one_hot_entries(a, ENC.Levels.fit(a.where(unseen_fit()), CAT), "app_id")
 
 

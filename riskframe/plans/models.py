@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from riskframe.operators import encode as ENC
 from riskframe.operators import metrics as V
-from riskframe.session import checkpoint
+from riskframe.session import checkpoint, materialise
 
 UNSUPPORTED_TREE_KNOBS = ("min_samples_split", "ccp_alpha", "splitter")
 
@@ -42,7 +42,7 @@ def linear_frame(split_df: DataFrame, numeric: Sequence[str], categorical: Seque
                  key: str = "app_id", weighted: bool = True) -> tuple[DataFrame, ENC.FittedPrep]:
     """F7 + F8 as an MLlib frame: ``key, class, split, features, label,
     y_reg, weight``; preprocessing fitted on the train split only."""
-    split_df = checkpoint(split_df)      # read by the vocabulary, scaler, weight and transform jobs
+    split_df = materialise(split_df, "split")      # read by the vocabulary, scaler, weight and transform jobs
     train = split_df.where(F.col("split") == "train")
     prep = ENC.FittedPrep.fit(train, numeric, categorical)
     x = prep.transform_vector(split_df, keep=[key, label, "split"], col="features")
@@ -56,7 +56,7 @@ def linear_frame(split_df: DataFrame, numeric: Sequence[str], categorical: Seque
 def tree_frame(split_df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str = "class",
                key: str = "app_id") -> DataFrame:
     """F6 as an MLlib frame (raw numerics ++ label-encoded categoricals)."""
-    split_df = checkpoint(split_df)      # read by the vocabulary, weight and transform jobs
+    split_df = materialise(split_df, "split")      # read by the vocabulary, weight and transform jobs
     train = split_df.where(F.col("split") == "train")
     t = ENC.tree_prep(split_df, ENC.Levels.fit(train, categorical), numeric, keep=[key, label, "split"])
     cols = list(numeric) + list(categorical)

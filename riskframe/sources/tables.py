@@ -33,6 +33,30 @@ def _line_summary(lineitem: DataFrame) -> DataFrame:
                  F.min("l_linestatus").alias("low_status_raw")))
 
 
+def _orders_of_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = read_table(spark, sf_dir, "orders")
+    customer = read_table(spark, sf_dir, "customer")
+    nation = read_table(spark, sf_dir, "nation")
+    region = read_table(spark, sf_dir, "region")
+    cust_orders = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.count(F.lit(1)).alias("cust_orders"))
+    geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "n_name", "r_name")
+    cust = (customer.select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+            .join(cust_orders, "c_custkey")
+            .join(geo, F.col("c_nationkey") == F.col("n_nationkey")))
+    return (orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority", "o_orderstatus")
+            .join(cust, F.col("o_custkey") == F.col("c_custkey")))
+
+
+_CLASS = "CASE WHEN o_orderstatus = 'P' THEN 2 ELSE 1 END"
+
+
+def application_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key and class of :func:`applications`: what a split needs, without the
+    lineitem summary."""
+    return _orders_of_customers(spark, sf_dir).select(F.col("o_orderkey").alias("app_id"), F.expr(_CLASS).alias("class"))
+
+
 def applications(spark: SparkSession, sf_dir: str, coalesce_lines: bool = True) -> DataFrame:
     """The labelled application table (FIXTURES.md §2).
 
@@ -44,22 +68,8 @@ def applications(spark: SparkSession, sf_dir: str, coalesce_lines: bool = True)
     With ``coalesce_lines=False`` orders without lines keep NULL ``n_lines``
     (the missing-value case).
     """
-    orders = read_table(spark, sf_dir, "orders")
-    customer = read_table(spark, sf_dir, "customer")
-    nation = read_table(spark, sf_dir, "nation")
-    region = read_table(spark, sf_dir, "region")
-    lineitem = read_table(spark, sf_dir, "lineitem")
-
-    cust_orders = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
-        F.count(F.lit(1)).alias("cust_orders"))
-    geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "n_name", "r_name")
-    cust = (customer.select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
-            .join(cust_orders, "c_custkey")
-            .join(geo, F.col("c_nationkey") == F.col("n_nationkey")))
-    li = _line_summary(lineitem)
-    base = (orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority", "o_orderstatus")
-            .join(cust, F.col("o_custkey") == F.col("c_custkey"))
-            .join(li, F.col("l_orderkey") == F.col("o_orderkey"), "left"))
+    li = _line_summary(read_table(spark, sf_dir, "lineitem"))
+    base = _orders_of_customers(spark, sf_dir).join(li, F.col("l_orderkey") == F.col("o_orderkey"), "left")
 
     n_lines = F.col("n_lines_raw").cast("bigint")
     return base.select(
@@ -84,7 +94,7 @@ def applications(spark: SparkSession, sf_dir: str, coalesce_lines: bool = True)
         F.coalesce(F.col("low_status_raw"), F.lit("none")).alias("low_status"),
         F.when(F.col("c_acctbal") < 0, "B1").when(F.col("c_acctbal") < 5000, "B2").otherwise("B3").alias("balance_band"),
         F.when(F.col("n_lines_raw").isNull(), "L0").when(F.col("n_lines_raw") <= 3, "L1").otherwise("L2").alias("lines_band"),
-        F.when(F.col("o_orderstatus") == "P", 2).otherwise(1).alias("class"),
+        F.expr(_CLASS).alias("class"),
     )
 
 
