@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from riskframe.llm.store import add_file, table, text_bytes
+from riskframe.llm.store import add_file, bounded_batches, table, text_bytes
 from riskframe.llm.token_store import byte_letters
 
 # Fixed value: the split pattern of byte-level vocabularies.
@@ -36,7 +36,8 @@ WHITE = "\t\n\x0b\x0c\r \x85\xa0 " + "".join(map(chr, range(0x2000, 0x200B)))
 _WHITE_SPACE = [w + " " for w in WHITE]
 _UNITS = regex.compile(rf"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 
-DEFAULT_LEXICON_WORDS = 65_536
+DEFAULT_LEXICON_WORDS = 131_072
+_NO_RANK, _LONG = (1 << 30) - 1, 64
 
 
 def units(text: str) -> list[str]:
@@ -46,9 +47,8 @@ def units(text: str) -> list[str]:
     it, so a text's pieces are its units' pieces."""
     if any(pair in text for pair in _WHITE_SPACE):
         return _UNITS.findall(text)
-    first, *rest = text.split(" ")
-    found = [" " + r for r in rest]
-    return [first, *found] if first else found
+    found = text.replace(" ", "\0 ").split("\0") if "\0" not in text else _UNITS.findall(text)
+    return found[1:] if found and not found[0] else found
 
 
 class Vocabulary:
@@ -64,6 +64,11 @@ class Vocabulary:
         self.ranks = {(ids[a], ids[b]): (rank, ids[a + b]) for rank, (a, b) in enumerate(spec["model"]["merges"])}
         self.bytes_of = {i: bytes(byte_of[c] for c in token) for token, i in ids.items()}
         self.bytes_of |= {i: token.encode("utf-8") for token, i in self.added.items()}
+        pairs = np.array([a << 32 | b for a, b in self.ranks], np.int64)
+        order = np.argsort(pairs)
+        self.pair_keys, self.pair_ranks = pairs[order], np.array([r for r, _ in self.ranks.values()], np.int64)[order]
+        self.new_ids = np.zeros(len(pairs) + 1, np.int64)
+        self.new_ids[[r for r, _ in self.ranks.values()]] = [new for _, new in self.ranks.values()]
         self.added_pattern = regex.compile("|".join(regex.escape(t) for t in sorted(self.added, key=len, reverse=True)) or r"(?!)")
 
     def merge(self, piece: bytes) -> list[int]:
@@ -99,6 +104,59 @@ class Vocabulary:
         return [p for p in part if p is not None]
 
 
+    def _pair_ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        key = a << 32 | b
+        place = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[place] == key, self.pair_ranks[place], _NO_RANK)
+
+    def merge_all(self, pieces: list[bytes]) -> list[bytes]:
+        """:meth:`merge` of many pieces at once, as ids of 4 bytes each: every
+        step merges the best pair of each piece that still has one."""
+        out: list[bytes] = [b""] * len(pieces)
+        short = []
+        for i, piece in enumerate(pieces):
+            if len(piece) > _LONG:
+                out[i] = array("i", self.merge(piece)).tobytes()
+            elif piece:
+                short.append(i)
+        if not short:
+            return out
+        ids = np.array(self.byte_ids, np.int64)[np.frombuffer(b"".join([pieces[i] for i in short]), "u1")]
+        owner = np.repeat(np.arange(len(short)), [len(pieces[i]) for i in short])
+        ranks = np.full(len(ids), _NO_RANK, np.int64)
+        same = np.flatnonzero(owner[1:] == owner[:-1])
+        ranks[same] = self._pair_ranks(ids[same], ids[same + 1])
+        done_owner, done_ids = [], []
+        while len(ids):
+            starts = np.flatnonzero(np.diff(owner, prepend=-1))
+            best = np.minimum.reduceat(ranks << 32 | np.arange(len(ids)), starts)
+            at, rank = best & 0xFFFFFFFF, best >> 32
+            active = rank != _NO_RANK
+            going = np.repeat(active, np.diff(np.append(starts, len(ids))))
+            done_owner.append(owner[~going])
+            done_ids.append(ids[~going])
+            at, rank = at[active], rank[active]
+            ids[at] = self.new_ids[rank]
+            going[at + 1] = False  # joined to its left neighbour
+            place = np.cumsum(going)[at] - 1
+            ids, owner, ranks = ids[going], owner[going], ranks[going]
+            ranks[place] = _NO_RANK
+            right = place[place + 1 < len(ids)]
+            right = right[owner[right] == owner[right + 1]]
+            ranks[right] = self._pair_ranks(ids[right], ids[right + 1])
+            left = place[place > 0] - 1
+            left = left[owner[left] == owner[left + 1]]
+            ranks[left] = self._pair_ranks(ids[left], ids[left + 1])
+        owner, ids = np.concatenate(done_owner), np.concatenate(done_ids)
+        data = ids[np.argsort(owner, kind="stable")].astype("<i4").tobytes()
+        ends = (4 * np.cumsum(np.bincount(owner, minlength=len(short)))).tolist()
+        start = 0
+        for i, end in zip(short, ends):
+            out[i] = data[start:end]
+            start = end
+        return out
+
+
 _vocabularies: dict[str, Vocabulary] = {}
 
 
@@ -164,7 +222,7 @@ class Lexicon:
     """A compiled lexicon, memory-mapped."""
 
     def __init__(self, path: str):
-        whole = np.memmap(path, "u1", "r")
+        whole = np.asarray(np.memmap(path, "u1", "r"))
         self.root, n_arcs, self.n_states, n_words = whole[:32].view("<i8").tolist()
         at = 32
 
@@ -176,7 +234,7 @@ class Lexicon:
 
         self.keys, self.targets, self.outputs = part(n_arcs, "<i8"), part(n_arcs, "<i4"), part(n_arcs, "<i4")
         self.final, self.bounds = part(self.n_states, "<i4"), part(n_words + 1, "<i4")
-        self.ids = part(int(self.bounds[-1]), "<i4")
+        self.ids = part(4 * int(self.bounds[-1]), "u1")
 
     def find(self, words: list[bytes]) -> list[int]:
         """The place of each word in the id table, -1 if it is not there."""
@@ -203,8 +261,9 @@ class Lexicon:
             alive, state, total = alive[~ended], state[~ended], total[~ended]
         return place.tolist()
 
-    def ids_at(self, place: int) -> np.ndarray:
-        return self.ids[self.bounds[place]:self.bounds[place + 1]]
+    def ids_at(self, place: int) -> bytes:
+        """A word's ids, 4 bytes each."""
+        return self.ids[4 * self.bounds[place]:4 * self.bounds[place + 1]].tobytes()
 
 
 # ------------------------------------------------------------------ operators
@@ -221,6 +280,7 @@ def piece_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
                     pieces[piece] += n
             yield pa.RecordBatch.from_arrays([pa.array(map(str.encode, pieces), pa.binary()), pa.array(pieces.values(), pa.int64())], ["piece", "n"])
 
+    bounded_batches(docs.sparkSession)
     return docs.select(text_col).mapInArrow(count, "piece binary, n long").groupBy("piece").agg(F.sum("n").alias("n"))
 
 
@@ -232,7 +292,8 @@ def build_lexicon(docs: DataFrame, vocabulary_path: str, text_col: str = "text",
     top = (piece_counts(docs, text_col).where(F.length("piece") <= 64)
            .orderBy(F.desc("n"), "piece").limit(max_words).select("piece").collect())
     vocab = vocabulary(vocabulary_path)
-    data = compile_lexicon((bytes(r.piece), vocab.merge(bytes(r.piece))) for r in top)
+    pieces = [bytes(r.piece) for r in top]
+    data = compile_lexicon(zip(pieces, (np.frombuffer(ids, "<i4").tolist() for ids in vocab.merge_all(pieces))))
     return add_file(docs.sparkSession, data, "lexicon.bin")
 
 
@@ -246,13 +307,16 @@ class Encoder:
     def _learn(self, wanted: list[str]) -> None:
         """Put the ids of units into the cache: all their distinct pieces walk
         the automaton at once, the missing ones are merged."""
-        split = [[p.encode("utf-8") for p in PIECES.findall(u)] for u in wanted]
+        split = [PIECES.findall(u) for u in wanted]
         distinct = list({p for pieces in split for p in pieces})
-        lexicon, known = self.lexicon, {}
-        for piece, place in zip(distinct, lexicon.find(distinct)):
-            known[piece] = lexicon.ids_at(place).tobytes() if place >= 0 else array("i", self.vocab.merge(piece)).tobytes()
+        coded = [p.encode("utf-8") for p in distinct]
+        places = self.lexicon.find(coded)
+        missing = [i for i, place in enumerate(places) if place < 0]
+        known = {p: self.lexicon.ids_at(place) for p, place in zip(distinct, places) if place >= 0}
+        for i, ids in zip(missing, self.vocab.merge_all([coded[i] for i in missing])):
+            known[distinct[i]] = ids
         for unit, pieces in zip(wanted, split):
-            self.cache[unit] = b"".join([known[p] for p in pieces])
+            self.cache[unit] = known[pieces[0]] if len(pieces) == 1 else b"".join([known[p] for p in pieces])
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.cache) > self.max_units:
@@ -260,19 +324,20 @@ class Encoder:
         cut = [self._parts(t) for t in texts]
         wanted = set()
         for parts in cut:
-            wanted.update(u for u in parts if u.__class__ is str)
-        self._learn([u for u in wanted if u not in self.cache])
-        look = {**{i: array("i", [i]).tobytes() for i in self.vocab.added.values()}}
+            wanted.update(parts)
         cache = self.cache
-        return [np.frombuffer(b"".join([cache[u] if u.__class__ is str else look[u] for u in parts]), "<i4") for parts in cut]
+        for token, i in self.vocab.added.items():
+            cache[token, i] = array("i", [i]).tobytes()
+        self._learn([u for u in wanted if u not in cache])
+        return [np.frombuffer(b"".join(map(cache.__getitem__, parts)), "<i4") for parts in cut]
 
     def _parts(self, text: str) -> list:
-        """Units of the text; an added token stands as its id."""
+        """Units of the text; an added token stands as a pair with its id."""
         if not any(t in text for t in self.vocab.added):
             return units(text)
         parts, at = [], 0
         for hit in self.vocab.added_pattern.finditer(text):
-            parts += [*units(text[at:hit.start()]), self.vocab.added[hit.group()]]
+            parts += [*units(text[at:hit.start()]), (hit.group(), self.vocab.added[hit.group()])]
             at = hit.end()
         return parts + units(text[at:])
 
@@ -311,6 +376,7 @@ def encode(docs: DataFrame, vocabulary_path: str, lexicon_name: str, text_col: s
     Null text gives an empty array.  All columns of ``docs`` stay (those already
     called like an added one are replaced); an empty table stays empty.
     """
+    bounded_batches(docs.sparkSession)
     added = [c for c in (out_col, decoded_col) if c]
     rest = [c for c in docs.columns if c not in added]
     schema = docs.select(*rest).schema.add(out_col, ArrayType(IntegerType()))
@@ -338,6 +404,7 @@ def encode(docs: DataFrame, vocabulary_path: str, lexicon_name: str, text_col: s
 
 def decode_column(docs: DataFrame, vocabulary_path: str, ids_col: str = "token_ids", out_col: str = "decoded") -> DataFrame:
     """Add ``out_col`` with the text of ``ids_col``; null ids give empty text."""
+    bounded_batches(docs.sparkSession)
     rest = [c for c in docs.columns if c != out_col]
     schema = docs.select(*rest).schema.add(out_col, "string")
 

@@ -18,6 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from riskframe.session import scratch_path
 
 
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
     """The file system of ``path`` and the path inside it."""
     if path.startswith("file:"):
@@ -72,6 +75,13 @@ def add_file(spark: SparkSession, data: bytes, name: str) -> str:
     return name
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Hand texts to Python tasks in batches of at most 8 MB, unless the
+    session says otherwise (Spark's own limit is 64 MB, held several times)."""
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, "8m")
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null gives empty."""
     return [v or b"" for v in column.cast(pa.binary()).to_pylist()]

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
@@ -30,7 +31,7 @@ def test_lexicon_is_exact_and_minimal(tmp_path):
     (tmp_path / "lex").write_bytes(B.compile_lexicon(held.items()))
     lex = B.Lexicon(str(tmp_path / "lex"))
     for w, place in zip(words, lex.find(words)):
-        assert (lex.ids_at(place).tolist() if place >= 0 else None) == held.get(w)
+        assert (np.frombuffer(lex.ids_at(place), "<i4").tolist() if place >= 0 else None) == held.get(w)
     assert lex.find([b"", b"zz", b"a" * 50]) == [-1, -1, -1 if b"a" * 50 not in held else 0]
     # minimal: as many states as there are distinct right languages
     right = set()
@@ -40,6 +41,19 @@ def test_lexicon_is_exact_and_minimal(tmp_path):
     assert lex.n_states == len(right)
 
 
+def test_merging_together_equals_one_by_one():
+    vocab, library = B.vocabulary(PATH), Tokenizer.from_file(PATH)
+    pieces = sorted({p for t in texts(2000) for p in B.PIECES.findall((t or "").replace("<|endoftext|>", ""))})
+    pieces += ["a" * n for n in range(1, 90)] + ["theres" * n for n in range(1, 14)]
+    got = vocab.merge_all([p.encode() for p in pieces])
+    for p, ids in zip(pieces, got):
+        want = np.frombuffer(ids, "<i4").tolist()
+        assert want == vocab.merge(p.encode())
+        if len(B.PIECES.findall(p)) == 1:
+            assert want == library.encode(p, add_special_tokens=False).ids
+    assert vocab.merge_all([]) == [] and vocab.merge_all([b""]) == [b""]
+
+
 def test_empty_lexicon(tmp_path):
     (tmp_path / "lex").write_bytes(B.compile_lexicon([]))
     assert B.Lexicon(str(tmp_path / "lex")).find([b"a", b""]) == [-1, -1]
