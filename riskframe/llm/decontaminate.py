@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from riskframe.llm.store import text_bytes
+from riskframe.llm.store import bounded_batches, text_bytes
 
 DEFAULT_WINDOW, DEFAULT_BLOCK_WORDS = 10, 1_000_000
 _LEAD, _SHARD_BYTES = 3, 8_000_000
@@ -187,6 +187,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
     repeated rows stay; an empty table stays empty, and without items nothing
     is hit.  Test items reach the tasks in blocks of about ``block_words``.
     """
+    bounded_batches(docs.sparkSession)
     added = ["n_words", "n_hit", "items"] + ["longest_matches"] * matches
     rest = [c for c in docs.columns if c not in added]
     whole = isinstance(benchmark.schema[item_col].dataType, IntegralType)

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.store import table
+from riskframe.llm.store import bounded_batches, table
 
 # Element names.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -250,6 +250,7 @@ def extract_main_text(pages: DataFrame, least_pages: int = DEFAULT_LEAST_PAGES,
     and unreadable URLs form one host.  Repeated rows are pages of their own
     but count once as evidence.  An empty table stays empty.
     """
+    bounded_batches(pages.sparkSession)
     found = templates(pages.select("page_id", "url", "html"), least_pages)
     rest = [c for c in pages.columns if c != out_col]
     page = pages.select(*rest, host_of(F.col("url")).alias("_host"))

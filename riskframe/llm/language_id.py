@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.store import text_bytes
+from riskframe.llm.store import bounded_batches, text_bytes
 
 DEFAULT_DIMENSIONS, DEFAULT_GRAM, SEED = 1024, 3, 11
 UNDETERMINED = "und"
@@ -171,6 +171,7 @@ def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text",
         if made:
             yield pa.RecordBatch.from_arrays([pa.array(list(made)), pa.array([v.tolist() for v in made.values()], pa.list_(pa.float64()))], ["_lang", "_v"])
 
+    bounded_batches(labelled.sparkSession)
     source = labelled.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("_lang"), F.col(text_col).alias("_text"))
     counts = (source.mapInArrow(count, "_lang string, _gram binary, _n long")
               .groupBy("_lang", "_gram").agg(F.sum("_n").alias("_n")))
@@ -193,6 +194,7 @@ def predict(docs: DataFrame, model: Prototypes, text_col: str = "text", lang_col
     learned, give ``und`` and 0.  Ties go to the first name.  All columns stay
     (those called like the added ones are replaced).
     """
+    bounded_batches(docs.sparkSession)
     rest = [c for c in docs.columns if c not in (lang_col, score_col)]
     schema = docs.select(*rest).schema.add(lang_col, "string").add(score_col, "double")
     source = docs.select(*rest, F.col(text_col).alias("_text"))

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.store import create, new_file, open_random, shared_folder, table
+from riskframe.llm.store import bounded_batches, create, new_file, open_random, shared_folder, table
 
 DEFAULT_BLOCK_CAPTURES, DEFAULT_DATE, _MAGIC = 500, "2024-01-01T00:00:00Z", b"RFCDX1\0\0"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -113,6 +113,7 @@ def write_archive(pages: DataFrame, folder: str | None = None, min_payload: int
     ids are null so are all records.  An empty table writes nothing.  Columns
     other than page_id, url and html are not read.
     """
+    bounded_batches(pages.sparkSession)
     folder = folder or shared_folder(pages.sparkSession, "warc")
     schema = pa.schema([("key", pa.string()), ("url", pa.string()), ("page_id", pa.int64()), ("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64())])
 
