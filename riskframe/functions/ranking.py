@@ -141,10 +141,3 @@ def quantile_columns(ranked_counts: DataFrame, value_col: str, probs: Sequence[f
         frac = F.max(h - lo)
         out.append((at_lo + (at_hi - at_lo) * frac).alias(name))
     return out
-
-
-def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str, probs: Sequence[float],
-                    names: Sequence[str]) -> DataFrame:
-    """Exact per-group quantiles: one row per group with one column per prob."""
-    rc = running_totals(value_counts(df, group_cols, value_col), group_cols, [value_col], "_w")
-    return rc.groupBy(*group_cols).agg(*quantile_columns(rc, value_col, probs, names))

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, IntegerType, LongType, NumericType
+from pyspark.sql.types import DoubleType, FloatType, IntegerType, LongType
 
 from riskframe.functions.ranking import quantile_columns, running_totals, value_counts
 from riskframe.roles import APPLICATION_ROLES, Roles

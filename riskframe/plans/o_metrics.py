@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from riskframe.plans.oracle import ORACLE, _hash, split_cte
-from riskframe.plans.views_sql import SCORED, SCORED_MODELS, with_views
+from riskframe.plans.views_sql import SCORED, with_views
 
 SCORED_SP = (SCORED.replace("SELECT app_id, class, CAST(zd", "SELECT app_id, class, split, CAST(zd")
              .replace("FROM (SELECT app_id, class,", "FROM (SELECT app_id, class, split,")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskframe.plans.o_tune import _P, _zd
+from riskframe.plans.o_tune import _zd
 from riskframe.plans.oracle import ORACLE, RUNS_SQL, split_cte
 from riskframe.plans.views_sql import with_views
 
