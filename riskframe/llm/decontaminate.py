@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from riskframe.llm.store import bounded_batches, text_bytes
+from riskframe.llm.store import bounded_batches, free_name, text_bytes
 
 DEFAULT_WINDOW, DEFAULT_BLOCK_WORDS = 10, 1_000_000
 _LEAD, _SHARD_BYTES = 3, 8_000_000
@@ -221,7 +221,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, start = text_bytes(batch.column("_text")), 0
+            texts, start = text_bytes(batch.column(len(rest))), 0
             while start < len(texts):
                 end, size = start, 0
                 while end < len(texts) and size < _SHARD_BYTES:
@@ -229,10 +229,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
                     end += 1
                 part = batch.slice(start, end - start)
                 columns = [pa.array(x, kinds[c]) for x, c in zip(shard(texts[start:end]), added)]
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), *columns], [*rest, *added])
+                yield pa.RecordBatch.from_arrays([*part.columns[:len(rest)], *columns], [*rest, *added])
                 start = end
 
-    return docs.select(*rest, F.col(text_col).alias("_text")).mapInArrow(run, schema)
+    return docs.select(*rest, F.col(text_col).alias(free_name(docs, "_text"))).mapInArrow(run, schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:

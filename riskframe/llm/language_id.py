@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.store import bounded_batches, text_bytes
+from riskframe.llm.store import bounded_batches, free_name, text_bytes
 
 DEFAULT_DIMENSIONS, DEFAULT_GRAM, SEED = 1024, 3, 11
 UNDETERMINED = "und"
@@ -197,14 +197,14 @@ def predict(docs: DataFrame, model: Prototypes, text_col: str = "text", lang_col
     bounded_batches(docs.sparkSession)
     rest = [c for c in docs.columns if c not in (lang_col, score_col)]
     schema = docs.select(*rest).schema.add(lang_col, "string").add(score_col, "double")
-    source = docs.select(*rest, F.col(text_col).alias("_text"))
+    source = docs.select(*rest, F.col(text_col).alias(free_name(docs, "_text")))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # languages x dimensions x 4 bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         table = letters(model.dimensions)
         for batch in batches:
-            texts = [b.decode("utf-8") for b in text_bytes(batch.column("_text"))]
+            texts = [b.decode("utf-8") for b in text_bytes(batch.column(len(rest)))]
             best, score = np.full(len(texts), -1), np.zeros(len(texts))
             for lo, hi in _pieces(texts):
                 grams, whose, row, n = gram_counts(texts[lo:hi], table.is_letter, model.gram)
@@ -222,7 +222,7 @@ def predict(docs: DataFrame, model: Prototypes, text_col: str = "text", lang_col
                 best[lo:hi] = np.where(lettered, cosine.argmax(1), -1)
                 score[lo:hi] = np.where(lettered, np.clip(cosine.max(1), 0, 1), 0)
             names = [model.names[i] if i >= 0 else UNDETERMINED for i in best]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(names, pa.string()), pa.array(score)], [*rest, lang_col, score_col])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(rest)], pa.array(names, pa.string()), pa.array(score)], [*rest, lang_col, score_col])
 
     return source.mapInArrow(run, schema)
 

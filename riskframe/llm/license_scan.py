@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.store import bounded_batches, text_bytes
+from riskframe.llm.store import bounded_batches, free_name, text_bytes
 
 # Phrases of the base labels.
 PHRASES = (
@@ -191,9 +191,9 @@ def license_scan(docs: DataFrame, text_col: str = "text", phrases=PHRASES, notic
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [one(t) for t in text_bytes(batch.column("_text"))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array([f[0] for f in found], pa.int64()),
+            found = [one(t) for t in text_bytes(batch.column(len(rest)))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(rest)], pa.array([f[0] for f in found], pa.int64()),
                                               pa.array([f[1] for f in found], kinds[0]), pa.array([f[2] for f in found], kinds[1])],
                                              [*rest, "n_words", "phrases", "blocks"])
 
-    return docs.select(*rest, F.col(text_col).alias("_text")).mapInArrow(run, schema)
+    return docs.select(*rest, F.col(text_col).alias(free_name(docs, "_text"))).mapInArrow(run, schema)

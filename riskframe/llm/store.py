@@ -75,6 +75,13 @@ def add_file(spark: SparkSession, data: bytes, name: str) -> str:
     return name
 
 
+def free_name(df: DataFrame, wanted: str) -> str:
+    """``wanted``, with more underscores in front if the table has that column."""
+    while wanted in df.columns:
+        wanted = "_" + wanted
+    return wanted
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Hand texts to Python tasks in batches of at most 8 MB, unless the
     session says otherwise (Spark's own limit is 64 MB, held several times)."""
