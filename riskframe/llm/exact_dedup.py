@@ -111,13 +111,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     are one group.  Of rows repeated with the same id and text, one stays.  An
     empty table gives no rows; other columns of ``docs`` are not read.
 
-    A group of copies, however large, meets only in partial aggregates; its
-    rows are joined to the group's single row by a join that Spark may split.
+    A group of copies, however large, meets only in partial aggregates; the
+    groups are written before rows are joined to them, so that Spark can split
+    the rows of a large one.
     """
     named = table(document_names(docs, id_col, text_col, block_chars), "document-names")
     first = F.min(F.struct((-F.col("_n_cp")).alias("n"), F.col("_id").isNull().alias("none"),
                            F.col("_id").alias("id"), F.col("_rid").alias("rid")))
-    groups = named.groupBy("_level", "_name").agg(first.alias("_first"), F.count(F.lit(1)).alias("group_size"))
+    groups = table(named.groupBy("_level", "_name").agg(first.alias("_first"), F.count(F.lit(1)).alias("group_size")), "copy-groups")
     return (named.join(groups, ["_level", "_name"])
             .select(F.col("_id").alias(id_col), F.col("_first")["id"].alias("keep_id"), "group_size",
                     (F.col("_rid") == F.col("_first")["rid"]).alias("kept"), F.col("_sha").alias("text_sha256")))
