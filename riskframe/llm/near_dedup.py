@@ -3,17 +3,19 @@
 1. Every text's set of shingles is hashed; equal sets form a class (a group of
    exact copies is one row from here on).  A class keeps its size and a MinHash
    signature.
-2. Signatures are banded into buckets.  In each bucket the first class of every
-   size (the leader) is compared with the members, never all with all.
+2. Signatures are banded into buckets.  A bucket's leader, the class that meets
+   most others in all its buckets, is compared with the members, never all
+   with all.
 3. A candidate pair's signatures are compared a batch of hashes at a time; it is
    dropped once the posterior probability (uniform prior) that its similarity
    reaches the threshold falls below ``miss``.
 4. Survivors are verified exactly on their full sets.
 5. Verified links give components.  A bucket whose members fall into more than
-   one component is not settled by its leader: there, every member outside the
-   bucket's largest component is compared with all members of other components.
-   So what a leader does not settle is compared in full, with no cap; pairs that
-   one component holds already need no comparison.
+   one component is not settled by its leader.  The classes of such buckets
+   meet again by the rarest shingles of their sets (prefix, length and positional
+   filters: two sets that reach the threshold share one of them), and pairs of
+   different components that do go through 3 and 4.  This loses no link and has no cap; texts that
+   only share a frequent passage do not meet.
 """
 
 from __future__ import annotations
@@ -24,10 +26,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.llm.store import table, text_bytes
+from riskframe.llm.store import bounded_batches, table, text_bytes
 
 DEFAULT_WORDS, DEFAULT_HASHES, DEFAULT_BANDS = 5, 128, 32
 DEFAULT_SIMILARITY, DEFAULT_MISS, DEFAULT_BATCH = (75, 100), 1e-5, 32
@@ -228,6 +230,46 @@ def _of_class(joined: DataFrame, size: int) -> DataFrame:
     return joined.select("_c", "_cls", "_text").mapInArrow(run, "_c long, _text string")
 
 
+def _rarest(texts: DataFrame, classes: DataFrame, size: int, similarity: tuple[int, int]) -> DataFrame:
+    """``(_s, _c, _root, _n, _p)``: the prefixes of the classes' sets when
+    shingles are ordered by their frequency among these classes, rarest first;
+    ``_p`` is a shingle's place in the whole set, from 1.
+
+    Two sets of the given similarity share at least ``ceil(t * n)`` of either's
+    ``n`` shingles, so the first ``n - ceil(t * n) + 1`` of both in any one order
+    have a shingle in common.  Shingles that one class alone holds come first
+    and can't be shared: they only use up places.  A passage that very many
+    texts hold comes last and is in the prefix only of texts that hold little
+    else."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for b in batches:
+            owner, sets, rows = [], [], 0
+            for c, text in zip(b.column("_c").to_pylist(), text_bytes(b.column("_text"))):
+                owner.append(c)
+                sets.append(shingle_hashes(hashes, text, size))
+                rows += len(sets[-1])
+                if rows > 200_000:
+                    yield part(owner, sets)
+                    owner, sets, rows = [], [], 0
+            if sets:
+                yield part(owner, sets)
+
+    def part(owner: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(owner, np.int64), [len(s) for s in sets])),
+                                           pa.array(np.concatenate(sets).view(np.int64))], ["_c", "_s"])
+
+    held = table(texts.join(classes.select("_c"), "_c").mapInArrow(run, "_c long, _s long"), "open-sets")
+    often = table(held.groupBy("_s").agg(F.count(F.lit(1)).alias("_f")).where("_f > 1"), "common-shingles")
+    common = held.join(often, "_s")
+    by_class = Window.partitionBy("_c")
+    part, whole = similarity
+    place = F.col("_n") - F.col("_m") + F.col("_i")  # those that no other class holds come first
+    last = F.col("_n") - F.expr(f"({part} * _n + {whole - 1}) div {whole}") + 1
+    return (common.withColumn("_m", F.count(F.lit(1)).over(by_class)).withColumn("_i", F.row_number().over(by_class.orderBy("_f", "_s")))
+            .join(classes, "_c").withColumn("_p", place).where(F.col("_p") <= last).select("_s", "_c", "_root", "_n", "_p"))
+
+
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = DEFAULT_WORDS,
                similarity: tuple[int, int] = DEFAULT_SIMILARITY, n_hashes: int = DEFAULT_HASHES,
                bands: int = DEFAULT_BANDS, batch: int = DEFAULT_BATCH, miss: float = DEFAULT_MISS) -> DataFrame:
@@ -244,6 +286,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A pair just at the threshold shares no band with probability
     ``(1 - s^r)^b``: 5e-6 for the default 32 bands of 4 hashes.
     """
+    bounded_batches(docs.sparkSession)
     share = similarity[0] / similarity[1]
     rows = class_table(docs, id_col, text_col, n_hashes, size)
     classes = table(rows.where("_cls is not null").groupBy("_cls")
@@ -254,14 +297,20 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     width = 4 * n_hashes // bands
     keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.substring("_sig", i * width + 1, F.lit(width))))
     entries = classes.select("_c", F.explode(keys).alias("_bucket"))
-    leaders = table(entries.groupBy("_bucket").agg(F.min("_c").alias("_lead"), F.max("_c").alias("_last"))
-                    .where("_lead <> _last").drop("_last"), "leaders")
-    shared = table(entries.join(leaders, "_bucket"), "buckets")
+    sizes = table(entries.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size")).where("_size > 1"), "bucket-sizes")
+    meets = table(entries.join(sizes, "_bucket"), "bucket-entries")
+    # a bucket's leader is the class that meets most others in all its buckets:
+    # in a group of near copies, the text that the others were made from
+    weights = table(meets.groupBy("_c").agg(F.sum(F.col("_size") - 1).alias("_w")), "weights")
+    leaders = table(meets.join(weights, "_c").groupBy("_bucket").agg(F.max(F.struct("_w", "_c"))["_c"].alias("_lead")), "leaders")
+    shared = table(meets.join(leaders, "_bucket").select("_c", "_bucket", "_lead"), "buckets")
     met = table(classes.join(shared.select("_c").distinct(), "_c", "left_semi"), "met-classes")
 
     # whole texts of the classes that meet another one
     source = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     texts = table(_of_class(source.join(met.select("_c", "_cls", "_first"), F.col("_id").eqNullSafe(F.col("_first"))), size), "near-texts")
+    if not texts.groupBy("_c").count().where("count > 1").isEmpty():  # repeated rows
+        texts = table(texts.dropDuplicates(["_c"]), "near-texts")
 
     def side(of: DataFrame, node: str, column: str, name: str) -> DataFrame:
         return of.select(F.col("_c").alias(node), F.col(column).alias(name))
@@ -272,20 +321,30 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         full = likely.join(side(texts, "_z", "_text", "_text2"), "_z").join(side(texts, "_a", "_text", "_text"), "_a")
         return table(_linked(full, size, similarity), "verified")
 
-    links = verified(shared.where("_c <> _lead").select(F.col("_lead").alias("_a"), F.col("_c").alias("_z")).distinct())
+    links = verified(shared.where("_c <> _lead").select(F.least("_lead", "_c").alias("_a"), F.greatest("_lead", "_c").alias("_z")).distinct())
     parts = components(links)
 
-    # buckets that their leaders did not settle
+    # buckets that their leaders did not settle: their classes meet again by
+    # the rarest shingles of their sets
     labelled = table(shared.join(parts, "_c", "left").withColumn("_root", F.coalesce("_root", "_c")), "labelled")
-    sizes = table(labelled.groupBy("_bucket", "_root").agg(F.count(F.lit(1)).alias("_m"))
-                  .groupBy("_bucket").agg(F.max(F.struct("_m", "_root"))["_root"].alias("_big"), F.count(F.lit(1)).alias("_parts"))
-                  .where("_parts > 1").select("_bucket", "_big"), "open-buckets")
-    rest = table(labelled.join(sizes, "_bucket").where("_c <> _lead")
-                 .join(met.select("_c", "_n"), "_c").select("_bucket", "_c", "_root", "_big", "_n"), "open-entries")
-    small = rest.where("_root <> _big").select("_bucket", F.col("_c").alias("_a"), F.col("_root").alias("_ra"), F.col("_n").alias("_na"))
-    pairs = (small.join(rest, "_bucket")
+    unsettled = labelled.groupBy("_bucket").agg(F.min("_root").alias("_lo"), F.max("_root").alias("_hi")).where("_lo <> _hi").select("_bucket")
+    left = table(labelled.join(table(unsettled, "unsettled"), "_bucket").select("_c", "_root").distinct()
+                 .join(met.select("_c", "_n"), "_c"), "open-classes")
+    prefixes = table(_rarest(texts, left, size, similarity), "prefixes")
+    sizes = table(prefixes.groupBy("_s", "_root").agg(F.count(F.lit(1)).alias("_m"))
+                  .groupBy("_s").agg(F.max(F.struct("_m", "_root"))["_root"].alias("_big"), F.count(F.lit(1)).alias("_parts"))
+                  .where("_parts > 1").select("_s", "_big"), "open-shingles")
+    rest = table(prefixes.join(sizes, "_s"), "open-entries")
+    small = rest.where("_root <> _big").select("_s", F.col("_c").alias("_a"), F.col("_root").alias("_ra"), F.col("_n").alias("_na"), F.col("_p").alias("_pa"))
+    part, whole = similarity
+    pairs = (small.join(rest, "_s")
              .where("_root <> _ra and (_root = _big or _a < _c)")
-             .where(similarity[1] * F.least("_n", "_na") >= similarity[0] * F.greatest("_n", "_na"))
+             # sizes that can match; the shorter set's shingle is among its first n - ceil(2t / (1 + t) n) + 1; and what
+             # follows the first common shingle on either side suffices (positional filter)
+             .where(f"{whole} * least(_n, _na) >= {part} * greatest(_n, _na)")
+             .where(f"if((_na, _a) < (_n, _c), _pa <= _na - ({2 * part} * _na + {whole + part - 1}) div {whole + part} + 1, "
+                    f"_p <= _n - ({2 * part} * _n + {whole + part - 1}) div {whole + part} + 1)")
+             .where(f"1 + least(_na - _pa, _n - _p) >= ({part} * (_na + _n) + {whole + part - 1}) div {whole + part}")
              .select(F.least("_a", "_c").alias("_a"), F.greatest("_a", "_c").alias("_z")).distinct())
     more = verified(pairs)
     if not more.isEmpty():

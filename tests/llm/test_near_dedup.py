@@ -85,3 +85,14 @@ def test_pruning_bound():
 
 def test_empty_table(spark, docs_of):
     assert N.near_dedup(docs_of([(1, "a")]).where("false")).count() == 0
+
+
+def test_common_passage_makes_no_pairs(spark, docs_of):
+    rng = random.Random(4)
+    passage = " ".join(f"p{i}" for i in range(55))
+    rows = [(i, passage + " " + " ".join(f"u{i}_{k}" for k in range(60))) for i in range(300)]
+    rows += [(1000 + i, rows[i][1] + f" tail{i}") for i in range(0, 300, 7)]
+    rng.shuffle(rows)
+    docs = docs_of(rows)
+    got = {r.doc_id: r.component_id for r in N.near_dedup(docs, n_hashes=128, bands=64).collect()}  # 2 hashes a band: large chance buckets
+    assert got == {i: (i - 1000 if i >= 1000 else i) for i, _ in rows}
