@@ -286,11 +286,21 @@ def piece_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def build_lexicon(docs: DataFrame, vocabulary_path: str, text_col: str = "text",
                   max_words: int = DEFAULT_LEXICON_WORDS) -> str:
-    """Compile the ``max_words`` most frequent pieces of the whole corpus (ties
-    by bytes) and place the file on all machines; returns its name.  The driver
-    holds those pieces only: at most ``max_words`` rows, of 64 bytes at most."""
-    top = (piece_counts(docs, text_col).where(F.length("piece") <= 64)
-           .orderBy(F.desc("n"), "piece").limit(max_words).select("piece").collect())
+    """Compile the most frequent pieces of the whole corpus, at most
+    ``max_words``, and place the file on all machines; returns its name.
+
+    A histogram of the frequencies (64 steps an octave, so a few thousand rows)
+    tells from which step on the pieces fit; only those reach the driver, of 64
+    bytes at most.  Pieces seen once are never in."""
+    step = F.floor(F.log2(F.col("n").cast("double")) * 64).cast("int")
+    counts = table(piece_counts(docs, text_col).where((F.length("piece") <= 64) & (F.col("n") > 1)).withColumn("step", step), "piece-counts")
+    lowest, held = None, 0
+    for r in sorted(counts.groupBy("step").count().collect(), key=lambda r: -r["step"]):
+        held += r["count"]
+        if held > max_words:
+            break
+        lowest = r["step"]
+    top = counts.where(F.col("step") >= lowest).select("piece").collect() if lowest is not None else []
     vocab = vocabulary(vocabulary_path)
     pieces = [bytes(r.piece) for r in top]
     data = compile_lexicon(zip(pieces, (np.frombuffer(ids, "<i4").tolist() for ids in vocab.merge_all(pieces))))
