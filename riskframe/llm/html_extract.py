@@ -3,13 +3,14 @@
 Tokens of a page are its tags, told apart by the path of open elements, and
 its text nodes, told apart by path and content.  Per host, a token's
 occurrence vector is its count in every page; tokens with equal vectors form
-an equivalence class.  A class is kept if it occurs in all the host's pages
-and there are enough different pages for that to mean something.  The class
-of tokens that occur once a page, in the same order, is the skeleton; classes
-that repeat (list items, table rows) nest in the slot of the skeleton that
-holds all their paths.  A page is then read slot by slot: the text nodes that
-belong to a class are the template's own, the others are the page's data, and
-the slots that hold the article are extracted.
+an equivalence class.  A class is kept if it occurs in a stated share (the
+support) of the host's different pages that hold any token, and there are
+enough of these for that to mean something.  The largest class of tokens that
+occur once a page, in the same order, is the skeleton; classes that repeat
+(list items, table rows) nest in the slot of the skeleton that holds all their
+paths.  A page is then read slot by slot: the text nodes that belong to a
+class are the template's own, inside the article too, the others are the
+page's data, and the slots that hold the article are extracted.
 """
 
 from __future__ import annotations
@@ -42,6 +43,7 @@ _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\
 _SPACE = re.compile(r"\s+")
 _BITS = (1 << 62) - 1
 DEFAULT_LEAST_PAGES = 4
+DEFAULT_SUPPORT = 0.9
 
 
 def host_of(url: Column) -> Column:
@@ -111,53 +113,57 @@ def _named(token: str, text: str | None, node: Node) -> str | None:
 
 
 def token_table(pages: DataFrame) -> DataFrame:
-    """``(host, token, pages, vector, place)`` from ``(host, html, page)``: the
-    pages that hold the token, a sum that stands for its occurrence vector, and
-    the sum of its first places.
+    """``(host, token, pages, vector, place, most)`` from ``(host, html, page)``:
+    the pages that hold the token, a sum that stands for its occurrence vector,
+    the sum of its first places and its highest count in a page.
 
     A page's entry in the vector is a 62-bit hash of the page and the count,
     added modulo 2^62 in partial sums, so no vector is ever gathered.  The
-    token ``*`` occurs once in every page."""
+    token ``*`` occurs once in every page that holds any token."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: dict[tuple[str, str], list] = {}
             for host, page, key in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "page"))):
-                counts, place = {"*": 1}, {"*": 0}
+                counts, place = {}, {}
                 for i, (token, text, node, _) in enumerate(tokens(page or "")):
                     name = _named(token, text, node)
                     if name:
                         counts[name] = counts.get(name, 0) + 1
                         place.setdefault(name, i)
+                if counts:
+                    counts["*"], place["*"] = 1, 0
                 entries = {n: xxhash.xxh64_intdigest(f"{key} {n}") for n in set(counts.values())}
                 for name, n in counts.items():
-                    entry = found.setdefault((host, name), [0, 0, 0])
+                    entry = found.setdefault((host, name), [0, 0, 0, 0])
                     entry[0] += 1
                     entry[1] = (entry[1] + entries[n]) & _BITS
                     entry[2] += place[name]
+                    entry[3] = max(entry[3], n)
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in found], pa.string()), pa.array([k[1] for k in found], pa.string()),
-                                              *(pa.array([v[i] for v in found.values()], pa.int64()) for i in range(3))],
-                                             ["host", "token", "pages", "vector", "place"])
+                                              *(pa.array([v[i] for v in found.values()], pa.int64()) for i in range(4))],
+                                             ["host", "token", "pages", "vector", "place", "most"])
 
     vector = (F.sum(F.col("vector").cast("decimal(38,0)")) % F.lit(_BITS + 1)).cast("long")
-    return (pages.select("host", "html", "page").mapInArrow(run, "host string, token string, pages long, vector long, place long")
-            .groupBy("host", "token").agg(F.sum("pages").alias("pages"), vector.alias("vector"), F.sum("place").alias("place")))
+    return (pages.select("host", "html", "page").mapInArrow(run, "host string, token string, pages long, vector long, place long, most long")
+            .groupBy("host", "token").agg(F.sum("pages").alias("pages"), vector.alias("vector"), F.sum("place").alias("place"), F.max("most").alias("most")))
 
 
-def templates(pages: DataFrame, least_pages: int = DEFAULT_LEAST_PAGES) -> DataFrame:
+def templates(pages: DataFrame, least_pages: int = DEFAULT_LEAST_PAGES, support: float = DEFAULT_SUPPORT) -> DataFrame:
     """``(host, once, tokens)`` per host with at least ``least_pages`` different
-    pages: the tokens ``(token, vector, place)`` of its equivalence classes, and
-    the vector of those that occur once a page.  Only tokens that every page
-    holds are in a class, so a host's row is bounded by its shortest page."""
-    keyed = pages.select(host_of(F.col("url")).alias("host"), "html", F.xxhash64("html").alias("_html"),
-                         F.xxhash64("page_id", "url", "html").alias("page"))
-    stats = table(token_table(keyed), "page-tokens")
-    different = keyed.select("host", "_html").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("_different"))
-    hosts = table(stats.where("token = '*'").select("host", F.col("pages").alias("_all"), F.col("vector").alias("once"))
-                  .join(different, "host").where(F.col("_different") >= least_pages), "hosts")
-    common = table(stats.where("token <> '*'").join(hosts, "host").where("pages = _all"), "common-tokens")
-    classes = common.groupBy("host", "vector").agg(F.count(F.lit(1)).alias("_size"))
-    valid = common.join(classes, ["host", "vector"]).where("vector = once or _size > 1")
-    return table(valid.groupBy("host", "once").agg(F.collect_list(F.struct("token", "vector", "place")).alias("tokens")), "templates")
+    pages that hold any token: the tokens ``(token, vector, place, most)`` of
+    its equivalence classes, and the vector of its skeleton, the largest class
+    of those that occur once a page.  Equal pages of a host count once.  Only
+    tokens in at least ``support`` of these pages are in a class, so a host's
+    row is bounded by the mean page over ``support``."""
+    keyed = pages.select(host_of(F.col("url")).alias("host"), "html", F.xxhash64("html").alias("page"))
+    stats = table(token_table(keyed.where("html is not null").dropDuplicates(["host", "page"])), "page-tokens")
+    hosts = table(stats.where("token = '*'").select("host", F.col("pages").alias("_all")).where(F.col("_all") >= least_pages), "hosts")
+    common = table(stats.where("token <> '*'").join(hosts, "host").where(F.col("pages") >= F.lit(support) * F.col("_all")), "common-tokens")
+    classes = table(common.groupBy("host", "vector").agg(F.count(F.lit(1)).alias("_size"), F.max("most").alias("_most"), F.max("pages").alias("_pages")), "token-classes")
+    skeletons = classes.where("_most = 1").groupBy("host").agg(F.max_by("vector", F.struct("_size", "_pages", "vector")).alias("once"))
+    valid = common.join(classes.where("_most = 1 or _size > 1").drop("_pages"), ["host", "vector"])
+    found = valid.groupBy("host").agg(F.collect_list(F.struct("token", "vector", "place", "most")).alias("tokens"))
+    return table(hosts.select("host").join(skeletons, "host", "left").join(found, "host").select("host", F.coalesce("once", F.lit(-1)).alias("once"), "tokens"), "templates")
 
 
 def _left_out(path: str) -> bool:
@@ -175,8 +181,9 @@ def _in_content(path: str) -> bool:
 
 
 class Template:
-    """Classes of one host: the skeleton in page order, and the repeating
-    classes, each nested in the slot of the skeleton that its tokens share."""
+    """Classes of one host: the skeleton in page order, the other classes that
+    occur once a page, and the repeating ones, each nested in the slot of the
+    skeleton that its tokens share."""
 
     def __init__(self, once: int | None, rows: list[dict]):
         rows = sorted(rows, key=lambda r: (r["place"], r["token"]))
@@ -185,9 +192,9 @@ class Template:
         opened = [t for t in skeleton if "=" not in t and not t.endswith("/")]
         classes: dict[int, list[str]] = {}
         for r in rows:
-            if r["vector"] != once:
+            if r["vector"] != once and r["most"] > 1:
                 classes.setdefault(r["vector"], []).append(r["token"])
-        nested = []
+        nested = [r["token"] for r in rows if r["vector"] != once and r["most"] == 1]
         for members in classes.values():
             homes = {max((o for o in opened if m.startswith(o + ">") or m.startswith(o + "=")), key=len, default="") for m in members}
             if len(homes) == 1:  # valid: one slot holds the whole class
@@ -206,13 +213,12 @@ class Template:
 
 def main_text(page: str, template: Template | None) -> str:
     """The page's article: the data of the template's article slots.  A page
-    that has the skeleton's tokens in another order, or whose host has no
-    template, is read by its elements alone."""
+    that lacks a token of the skeleton or has them in another order is read by
+    its elements without the template's own text, and one whose host has no
+    template by its elements alone."""
     rows = list(tokens(page))
-    if template:
-        order = [template.step[t] for t, text, node, _ in ((_named(*r[:3]) or "", *r[1:]) for r in rows) if t in template.step]
-        if order != list(range(len(template.step))):
-            template = None
+    names = [_named(*r[:3]) for r in rows] if template else [None] * len(rows)
+    ordered = template is not None and [template.step[n] for n in names if n in template.step] == list(range(len(template.step)))
     bounded = any(node.content and not node.dropped for _, text, node, _ in rows if text is None)
     slot, blocks, block = 0, [], []
 
@@ -222,16 +228,17 @@ def main_text(page: str, template: Template | None) -> str:
             blocks.append(text)
         block.clear()
 
-    for token, text, node, breaks in rows:
-        name = _named(token, text, node) if template else None
-        if name in (template.step if template else ()):
+    for name, (_, text, node, breaks) in zip(names, rows):
+        if ordered and name in template.step:
             slot += 1
         if text is None:
             if breaks:
                 close()
         elif node.dropped or bounded and not node.content:
             close()
-        elif template and not bounded and (name in template.own or not template.slots[slot]):
+        elif ordered and not bounded and not template.slots[slot]:
+            close()
+        elif template and name in template.own and (not bounded or any(c.isalnum() for c in text)):  # marks between words are the article's
             close()
         else:
             block.append(text)
@@ -239,19 +246,20 @@ def main_text(page: str, template: Template | None) -> str:
     return "\n".join(blocks)
 
 
-def extract_main_text(pages: DataFrame, least_pages: int = DEFAULT_LEAST_PAGES, out_col: str = "text") -> DataFrame:
+def extract_main_text(pages: DataFrame, least_pages: int = DEFAULT_LEAST_PAGES, out_col: str = "text", support: float = DEFAULT_SUPPORT) -> DataFrame:
     """Add ``out_col`` with the main text of every page (page_id, url and html
     are read; a column called ``out_col`` is replaced).
 
-    Where the page has an article or main element, its slots are the main text
-    and nothing in them is dropped but marked elements (menus, asides, forms,
-    adverts, comments and the like); elsewhere the text nodes that the host's
-    template owns are dropped too.  Null and empty html give empty text; null
-    and unreadable URLs form one host.  Repeated rows are pages of their own
-    but count once as evidence.  An empty table stays empty.
+    Where the page has an article or main element, its slots are the main
+    text.  Marked elements (menus, asides, forms, adverts, comments and the
+    like) are dropped, and so are the text nodes that the host's template owns,
+    those of a class in at least ``support`` of its different pages, in the
+    article or not.  Null and empty html give empty text and are no evidence;
+    null and unreadable URLs form one host.  Repeated rows are pages of their
+    own but count once as evidence.  An empty table stays empty.
     """
     bounded_batches(pages.sparkSession)
-    found = templates(pages.select("page_id", "url", "html"), least_pages)
+    found = templates(pages.select("page_id", "url", "html"), least_pages, support)
     rest = [c for c in pages.columns if c != out_col]
     page = pages.select(*rest, host_of(F.col("url")).alias("_host"))
     source = page.join(found.select(F.col("host").alias("_host"), F.col("once").alias("_once"), F.col("tokens").alias("_tokens")), "_host", "left")

@@ -82,3 +82,24 @@ def test_awkward_rows(spark):
     got = sorted(((r.page_id, r.text) for r in H.extract_main_text(pages(spark, rows)).collect()), key=str)
     assert got == sorted([(1, ""), (2, ""), (None, "x"), (3, "text only"), (3, "text only"), (4, "x"), (5, "<"), (6, "")], key=str)
     assert H.extract_main_text(pages(spark, rows).where("false")).count() == 0
+
+
+def test_template_text_inside_articles_is_removed(spark):
+    rng = random.Random(4)
+    words = [" ".join(f"w{rng.randrange(10_000)}" for _ in range(9)) for _ in range(40)]
+    body = lambda i: f"<h1>{words[i]}</h1><p>Written for readers of this site</p><p>{words[i + 20]} <b>x{i}</b>.</p><div>Keep in touch</div>"
+    rows = [(i, "http://full.example/", article(body(i), i)) for i in range(10)]
+    rows += [(i, "http://holes.example/", article(body(i), i)) for i in range(10, 20)]
+    rows += [(20, "http://holes.example/", None), (21, "http://holes.example/", ""), (22, "http://holes.example/", " \n"), (23, "http://holes.example/", "<p>Not found</p>")]
+    rows += [(i, "http://few.example/", article(body(i - 24), i)) for i in (24, 25)]
+    got = {r.page_id: r.text for r in H.extract_main_text(pages(spark, rows)).collect()}
+    for i in range(20):
+        assert got[i] == f"{words[i]}\n{words[i + 20]} x{i}.", i
+    assert [got[i] for i in (20, 21, 22, 23)] == ["", "", "", "Not found"]
+    assert got[24] == f"{words[0]}\nWritten for readers of this site\n{words[20]} x0.\nKeep in touch"
+
+
+def test_copies_of_a_page_are_no_evidence(spark):
+    rows = [(i, "http://copies.example/", article(f"<h1>Same {i if i < 4 else 4}</h1><p>Text {i if i < 4 else 4}")) for i in range(60)]
+    got = {r.page_id: r.text for r in H.extract_main_text(pages(spark, rows)).collect()}
+    assert got[2] == "Same 2\nText 2" and got[50] == "Same 4\nText 4"
