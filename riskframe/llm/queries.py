@@ -93,6 +93,11 @@ def op10_language_model(spark, sf_dir):
     return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
 
 
+def op11_filter_audit(spark, sf_dir):
+    from riskframe.llm.filter_audit import audit_documents
+    return audit_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_language_id": op2_language_id,
@@ -104,6 +109,7 @@ QUERIES = {
     "op8_html_extract": op8_html_extract,
     "op9_near_dedup": op9_near_dedup,
     "op10_language_model": op10_language_model,
+    "op11_filter_audit": op11_filter_audit,
 }
 
 ORACLE_SQL = {
@@ -140,4 +146,29 @@ ORACLE_SQL = {
         SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
                sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM dw d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op11_filter_audit": r"""
+        WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+             w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY t) AS first FROM d),
+             l AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels GROUP BY doc_id),
+             f AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+                          (CASE WHEN len(w) < 200 THEN 'A' ELSE '' END) || (CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END)
+                          || (CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 2 * length(t) THEN 'C' ELSE '' END)
+                          || (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END)
+                          || (CASE WHEN doc_id > first THEN 'E' ELSE '' END) AS fails
+                   FROM w LEFT JOIN l USING (doc_id)),
+             c AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY part, fails),
+             x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+             o AS (SELECT a.x || b.x || c.x || d.x || e.x AS o FROM x a, x b, x c, x d, x e
+                   WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+             s AS (SELECT part, o, step, substr(o, step, 1) AS f, fails, n, good, toxic,
+                          list_min(list_filter(range(1, 6), lambda i: contains(fails, substr(o, i, 1)))) AS gone
+                   FROM c, o, (SELECT unnest(range(1, 6)) AS step)),
+             g AS (SELECT part, o AS filter_order, step, f, sum(n) FILTER (gone IS NULL OR gone > step) AS kept, sum(n) FILTER (gone = step) AS removed,
+                          sum(n) FILTER (contains(fails, f) AND gone < step) AS redundant, sum(n) FILTER (fails = f) AS unique_fails,
+                          sum(good) FILTER (gone = step) AS good_lost, sum(toxic) FILTER (gone = step) AS toxic_lost
+                   FROM s GROUP BY part, o, step, f)
+        SELECT part, filter_order, step::INT AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+               coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost,
+               coalesce(toxic_lost, 0)::BIGINT AS toxic_lost, coalesce(sum(removed) OVER (PARTITION BY part, f), 0)::BIGINT AS shapley
+        FROM g""",
 }
