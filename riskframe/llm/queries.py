@@ -98,6 +98,12 @@ def op11_filter_audit(spark, sf_dir):
     return audit_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op13_packing(spark, sf_dir):
+    from riskframe.llm.packing import pack
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pack(docs, vocabulary(BYTE_VOCABULARY), end_id=1, size=2048, with_ids=False)
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_language_id": op2_language_id,
@@ -110,6 +116,7 @@ QUERIES = {
     "op9_near_dedup": op9_near_dedup,
     "op10_language_model": op10_language_model,
     "op11_filter_audit": op11_filter_audit,
+    "op13_packing": op13_packing,
 }
 
 ORACLE_SQL = {
