@@ -98,6 +98,13 @@ def op11_filter_audit(spark, sf_dir):
     return audit_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op12_hard_negatives(spark, sf_dir):
+    from riskframe.llm.hard_negatives import mine_hard_negatives
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = read_table(spark, sf_dir, "embeddings").select("vec_id", noisy.alias("label"), "embedding")
+    return mine_hard_negatives(rows, "vec_id", "label", "embedding", lambda i: i % 100 == 0, scale=256.0, positives=5, negatives=5, low=80, high=100)
+
+
 def op13_packing(spark, sf_dir):
     from riskframe.llm.packing import pack
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -116,6 +123,7 @@ QUERIES = {
     "op9_near_dedup": op9_near_dedup,
     "op10_language_model": op10_language_model,
     "op11_filter_audit": op11_filter_audit,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_packing": op13_packing,
 }
 
@@ -178,4 +186,17 @@ ORACLE_SQL = {
                coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost,
                coalesce(toxic_lost, 0)::BIGINT AS toxic_lost, coalesce(sum(removed) OVER (PARTITION BY part, f), 0)::BIGINT AS shapley
         FROM g""",
+    "op12_hard_negatives": r"""
+        WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+                   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+             s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+                   FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+             p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+                   QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+        SELECT anchor_id, positive_id, row_number() OVER w AS rank, other_id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+        WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)
+        QUALIFY row_number() OVER w <= 5""",
 }
