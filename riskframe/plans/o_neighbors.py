@@ -88,6 +88,18 @@ ORACLE["r5_leakage_summary"] = EMB + "\n" + _summary("test", 0.95)
 ORACLE["r5_similar_pairs"] = EMB + f"""
 SELECT left_key AS test_id, right_key AS train_id, round(similarity, 6) AS similarity
 FROM {_sims('test', 'train')} s WHERE similarity > 0.9"""
+ORACLE["r5_similar_pairs_low"] = ORACLE["r5_similar_pairs"].replace("similarity > 0.9", "similarity > 0.4")
+ORACLE["r5_max_similarity"] = EMB + f"""
+SELECT left_key AS vec_id, round(max(similarity), 6) AS max_similarity FROM {_sims('test', 'train')} s GROUP BY left_key"""
+
+
+def _maxima(a: str) -> str:
+    return f"""SELECT count(*) AS n_rows, count(*) FILTER (m > 0.95) AS n_flagged, round(min(m), 6) AS least, round(avg(m), 6) AS mean,
+       round(max(m), 6) AS largest, 'train-{a}' AS pair
+FROM (SELECT left_key, max(similarity) AS m FROM {_sims(a, 'train')} s GROUP BY left_key)"""
+
+
+ORACLE["l9_max_similarity"] = EMB + "\n" + _maxima("test") + "\nUNION ALL\n" + _maxima("val")
 ORACLE["r5_leakage_report"] = EMB + f"""
 SELECT left_key AS vec_id, round(max(similarity), 6) AS max_similarity, count(*) AS n_matches
 FROM {_sims('test', 'train')} s WHERE similarity > 0.95 GROUP BY left_key"""

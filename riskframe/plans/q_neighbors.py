@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskframe.operators import neighbors as N
+from riskframe.operators import pivots as V
 from riskframe.operators import profile as P
 from riskframe.operators import split as SPL
 from riskframe.plans.catalog import SEED, query, split_apps
@@ -106,6 +107,15 @@ def _r5b(spark, sf):
                     F.round("similarity", 6).alias("similarity"))
 
 
+@query("r5_similar_pairs_low")
+def _r5f(spark, sf):
+    """The path of thresholds below ``LSH_FROM``: exact, on a band of one coordinate."""
+    test, train = _pairs(spark, sf, "test", "train")
+    p = N.similar_pairs(test, train, "vec_id", "embedding", threshold=0.4)
+    return p.select(F.col("left_key").alias("test_id"), F.col("right_key").alias("train_id"),
+                    F.round("similarity", 6).alias("similarity"))
+
+
 @query("l9_integrity")
 def _l9(spark, sf):
     out = None
@@ -114,3 +124,29 @@ def _l9(spark, sf):
         s = N.leakage_summary(left, right, "vec_id", "embedding", threshold=0.95).withColumn("pair", F.lit(f"train-{a}"))
         out = s if out is None else out.unionByName(s)
     return out
+
+
+@query("r5_max_similarity")
+def _r5d(spark, sf):
+    """Every test row with its largest similarity to any train row."""
+    test, train = _pairs(spark, sf, "test", "train")
+    return V.max_similarity(test, train, "vec_id", "embedding").select("vec_id", "max_similarity")
+
+
+@query("r5_search_cost")
+def _r5e(spark, sf):
+    """What the pivot index saves: pairs compared of all (row, vector) pairs."""
+    test, train = _pairs(spark, sf, "test", "train")
+    found = V.similarity_summary(test, train, "vec_id", "embedding")
+    pairs = F.lit(train.count()) * F.col("n_rows")
+    return found.select("n_rows", "n_compared", pairs.alias("n_pairs"), (F.col("n_compared") / pairs).alias("share"))
+
+
+@query("l9_max_similarity")
+def _l9b(spark, sf):
+    out = None
+    for a in ("test", "val"):
+        left, right = _pairs(spark, sf, a, "train")
+        s = V.similarity_summary(left, right, "vec_id", "embedding").drop("n_compared").withColumn("pair", F.lit(f"train-{a}"))
+        out = s if out is None else out.unionByName(s)
+    return out
