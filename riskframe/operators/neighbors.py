@@ -219,7 +219,13 @@ def knn(df: DataFrame, key: str, vec: str, k: int = 5, group_cols: Sequence[str]
     points, vecs = distinct_vectors(df, key, vec, g)
     # several jobs read both: materialise them once in the shared folder
     points, vecs = checkpoint(points), checkpoint(vecs)
-    near = near_vectors(vecs, k, g)
+    return expand_neighbours(points, points, vecs, near_vectors(vecs, k, g), key, k, g)
+
+
+def expand_neighbours(asked: DataFrame, points: DataFrame, vecs: DataFrame, near: DataFrame, key: str, k: int, g: list[str]) -> DataFrame:
+    """From near vectors to the ``k`` nearest other rows of the ``asked`` points.
+    ``near`` holds ``(group.., vid, nn_vid, dist)`` with the vector itself and
+    its nearest ones; ``points`` and ``vecs`` are written tables."""
     members = checkpoint(_members(points, vecs, key, k, g))
     cand = near.join(members.withColumnRenamed("vid", "nn_vid"), [*g, "nn_vid"]).select(*g, "vid", "nn_key", "dist")
     # the k + 1 nearest points of the vector, itself included: a rank limit, which Spark applies before the shuffle too
@@ -227,7 +233,7 @@ def knn(df: DataFrame, key: str, vec: str, k: int = 5, group_cols: Sequence[str]
     best = cand.withColumn("_i", F.row_number().over(order)).where(F.col("_i") <= k + 1)
     lists = checkpoint(best.groupBy(*g, "vid").agg(F.sort_array(F.collect_list(F.struct("dist", "nn_key"))).alias("_nn")))
     others = F.slice(F.filter("_nn", lambda x: x["nn_key"] != F.col(key)), 1, k)
-    return (points.join(lists, [*g, "vid"]).select(*g, key, F.posexplode(others).alias("rank", "_x"))
+    return (asked.join(lists, [*g, "vid"]).select(*g, key, F.posexplode(others).alias("rank", "_x"))
             .select(*g, key, (F.col("rank") + 1).cast("int").alias("rank"), "_x.nn_key", "_x.dist"))
 
 

@@ -23,6 +23,10 @@ WITH src AS (SELECT label AS grp, vec_id AS key, CAST(embedding AS DOUBLE[]) AS
 {knn_sql('src', 5)}
 SELECT grp AS label, key AS vec_id, rank, nn_key, round(dist, 6) AS dist FROM nn"""
 
+ORACLE["r1_knn_chosen"] = ORACLE["r1_knn"] + " WHERE key % 50 = 0"
+ORACLE["r1_approximate_recall_checked"] = f"""
+SELECT count(DISTINCT vec_id) AS n_queries, count(*) AS n_true, true AS recall_reached FROM ({ORACLE['r1_knn_chosen']}) q"""
+
 XS = "[" + ", ".join(f"CAST({c} AS DOUBLE) / CAST({s!r} AS DOUBLE)" for c, s in SMOTE_SCALES.items()) + "]"
 TRAIN = split_cte() + f"\n, tr AS (SELECT app_id, class, {XS} AS x FROM sp WHERE split = 'train')"
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from riskframe.operators import neighbors as N
 from riskframe.operators import pivots as V
+from riskframe.operators import signatures as S
 from riskframe.operators import profile as P
 from riskframe.operators import split as SPL
 from riskframe.plans.catalog import SEED, query, split_apps
@@ -46,6 +47,37 @@ def _r1(spark, sf):
     return nn.select("label", "vec_id", "rank", "nn_key", F.round("dist", 6).alias("dist"))
 
 
+ASKED = F.col("vec_id") % 50 == 0       # the stated query set of the approximate mode
+
+
+@query("r1_knn_chosen")
+def _r1c(spark, sf):
+    """Exact neighbours of the chosen rows among all rows of their label."""
+    nn, _ = S.knn_of(read_table(spark, sf, "embeddings"), "vec_id", "embedding", ASKED, k=K, group_cols=["label"])
+    return nn.select("label", "vec_id", "rank", "nn_key", F.round("dist", 6).alias("dist"))
+
+
+def approximate_recall(spark, sf, list_rows=16):
+    e = read_table(spark, sf, "embeddings")
+    exact, _ = S.knn_of(e, "vec_id", "embedding", ASKED, k=K, group_cols=["label"])
+    found, probing = S.knn_of(e, "vec_id", "embedding", ASKED, k=K, group_cols=["label"], recall=0.95, list_rows=list_rows)
+    return S.recall_report(exact, found, "vec_id"), probing
+
+
+@query("r1_approximate_recall")
+def _r1d(spark, sf):
+    """Recall of the signature lists against the exact neighbours, with the
+    bits and the share of lists looked into."""
+    report, probing = approximate_recall(spark, sf)
+    return report.select("*", F.lit(probing.bits).alias("bits"), F.lit(len(probing.masks) / 2.0 ** probing.bits).alias("lists_share"))
+
+
+@query("r1_approximate_recall_checked")
+def _r1e(spark, sf):
+    report, _ = approximate_recall(spark, sf)
+    return report.select("n_queries", "n_true", (F.col("recall") >= 0.9).alias("recall_reached"))
+
+
 @query("r1_knn_minority")
 def _r1b(spark, sf):
     m = smote_input(spark, sf).where(F.col("class") == 2)
