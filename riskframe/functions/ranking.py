@@ -35,6 +35,12 @@ def _offsets(sizes: DataFrame, group_cols: Sequence[str], size_col: str) -> Data
             .drop(size_col))
 
 
+def _grouped(df: DataFrame, group_cols: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """The group columns as one struct ``_group``: a join on it also meets
+    groups with NULL fields, which a join on the columns would drop."""
+    return (df.withColumn("_group", F.struct(*group_cols)), ["_group"]) if group_cols else (df, [])
+
+
 TARGET_CHUNK_ROWS = 2_000_000
 
 
@@ -64,15 +70,16 @@ def hash_positions(df: DataFrame, group_cols: Sequence[str], key_col: str, seed:
     group_cols = list(group_cols)
     if chunk_bits is None:
         chunk_bits = chunk_bits_for(df, group_cols)
+    df, g = _grouped(df, group_cols)
     d = (df.withColumn("_h", hash32(key_col, seed=seed))
          .withColumn("_chunk", F.shiftright(F.col("_h"), 32 - chunk_bits).cast("int")))
-    sizes = d.groupBy(*group_cols, "_chunk").agg(F.count(F.lit(1)).alias("_cn"))
-    offs = _offsets(sizes, group_cols, "_cn")
-    local = Window.partitionBy(*group_cols, "_chunk").orderBy("_h", key_col)
+    sizes = d.groupBy(*g, "_chunk").agg(F.count(F.lit(1)).alias("_cn"))
+    offs = _offsets(sizes, g, "_cn")
+    local = Window.partitionBy(*g, "_chunk").orderBy("_h", key_col)
     ranked = d.withColumn("_local", F.row_number().over(local) - 1)
-    return (ranked.join(offs, [*group_cols, "_chunk"])
+    return (ranked.join(offs, [*g, "_chunk"])
             .withColumn("_pos", (F.col("_off") + F.col("_local")).cast("long"))
-            .drop("_chunk", "_local", "_off"))
+            .drop("_chunk", "_local", "_off", "_group"))
 
 
 def running_totals(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], weight_col: str,
@@ -108,14 +115,15 @@ def running_totals(df: DataFrame, group_cols: Sequence[str], order_cols: Sequenc
     n = num_chunks
     ranged = checkpoint(df.repartitionByRange(n, *group_cols, *order_cols)
                         .withColumn("_chunk", F.spark_partition_id()))
-    sizes = ranged.groupBy(*group_cols, "_chunk").agg(F.sum(weight_col).alias("_cw"))
-    offs = _offsets(sizes, group_cols, "_cw")
-    local = (Window.partitionBy(*group_cols, "_chunk").orderBy(*order_cols)
+    ranged, g = _grouped(ranged, group_cols)
+    sizes = ranged.groupBy(*g, "_chunk").agg(F.sum(weight_col).alias("_cw"))
+    offs = _offsets(sizes, g, "_cw")
+    local = (Window.partitionBy(*g, "_chunk").orderBy(*order_cols)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     cum = ranged.withColumn("_cum", F.sum(weight_col).over(local))
-    return (cum.join(offs, [*group_cols, "_chunk"])
+    return (cum.join(offs, [*g, "_chunk"])
             .withColumn("_before", (F.col("_off") + F.col("_cum") - F.col(weight_col)).cast("long"))
-            .drop("_chunk", "_cum", "_off"))
+            .drop("_chunk", "_cum", "_off", "_group"))
 
 
 def value_counts(df: DataFrame, group_cols: Sequence[str], value_col: str) -> DataFrame:

@@ -80,15 +80,16 @@ def assign_split(df: DataFrame, key: str, group_cols: Sequence[str] = (), seed:
                  test_size: float = 0.15, val_size: float = 0.15, col: str = "split") -> DataFrame:
     """T1 (stratified when ``group_cols`` = [label]) / T2 (no groups): rows are
     compared with their group's two cut points, so they are not shuffled.  The
-    cut points have one row per group (class) and are broadcast."""
-    g = list(group_cols) or ["_all"]
-    rows = df if group_cols else df.withColumn("_all", F.lit(0))
+    cut points have one row per group (class) and are broadcast.  Rows whose
+    class is NULL are a class of their own (a group is a struct, whose NULL
+    fields are equal in joins)."""
+    g = ["_group"]
+    rows = df.withColumn("_group", F.struct(*group_cols) if group_cols else F.struct(F.lit(0)))
     cuts = cut_points(rows, g, key, seed, cut_counts(rows, g, test_size, val_size))
     at = F.struct(hash32(key, seed=seed).alias("_h"), F.col(key).alias("_key"))
     split = (F.when(F.col("_cut1").isNull() | (at < F.col("_cut1")), "test")
              .when(F.col("_cut2").isNull() | (at < F.col("_cut2")), "val").otherwise("train"))
-    out = rows.join(F.broadcast(cuts), g).withColumn(col, split).drop("_cut1", "_cut2")
-    return out if group_cols else out.drop("_all")
+    return rows.join(F.broadcast(cuts), g).withColumn(col, split).drop("_cut1", "_cut2", "_group")
 
 
 def stratified_split(df: DataFrame, key: str, label: str, seed: int = 42, test_size: float = 0.15,
@@ -104,7 +105,7 @@ def random_split(df: DataFrame, key: str, seed: int = 42, test_size: float = 0.1
 
 def stratified_folds(df: DataFrame, key: str, label: str, k: int = 5, seed: int = 42, col: str = "fold") -> DataFrame:
     """fold = rank within class (md5 order) mod k, so every fold gets
-    floor or ceil of n_c / k rows of each class."""
+    floor or ceil of n_c / k rows of each class (NULL is a class of its own)."""
     ranked = hash_positions(df, [label], key, f"fold{seed}")
     return ranked.withColumn(col, F.pmod(F.col("_pos"), F.lit(k)).cast("int")).drop("_h", "_pos", "_total")
 

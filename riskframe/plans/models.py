@@ -68,14 +68,14 @@ def tree_frame(split_df: DataFrame, numeric: Sequence[str], categorical: Sequenc
 
 # ---------------------------------------------------------------- learners
 def logistic(train: DataFrame, C: float = 1.0, penalty: str = "l1", balanced: bool = True,
-             max_iter: int = 1000) -> LogisticRegression:
+             max_iter: int = 1000, tol: float = 1e-6) -> LogisticRegression:
     """M1 / M2 with the scikit-learn C mapped onto regParam."""
     if penalty not in ("l1", "l2"):
         raise ValueError(f"penalty must be l1 or l2, not {penalty!r}")
     sw = train.agg(F.sum("weight" if balanced else F.lit(1.0))).first()[0]
     lr = LogisticRegression(featuresCol="features", labelCol="label", regParam=1.0 / (C * sw),
                             elasticNetParam=1.0 if penalty == "l1" else 0.0, standardization=False,
-                            maxIter=max_iter, tol=1e-6)
+                            maxIter=max_iter, tol=tol)
     return lr.setWeightCol("weight") if balanced else lr
 
 
@@ -105,14 +105,14 @@ def tree_regressor(max_depth: int = 5, min_samples_leaf: int = 30, seed: int = 4
 
 
 def linear_regression(train: DataFrame, kind: str = "ols", alpha: float = 0.0, l1_ratio: float = 0.5,
-                      fit_intercept: bool = True) -> LinearRegression:
-    """M6-M9 with the scikit-learn alpha mapped onto regParam."""
+                      fit_intercept: bool = True, tol: float = 1e-6, stats: tuple[int, float] | None = None) -> LinearRegression:
+    """M6-M9 with the scikit-learn alpha mapped onto regParam.  ``stats`` are
+    the rows and the target's sample deviation of ``train``, if known."""
     common = dict(featuresCol="features", labelCol="y_reg", fitIntercept=fit_intercept, standardization=False,
-                  maxIter=1000, tol=1e-6)
+                  maxIter=1000, tol=tol)
     if kind == "ols":
         return LinearRegression(regParam=0.0, **common)
-    st = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("y_reg").alias("sd")).first()
-    n, sd = st["n"], st["sd"]
+    n, sd = stats or train.agg(F.count(F.lit(1)), F.stddev_samp("y_reg")).first()
     if kind == "ridge":
         if not sd:
             raise ValueError("ridge mapping needs a non-constant target")

@@ -13,13 +13,16 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.operators import moments as MO
 from riskframe.operators import tune as G
 from riskframe.plans import models as M
 from riskframe.plans.catalog import query
-from riskframe.plans.q_models import C_GRID, _eval, _fit_logistic, _fit_mlp, _frames, _tree_frame, c_grid
-from riskframe.session import scratch_path
+from riskframe.plans.q_models import (_KINDS, C_GRID, EVAL_SPLITS, _eval, _fit_logistic, _fit_mlp, _frames, _tree_frame, c_grid, linear_grid,
+                                      moments_frame, penalties)
+from riskframe.session import checkpoint, scratch_path
 
-TOLERANCE = 2e-3
+PRECISE = 1e-12     # solver tolerance of the fits that are checked
+SHARE = 0.05        # of the penalty's slope that an optimum may be off by
 
 
 def _gradient(rows: DataFrame, residual) -> tuple[list[float], float]:
@@ -30,14 +33,20 @@ def _gradient(rows: DataFrame, residual) -> tuple[list[float], float]:
     return [r["g"] for r in sorted(per, key=lambda r: r["j"])], total
 
 
-def optimal(beta, gradient: list[float], l1: float, l2: float, tol: float = TOLERANCE) -> bool:
+def optimal(beta, gradient: list[float], intercept_gradient: float, l1: float, l2: float, against: float = 0.0, share: float = SHARE) -> bool:
     """First-order conditions of ``loss + l1 |b| + l2 / 2 b^2``: the gradient
-    balances the penalty, and is within it where the coefficient is zero."""
+    balances the penalty, and is within it where the coefficient is zero.
+
+    The tolerance is a share of the penalty's own slope, so that a model with
+    another penalty, or none, doesn't pass.  ``against`` is the L2 strength
+    that an unpenalised model is told from."""
+    tol = share * max(l1, max(l2, against) * max(abs(b) for b in beta))
+    if abs(intercept_gradient) > tol:
+        return False
     for b, g in zip(beta, gradient):
         slope = g + l2 * b
         if abs(b) > 1e-9:
-            slope += l1 * (1 if b > 0 else -1)
-            if abs(slope) > tol:
+            if abs(slope + l1 * (1 if b > 0 else -1)) > tol:
                 return False
         elif abs(slope) > l1 + tol:
             return False
@@ -50,13 +59,18 @@ def _counts(pred: DataFrame, **facts: bool) -> DataFrame:
     return out.select("*", *[F.lit(bool(v)).alias(k) for k, v in facts.items()])
 
 
-def _logistic_checked(spark, sf, penalty: str, C: float = 1.0):
-    model, x, _ = _fit_logistic(spark, sf, C, penalty)
+def logistic_optimal(model, x: DataFrame, penalty: str, C: float = 1.0) -> bool:
+    """Whether the model minimises the weighted logistic loss with this penalty."""
     train = M.predict(model, x.where(F.col("split") == "train"), keep=("features", "label", "weight"))
     sw = train.agg(F.sum("weight")).first()[0]
     g, g0 = _gradient(train, F.col("weight") * (F.col("p") - F.col("label")) / F.lit(sw))
     lam = 1.0 / (C * sw)
-    good = optimal(model.coefficients.toArray(), g, lam if penalty == "l1" else 0.0, lam if penalty == "l2" else 0.0) and abs(g0) < TOLERANCE
+    return optimal(model.coefficients.toArray(), g, g0, lam if penalty == "l1" else 0.0, lam if penalty == "l2" else 0.0)
+
+
+def _logistic_checked(spark, sf, penalty: str, C: float = 1.0):
+    model, x, _ = _fit_logistic(spark, sf, C, penalty, tol=PRECISE)
+    good = logistic_optimal(model, x, penalty, C)
     return _counts(M.predict(model, _eval(x)), optimal=good)
 
 
@@ -106,40 +120,52 @@ def _m5(spark, sf):
     return _tree_checked(spark, sf, M.tree_regressor(5, 30), 5, 30, False)
 
 
-def _linear_checked(spark, sf, kind: str, l1: float = 0.0, l2: float = 0.0, per_row: bool = True, fit_intercept: bool = True, **kw):
-    x, _ = _frames(spark, sf)
-    train = x.where(F.col("split") == "train")
-    model = M.linear_regression(train, kind, fit_intercept=fit_intercept, **kw).fit(train)
-    pred = M.predict(model, train, keep=("features", "y_reg"), classifier=False)
-    n = train.count()
-    g, g0 = _gradient(pred, (F.col("reg_pred") - F.col("y_reg")) / F.lit(float(n)))
-    good = optimal(model.coefficients.toArray(), g, l1, l2 if per_row else l2 / n) and (not fit_intercept or abs(g0) < TOLERANCE)
-    return _counts(_eval(x), optimal=good, intercept_ok=fit_intercept or model.intercept == 0.0)
+NEAR = 0.01     # of the distance at which another penalty's optimum lies
+
+
+def near_minimum(m: MO.Moments, coef, l1: float, l2: float, fit_intercept: bool) -> bool:
+    """Whether the coefficients are within ``NEAR`` of the distance from the
+    minimum at which the model without the penalty lies (for no penalty: the
+    model with ridge strength 1)."""
+    other = m.least_squares(0.0 if l1 or l2 else 1.0 / m.n, fit_intercept)
+    return m.above_minimum(coef, l1, l2, fit_intercept) <= NEAR * m.above_minimum(other, l1, l2, fit_intercept)
+
+
+def _linear_checked(spark, sf, kind: str, alpha: float | None = None, l1_ratio: float | None = None, fit_intercept: bool = True):
+    frame, prep = moments_frame(spark, sf)
+    m = MO.Moments.collect(MO.moments(frame, "x", "y_reg", "split"), "split", prep.n_features)["train"]
+    train = frame.where(F.col("split") == "train")
+    cfg = {"model_type": kind, "alpha": alpha, "l1_ratio": l1_ratio}
+    model = M.linear_regression(train, _KINDS[kind], alpha=alpha or 0.0, l1_ratio=l1_ratio or 0.5, fit_intercept=fit_intercept, tol=PRECISE).fit(train)
+    coef = model.coefficients.toArray()
+    level = m.intercept_of(coef) if fit_intercept else 0.0
+    return _counts(frame.where(F.col("split") != "train").withColumn("class", F.col("y_reg").cast("int")),
+                   optimal=near_minimum(m, coef, *penalties(cfg, m.n), fit_intercept), intercept_ok=abs(model.intercept - level) < 1e-6)
 
 
 @query("m6_ols_checked")
 def _m6(spark, sf):
-    return _linear_checked(spark, sf, "ols")
+    return _linear_checked(spark, sf, "LinearRegression")
 
 
 @query("m6_ols_no_intercept_checked")
 def _m6b(spark, sf):
-    return _linear_checked(spark, sf, "ols", fit_intercept=False)
+    return _linear_checked(spark, sf, "LinearRegression", fit_intercept=False)
 
 
 @query("m7_ridge_checked")
 def _m7(spark, sf):
-    return _linear_checked(spark, sf, "ridge", alpha=1.0, l2=1.0, per_row=False)
+    return _linear_checked(spark, sf, "Ridge", alpha=1.0)
 
 
 @query("m8_lasso_checked")
 def _m8(spark, sf):
-    return _linear_checked(spark, sf, "lasso", alpha=0.01, l1=0.01)
+    return _linear_checked(spark, sf, "Lasso", alpha=0.01)
 
 
 @query("m9_elasticnet_checked")
 def _m9(spark, sf):
-    return _linear_checked(spark, sf, "elasticnet", alpha=0.01, l1_ratio=0.5, l1=0.005, l2=0.005)
+    return _linear_checked(spark, sf, "ElasticNet", alpha=0.01, l1_ratio=0.5)
 
 
 def _probabilities_ok(pred: DataFrame) -> bool:
@@ -148,18 +174,42 @@ def _probabilities_ok(pred: DataFrame) -> bool:
     return bad.isEmpty()
 
 
+def better_than_constant(model, train: DataFrame) -> tuple[bool, bool]:
+    """Whether the training log loss is below that of the best constant
+    probability, and the training AUC above one half.  (Facts on held-out rows
+    would be facts about the data: its classes may not be predictable.)"""
+    pred = checkpoint(M.predict(model, train))
+    share = F.lit(train.agg(F.avg("label")).first()[0])
+
+    def log_loss(p):
+        p = F.least(F.greatest(p, F.lit(1e-9)), F.lit(1 - 1e-9))
+        return F.avg(-F.when(F.col("class") == 2, F.log(p)).otherwise(F.log(1 - p)))
+    loss = pred.agg(log_loss(F.col("p")).alias("own"), log_loss(share).alias("constant")).first()
+    return loss["own"] < loss["constant"], M.classification_report(pred).first()["roc_auc"] > 0.5
+
+
 @query("m10_mlp_checked")
 def _m10(spark, sf):
     model, x = _fit_mlp(spark, sf)
+    loss_ok, auc_ok = better_than_constant(model, x.where(F.col("split") == "train"))
     pred = M.predict(model, _eval(x))
-    return _counts(pred, probabilities_ok=_probabilities_ok(pred))
+    return _counts(pred, probabilities_ok=_probabilities_ok(pred), loss_ok=loss_ok, auc_ok=auc_ok)
+
+
+def recomputed(model, x: DataFrame) -> DataFrame:
+    """``(app_id, p)`` from the model's coefficients alone, as M12 scores."""
+    w = F.array(*[F.lit(float(v)) for v in model.coefficients.toArray()])
+    z = F.aggregate(F.zip_with(vector_to_array("features"), w, lambda a, b: a * b), F.lit(float(model.intercept)), lambda acc, v: acc + v)
+    return x.select("app_id", (1 / (1 + F.exp(-z))).alias("p"))
 
 
 @query("m11_predict_proba_checked")
 def _m11(spark, sf):
     model, x, _ = _fit_logistic(spark, sf)
-    pred = M.predict(model, _eval(x))
-    return _counts(pred, probabilities_ok=_probabilities_ok(pred))
+    pred = checkpoint(M.predict(model, _eval(x)))
+    again = recomputed(model, _eval(x)).withColumnRenamed("p", "p2")
+    off = pred.join(again, "app_id").agg(F.max(F.abs(F.col("p") - F.col("p2"))).alias("off"), F.count(F.lit(1)).alias("n")).first()
+    return _counts(pred, probabilities_ok=_probabilities_ok(pred), recomputed_ok=off["off"] < 1e-8 and off["n"] == pred.count())
 
 
 @query("s6_model_roundtrip_checked")
@@ -205,6 +255,22 @@ def _g2(spark, sf):
     return res.select("config_id", "C", F.col("error").isNotNull().alias("failed"), share.alias("metrics_ok"))
 
 
+@query("g2_linear_grid_checked")
+def _g2_linear(spark, sf):
+    """Per configuration of the linear grid: it was fitted, it lies near the
+    minimum of its own objective, and the errors from the moments equal those
+    of the rows."""
+    fitted, by_split = linear_grid(spark, sf, tol=PRECISE)
+    rows = []
+    for r in fitted:
+        ok = r["error"] is None
+        l1, l2 = penalties(r, by_split["train"].n)
+        rows.append((r["config_id"], r["model_type"], r["alpha"], r["l1_ratio"], r["fit_intercept"], not ok,
+                     ok and near_minimum(by_split["train"], r["coef"], l1, l2, r["fit_intercept"]),
+                     ok and all(abs(r[f"{s}_rmse"] - r[f"{s}_scan_rmse"]) < 1e-8 and r[f"{s}_mae"] <= r[f"{s}_rmse"] + 1e-12 for s in EVAL_SPLITS)))
+    return spark.createDataFrame(rows, "config_id int, model_type string, alpha double, l1_ratio double, fit_intercept boolean, failed boolean, optimal boolean, moments_equal_rows boolean")
+
+
 @query("g11_refit_best_checked")
 def _g11(spark, sf):
     res, x = c_grid(spark, sf)

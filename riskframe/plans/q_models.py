@@ -4,12 +4,14 @@ regularisation mappings and the metric plumbing."""
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from riskframe.operators import moments as MO
 from riskframe.operators import tune as G
 from riskframe.plans import models as M
 from riskframe.plans.catalog import CAT, NUM, query, split_apps
-from riskframe.session import checkpoint, scratch_path
+from riskframe.session import checkpoint, materialise, scratch_path
 
 EVAL_SPLITS = ("val", "test")
 
@@ -18,10 +20,10 @@ def _frames(spark, sf):
     return M.linear_frame(split_apps(spark, sf), NUM, CAT)
 
 
-def _fit_logistic(spark, sf, C=1.0, penalty="l1"):
+def _fit_logistic(spark, sf, C=1.0, penalty="l1", tol=1e-6):
     x, prep = _frames(spark, sf)
     train = x.where(F.col("split") == "train")
-    return M.logistic(train, C=C, penalty=penalty).fit(train), x, prep
+    return M.logistic(train, C=C, penalty=penalty, tol=tol).fit(train), x, prep
 
 
 def _eval(x):
@@ -179,6 +181,94 @@ def _g11(spark, sf):
                       F.col("f1_pos2").alias("test_f1"), F.col("roc_auc").alias("test_roc_auc"))
 
 
+# The linear grid of the blueprint, 98 configurations.
+RIDGE_LASSO_ALPHAS = [0.001, 0.01, 0.1, 0.5, 1.0, 5.0, 10.0, 50.0, 100.0]
+ELASTIC_ALPHAS, ELASTIC_RATIOS = [0.01, 0.1, 0.5, 1.0, 5.0, 10.0], [0.1, 0.3, 0.5, 0.7, 0.9]
+_KINDS = {"LinearRegression": "ols", "Ridge": "ridge", "Lasso": "lasso", "ElasticNet": "elasticnet"}
+NONZERO = 1e-5
+
+
+def linear_configs():
+    """The grid in the order of the search."""
+    flat = [("LinearRegression", None, None)] + [(m, a, None) for m in ("Ridge", "Lasso") for a in RIDGE_LASSO_ALPHAS]
+    flat += [("ElasticNet", a, r) for a in ELASTIC_ALPHAS for r in ELASTIC_RATIOS]
+    return [{"config_id": i + 1, "model_type": m, "alpha": a, "l1_ratio": r, "fit_intercept": f}
+            for i, (m, a, r, f) in enumerate((m, a, r, f) for m, a, r in flat for f in (True, False))]
+
+
+def penalties(cfg, n):
+    """L1 and L2 strengths of a configuration, per row of the mean loss."""
+    alpha, ratio = cfg["alpha"] or 0.0, cfg["l1_ratio"]
+    return {"LinearRegression": (0.0, 0.0), "Ridge": (0.0, alpha / n), "Lasso": (alpha, 0.0)}.get(cfg["model_type"]) or (alpha * ratio, alpha * (1 - ratio))
+
+
+def moments_frame(spark, sf):
+    """The linear frame with its features as an array, written once."""
+    x, prep = _frames(spark, sf)
+    return materialise(x.select("app_id", "split", "y_reg", "features", vector_to_array("features").alias("x")), "linear-frame"), prep
+
+
+def linear_grid(spark, sf, configs=None, tol=1e-6):
+    """Fit every configuration (MLlib), then score all of them: squared errors
+    and R squared from one table of moments, absolute errors from one scan.
+    Returns the fitted rows (in memory, one a configuration), the scan's table
+    and the moments by split."""
+    frame, prep = moments_frame(spark, sf)
+    by_split = MO.Moments.collect(MO.moments(frame, "x", "y_reg", "split"), "split", prep.n_features)
+    z = by_split["train"].z
+    n = int(z[1, 1])
+    # many fits read it: as many partitions as the rows need, so that a fit on few rows is a few tasks
+    train = materialise(frame.where(F.col("split") == "train").select("features", "y_reg").repartition(1 + n // 50_000), "linear-train")
+    sd = ((z[0, 0] - z[0, 1] ** 2 / n) / (n - 1)) ** 0.5
+    fitted = M.fit_grid(configs or linear_configs(), lambda c: M.linear_regression(
+        train, _KINDS[c["model_type"]], alpha=c["alpha"] or 0.0, l1_ratio=c["l1_ratio"] or 0.5, fit_intercept=c["fit_intercept"], tol=tol, stats=(n, sd)),
+        train, lambda model: {"coef": model.coefficients.toArray(), "intercept": float(model.intercept)}, parallelism=8)
+    good = [r for r in fitted if r["error"] is None]
+    scanned = MO.scan_errors(frame.where(F.col("split").isin(*EVAL_SPLITS)), "x", "y_reg", "split", [(r["coef"], r["intercept"]) for r in good]).collect()
+    for r in scanned:
+        good[r["model"]][f"{r['split']}_mae"], good[r["model"]][f"{r['split']}_scan_rmse"] = r["mae"], r["rmse"]
+    for r in good:
+        r["n_features_used"] = int((abs(r["coef"]) > NONZERO).sum())
+        for s in EVAL_SPLITS:
+            r |= {f"{s}_{k}": v for k, v in by_split[s].errors(r["coef"], r["intercept"]).items()}
+    return fitted, by_split
+
+
+LINEAR_SCHEMA = ("config_id int, model_type string, alpha double, l1_ratio double, fit_intercept boolean, "
+                 + ", ".join(f"{s}_{m} double" for s in EVAL_SPLITS for m in ("mae", "rmse", "r2")) + ", n_features_used int, error string")
+
+
+def linear_results(spark, sf):
+    fitted, _ = linear_grid(spark, sf)
+    names = [c.split()[0] for c in LINEAR_SCHEMA.split(", ")]
+    return spark.createDataFrame([{k: r.get(k) for k in names} for r in fitted], LINEAR_SCHEMA)
+
+
+@query("g2_linear_grid")
+def _g2_linear(spark, sf):
+    """Least squares, ridge, lasso and elastic net over strength, mixing and
+    intercept: 98 fits, with validation and test errors."""
+    return linear_results(spark, sf)
+
+
+@query("g2_linear_grid_best")
+def _g2_linear_best(spark, sf):
+    """The first configuration with the least validation RMSE, and the mean
+    test errors per model type."""
+    res = materialise(linear_results(spark, sf), "linear-grid").where(F.col("error").isNull())
+    best = G.best_config(res, "val_rmse", ascending=True).select(F.lit("best").alias("what"), "model_type", "test_rmse", "test_mae", "test_r2")
+    mean = res.groupBy("model_type").agg(*(F.avg(c).alias(c) for c in ("test_rmse", "test_mae", "test_r2")))
+    return best.unionByName(mean.select(F.lit("mean").alias("what"), "model_type", "test_rmse", "test_mae", "test_r2"))
+
+
+@query("g2_moments")
+def _g2_moments(spark, sf):
+    """Second moments of the design per split (-1: the target, 0: the constant)."""
+    frame, _ = moments_frame(spark, sf)
+    found = MO.moments(frame, "x", "y_reg", "split")
+    return found.select("split", "i", "j", (F.round("value", 4) + 0.0).alias("value")).where("value <> 0")
+
+
 # ---------------------------------------------------------------- cross-validation with fitting inside each fold
 @query("g12_cv_fitted")
 def _g12_fitted(spark, sf):

@@ -47,20 +47,22 @@ def _r1(spark, sf):
     return nn.select("label", "vec_id", "rank", "nn_key", F.round("dist", 6).alias("dist"))
 
 
-ASKED = F.col("vec_id") % 50 == 0       # the stated query set of the approximate mode
+def asked():
+    """The stated query set of the approximate mode."""
+    return F.col("vec_id") % 50 == 0
 
 
 @query("r1_knn_chosen")
 def _r1c(spark, sf):
     """Exact neighbours of the chosen rows among all rows of their label."""
-    nn, _ = S.knn_of(read_table(spark, sf, "embeddings"), "vec_id", "embedding", ASKED, k=K, group_cols=["label"])
+    nn, _ = S.knn_of(read_table(spark, sf, "embeddings"), "vec_id", "embedding", asked(), k=K, group_cols=["label"])
     return nn.select("label", "vec_id", "rank", "nn_key", F.round("dist", 6).alias("dist"))
 
 
 def approximate_recall(spark, sf, list_rows=16):
     e = read_table(spark, sf, "embeddings")
-    exact, _ = S.knn_of(e, "vec_id", "embedding", ASKED, k=K, group_cols=["label"])
-    found, probing = S.knn_of(e, "vec_id", "embedding", ASKED, k=K, group_cols=["label"], recall=0.95, list_rows=list_rows)
+    exact, _ = S.knn_of(e, "vec_id", "embedding", asked(), k=K, group_cols=["label"])
+    found, probing = S.knn_of(e, "vec_id", "embedding", asked(), k=K, group_cols=["label"], recall=0.95, list_rows=list_rows)
     return S.recall_report(exact, found, "vec_id"), probing
 
 

@@ -113,3 +113,17 @@ def test_vector_equals_cells(spark):
             dense[x["feature_index"]] = x["value"]
             assert prep.feature_names[x["feature_index"]] == x["feature"]
         assert vectors[r["k"]] == dense
+
+
+def test_rows_without_a_class_are_a_class(spark):
+    from riskframe.functions.ranking import running_totals
+    rows = [(i, i % 3 if i % 10 else None) for i in range(300)]
+    df = spark.createDataFrame(rows, "k long, y int")
+    sp = SPL.stratified_split(df, "k", "y")
+    counts = {(r["y"], r["split"]): r["count"] for r in sp.groupBy("y", "split").count().collect()}
+    assert sum(counts.values()) == 300 and sum(n for (y, _), n in counts.items() if y is None) == 30
+    assert abs(counts[None, "test"] - 4.5) < 1 and sp.columns == ["k", "y", "split"]
+    folds = SPL.stratified_folds(df, "k", "y", k=5)
+    assert folds.where("y IS NULL").groupBy("fold").count().select("count").distinct().collect()[0][0] == 6 and folds.count() == 300
+    totals = running_totals(df.withColumn("w", F.lit(1).cast("long")), ["y"], ["k"], "w", num_chunks=3)
+    assert totals.count() == 300 and totals.where("y IS NULL").agg(F.max("_before")).first()[0] == 29
