@@ -38,6 +38,7 @@ BLOCK_ROWS = 4096       # rows of a block of a longer list
 MAX_BITS = 24
 SAMPLE = 200            # queries that the number of masks is fitted on
 MAX_MASKS = 1 << 14
+TASK_PAIRS, MAX_TASKS = 20_000_000, 20_000
 _SLACK = 1e-9           # relative rounding of squared distances
 
 
@@ -114,14 +115,20 @@ def build_lists(vectors: DataFrame, groups: Sequence[str], dim: int, planes: np.
 
     signed = vectors.select(*g, "i", "vec").mapInArrow(sign, vectors.select(*g, "i", "vec").schema.add("sig", "long"))
     # by range, with the row's number as the last key: a crowded list is spread over tasks
-    parts = max(1, vectors.count() // (16 * block_rows) + 1)
+    parts = max(1, vectors.count() // (2 * block_rows) + 1)
     ordered = signed.repartitionByRange(parts, *keys, "i").sortWithinPartitions(*keys, "i")
-    return materialise(ordered.mapInArrow(cut, vectors.select(*g).schema.add("sig", "long").add("n", "integer").add("ids", "binary").add("x", "binary")), "signature-lists")
+    blocks = materialise(ordered.mapInArrow(cut, vectors.select(*g).schema.add("sig", "long").add("n", "integer").add("ids", "binary").add("x", "binary"))
+                         .withColumn("_b", F.monotonically_increasing_id()), "signature-blocks")
+    # number the blocks of each list: a few bytes a block
+    names = blocks.select("_b", (F.row_number().over(Window.partitionBy(*keys).orderBy("_b")) - 1).alias("no"))
+    return materialise(blocks.join(names, "_b").drop("_b"), "signature-lists")
 
 
-def search_lists(lists: DataFrame, queries: DataFrame, groups: Sequence[str], k: int, dim: int, planes: np.ndarray, mean: np.ndarray, masks: np.ndarray) -> DataFrame:
+def search_lists(lists: DataFrame, queries: DataFrame, groups: Sequence[str], k: int, dim: int, planes: np.ndarray, mean: np.ndarray, masks: np.ndarray,
+                 pairs: float = 0.0) -> DataFrame:
     """``(i, nn_i)``: for every query ``(group.., i, vec)`` the vectors of the
-    looked-up lists that are among the ``k`` nearest of a block, ties included."""
+    looked-up lists that are among the ``k`` nearest of a block, ties included.
+    ``pairs`` is about how many pairs that compares."""
     g = list(groups)
     keys = [*g, "sig"]
     shared = queries.sparkSession.sparkContext.broadcast((planes, mean, masks))  # MAX_MASKS x MAX_BITS bytes at most
@@ -160,7 +167,14 @@ def search_lists(lists: DataFrame, queries: DataFrame, groups: Sequence[str], k:
 
     schema = queries.select(*g).schema.add("sig", "long").add("q", "binary").add("qx", "binary")
     met = queries.select(*g, "i", "vec").mapInArrow(probe, schema)
-    return met.join(lists, keys).select("q", "qx", "ids", "x").mapInArrow(compare, "i long, nn_i long")
+    # a row per (queries, block), dealt by the block, so that a list of many
+    # blocks is no single task; the number of tasks follows the comparisons,
+    # not the bytes, which are few
+    blocks = lists.groupBy(*keys).agg(F.max("no").alias("_last"))
+    parts = int(max(1, min(MAX_TASKS, pairs // TASK_PAIRS + 1)))
+    dealt = met.join(blocks, keys).withColumn("no", F.explode(F.sequence(F.lit(0), F.col("_last")))).drop("_last").repartition(parts, *keys, "no")
+    both = dealt.join(lists.repartition(parts, *keys, "no"), [*keys, "no"])
+    return both.select("q", "qx", "ids", "x").mapInArrow(compare, "i long, nn_i long")
 
 
 def fit_probing(vectors: DataFrame, lists: DataFrame, groups: Sequence[str], k: int, dim: int, planes: np.ndarray, mean: np.ndarray, recall: float, seed: int) -> Probing:
@@ -170,9 +184,12 @@ def fit_probing(vectors: DataFrame, lists: DataFrame, groups: Sequence[str], k:
     sample = materialise(vectors.orderBy(uniform("i", seed=f"sample{seed}"), "i").limit(SAMPLE), "signature-sample")
     rows = {r["i"]: np.array(r["vec"]) for r in sample.select("i", "vec").collect()}
     # all lists of a query's group: one list for this purpose
-    whole = lists.withColumn("sig", F.lit(0).cast("long"))
+    whole = lists.withColumn("sig", F.lit(0).cast("long")).drop("no")
+    order = Window.partitionBy(*groups, "sig").orderBy("_b")
+    whole = materialise(whole.withColumn("_b", F.monotonically_increasing_id()), "sample-lists")
+    whole = whole.withColumn("no", F.row_number().over(order) - 1).drop("_b")
     none = np.zeros((dim, 0))
-    near = search_lists(whole, sample, groups, k + 1, dim, none, mean, np.zeros((1, 0), np.int8))
+    near = search_lists(whole, sample, groups, k + 1, dim, none, mean, np.zeros((1, 0), np.int8), float(SAMPLE) * vectors.count())
     a, b = sample.select("i", F.col("vec").alias("_a")), vectors.select(F.col("i").alias("nn_i"), F.col("vec").alias("_b"))
     order = Window.partitionBy("i").orderBy("_d", "nn_i")
     exact = (near.where("i <> nn_i").join(a, "i").join(b, "nn_i").select("i", "nn_i", "_b", sq_dist(F.col("_a"), F.col("_b"), dim).alias("_d"))
@@ -217,7 +234,8 @@ def knn_of(df: DataFrame, key: str, vec: str, chosen: Column, k: int = 5, group_
     probing = fit_probing(vecs, lists, g, k, dim, planes, mean, recall, seed) if bits else Probing(0, np.zeros((1, 0), np.int8), 1.0)
     asked = points.where(chosen).select(*g, "vid").distinct()
     queries = vecs.join(asked, [*g, "vid"], "left_semi")
-    near = search_lists(lists, queries, g, k + 1, dim, planes, mean, probing.masks)
+    per_query = min(size["n"] / max(1, size["g"]), len(probing.masks) * list_rows if bits else float("inf"))
+    near = search_lists(lists, queries, g, k + 1, dim, planes, mean, probing.masks, queries.count() * per_query)
     a, b = vecs.select(*g, "vid", "i", F.col("vec").alias("_a")), vecs.select(F.col("vid").alias("nn_vid"), F.col("i").alias("nn_i"), F.col("vec").alias("_b"))
     pairs = near.distinct().join(a, "i").join(b, "nn_i").select(*g, "vid", "nn_vid", F.sqrt(sq_dist(F.col("_a"), F.col("_b"), dim)).alias("dist"))
     return expand_neighbours(points.where(chosen), points, vecs, pairs, key, k, g), probing

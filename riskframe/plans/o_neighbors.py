@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from riskframe.plans.oracle import ORACLE, _hash, split_cte
+from riskframe.plans.catalog import CAT, NUM
 from riskframe.plans.q_neighbors import SMOTE_SCALES
 from riskframe.plans.views_sql import with_views
 
@@ -141,3 +142,17 @@ allrows AS (SELECT fit_fold, false AS synthetic, NULL::BIGINT AS syn_id, NULL::B
 
 ORACLE["r4_smote_per_fold"] = with_views(FOLD_SMOTE + "\nSELECT fit_fold, synthetic, syn_id, base_key, nn_key, app_id, class, " +
                                          ", ".join(f"round(x[{i + 1}], 9) AS x{i}" for i in range(NX)) + " FROM allrows")
+
+
+_FIT = "FROM folds f, range(0, 5) t(ff) WHERE ff <> f.fold"
+ORACLE["g12_fold_facts"] = with_views(split_cte() + f"""
+, pool AS (SELECT * FROM sp WHERE split IN ('train', 'val')),
+folds AS (SELECT *, CAST((row_number() OVER (PARTITION BY class ORDER BY {_hash('app_id', 'fold42')}, app_id) - 1) % 5
+                         AS INTEGER) AS fold FROM pool),
+fit AS (SELECT CAST(ff AS INTEGER) AS part, f.* {_FIT}),
+lv AS ({" UNION ALL ".join(f"SELECT part, count(DISTINCT {c}) - 1 AS n FROM fit GROUP BY part" for c in CAT)}),
+wide AS (SELECT part, {len(NUM)} + sum(n) AS n_features FROM lv GROUP BY part)
+SELECT part AS fold, count(*) AS n_fit, (SELECT count(*) FROM folds WHERE fold = part) AS n_held_out,
+       count(*) FILTER (class <> 2) - count(*) FILTER (class = 2) AS n_synthetic, CAST(any_value(n_features) AS INTEGER) AS n_features,
+       round(avg(total_price), 4) AS price_mean, round(stddev_pop(total_price), 4) AS price_std, round(avg(qty), 4) AS qty_mean, round(stddev_pop(qty), 4) AS qty_std
+FROM fit JOIN wide USING (part) GROUP BY part""")

@@ -4,7 +4,7 @@ regularisation mappings and the metric plumbing."""
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from riskframe.operators import moments as MO
@@ -270,32 +270,84 @@ def _g2_moments(spark, sf):
 
 
 # ---------------------------------------------------------------- cross-validation with fitting inside each fold
+CV_ITERATIONS = 50
+CV_MEASURES = ["accuracy", "precision", "recall", "f1", "roc_auc"]
+
+
+def cv_models(n_rows: int, n_features: int) -> dict:
+    """The two learners; oversampled rows are balanced, so no weights."""
+    return {"logistic_l1": M.LogisticRegression(featuresCol="features", labelCol="label", regParam=1.0 / n_rows, elasticNetParam=1.0, standardization=False, maxIter=1000),
+            "mlp": M.mlp(n_features, (64, 32), max_iter=CV_ITERATIONS)}
+
+
+def fold_setup(spark, sf):
+    """Folds, the preparation of every fit part, and the synthetic rows as
+    ``(fit_fold, syn_id, base_key, nn_key, gap)``."""
+    from riskframe.functions.hashing import uniform
+    from riskframe.operators import folds as FO
+    from riskframe.plans.catalog import SEED
+    from riskframe.plans.q_neighbors import FOLDS, fold_pool, oversampled_folds
+    pool = fold_pool(spark, sf)
+    preps = FO.fit_folds(pool.select("app_id", "class", "fold", *NUM, *CAT), NUM, CAT, "fold", FOLDS)
+    made = oversampled_folds(pool).where("synthetic").select("fit_fold", "syn_id", "base_key", "nn_key", uniform("fit_fold", "syn_id", seed=f"gap{SEED}").alias("gap"))
+    return preps, materialise(made, "fold-synthetic"), FOLDS
+
+
+def cv_fitted_per_fold(spark, sf):
+    """Per (model, fold): five metrics on the held-out fold of models fitted on
+    the prepared and oversampled fit part.  Synthetic rows lie between the
+    prepared vectors of a row and of one of its neighbours (R4)."""
+    from concurrent.futures import ThreadPoolExecutor
+    preps, made, k = fold_setup(spark, sf)
+
+    def one(f: int) -> list[dict]:
+        x = materialise(preps.frame(f, ["app_id", "class", "fold"]).withColumn("label", (F.col("class") - 1).cast("double")), f"fold-{f}")
+        vec = x.select("app_id", vector_to_array("features").alias("v"))
+        between = F.zip_with("_a", "_b", lambda a, b: a + F.col("gap") * (b - a))
+        new = (made.where(F.col("fit_fold") == f).join(vec.select(F.col("app_id").alias("base_key"), F.col("v").alias("_a")), "base_key")
+               .join(vec.select(F.col("app_id").alias("nn_key"), F.col("v").alias("_b")), "nn_key")
+               .select(array_to_vector(between).alias("features"), F.lit(1.0).alias("label")))
+        train = materialise(x.where(F.col("fold") != f).select("features", "label").unionByName(new), f"fit-{f}")
+        held = x.where(F.col("fold") == f).withColumn("split", F.lit("test"))
+        rows = []
+        for name, learner in cv_models(train.count(), preps.preps[f].n_features).items():
+            r = M.classification_report(M.predict(learner.fit(train), held)).first()
+            rows.append({"model": name, "fold": f, "accuracy": r["accuracy"], "precision": r["precision_pos2"], "recall": r["recall_pos2"],
+                         "f1": r["f1_pos2"], "roc_auc": r["roc_auc"]})
+        return rows
+    with ThreadPoolExecutor(max_workers=k) as pool:
+        rows = [r for part in pool.map(one, range(k)) for r in part]
+    return spark.createDataFrame(rows, "model string, fold int, " + ", ".join(f"{m} double" for m in CV_MEASURES))
+
+
 @query("g12_cv_fitted")
 def _g12_fitted(spark, sf):
-    """5-fold CV of the L2 logistic model on the train+val pool: the
-    preprocessor (vocabulary, scaler, class weights) and the model are fitted
-    on each fold's fit part only and scored on the held-out fold; the fold
-    metrics are summarised as mean and population std."""
-    from riskframe.operators import split as SPL
-    from riskframe.operators import tune as G
-    from riskframe.plans.catalog import SEED
-    pool = SPL.pool(split_apps(spark, sf))
-    folds = checkpoint(SPL.stratified_folds(pool, "app_id", "class", k=5, seed=SEED))
-    reports = []
-    for f in range(5):
-        part = folds.withColumn("split", F.when(F.col("fold") == f, "test").otherwise("train"))
-        x, _ = M.linear_frame(part, NUM, CAT)
-        train = x.where(F.col("split") == "train")
-        model = M.logistic(train, C=1.0, penalty="l2").fit(train)
-        rep = M.classification_report(M.predict(model, x.where(F.col("split") == "test")))
-        reports.append(rep.withColumn("fold", F.lit(f)))
-    per_fold = reports[0]
-    for r in reports[1:]:
-        per_fold = per_fold.unionByName(r)
-    per_fold = per_fold.withColumn("model", F.lit("logistic_l2")).select(
-        "model", "fold", "accuracy", F.col("precision_pos2").alias("precision"), F.col("recall_pos2").alias("recall"),
-        F.col("f1_pos2").alias("f1"), "roc_auc")
-    return G.fold_summary(per_fold, ["model"], ["accuracy", "precision", "recall", "f1", "roc_auc"])
+    """5-fold CV of an L1 logistic model and a network on the train+val pool:
+    vocabulary, scaler, oversampling and model are fitted on each fold's fit
+    part only; mean and population std of five metrics (positive class: 2)."""
+    return G.fold_summary(cv_fitted_per_fold(spark, sf), ["model"], CV_MEASURES)
+
+
+@query("g12_cv_winners")
+def _g12_winners(spark, sf):
+    """The model with the best mean of each metric over the folds."""
+    s = materialise(G.fold_summary(cv_fitted_per_fold(spark, sf), ["model"], CV_MEASURES), "cv-summary")
+    long = s.unpivot(["model"], [f"mean_{m}" for m in CV_MEASURES], "metric", "mean")
+    return G.winner_per_metric(long)
+
+
+@query("g12_fold_facts")
+def _g12_facts(spark, sf):
+    """Per fold: rows of the fit part and of the held-out fold, synthetic rows,
+    features, and the fitted mean and deviation of two columns."""
+    preps, made, k = fold_setup(spark, sf)
+    sizes = preps.rows.groupBy("fold").count().collect()
+    total = sum(r["count"] for r in sizes)
+    held = {r["fold"]: r["count"] for r in sizes}
+    new = {r["fit_fold"]: r["count"] for r in made.groupBy("fit_fold").count().collect()}
+    rows = [(f, total - held[f], held[f], new.get(f, 0), p.n_features, *(round(v[c], 4) for c in ("total_price", "qty") for v in (p.scaler.mean, p.scaler.scale)))
+            for f, p in enumerate(preps.preps)]
+    return spark.createDataFrame(rows, "fold int, n_fit long, n_held_out long, n_synthetic long, n_features int, price_mean double, price_std double, qty_mean double, qty_std double")
 
 
 @query("l8_learning_curves_regression")

@@ -10,7 +10,7 @@ from riskframe.operators import signatures as S
 from riskframe.operators import profile as P
 from riskframe.operators import split as SPL
 from riskframe.plans.catalog import SEED, query, split_apps
-from riskframe.session import checkpoint
+from riskframe.session import checkpoint, materialise
 from riskframe.sources.tables import read_table
 
 # Per-feature divisors putting the numeric roles on comparable
@@ -18,6 +18,7 @@ from riskframe.sources.tables import read_table
 SMOTE_SCALES = {"total_price": 100000.0, "acct_balance": 1000.0, "qty": 10.0, "n_lines": 1.0,
                 "max_discount": 0.01, "max_tax": 0.01, "cust_orders": 10.0}
 K = 5
+FOLDS = 5
 
 
 def smote_input(spark, sf):
@@ -102,18 +103,23 @@ def _r3(spark, sf):
     return N.balance_before_after(P.class_distribution(smote_input(spark, sf)))
 
 
-@query("r4_smote_per_fold")
-def _r4(spark, sf):
-    """SMOTE on the fit part of each of 5 folds (train+val pool): every row
-    joins the 4 fit sets it belongs to, and one grouped SMOTE plan serves
-    all folds."""
-    pool = SPL.pool(split_apps(spark, sf))
-    folds = SPL.stratified_folds(pool, "app_id", "class", k=5, seed=SEED)
+def fold_pool(spark, sf):
+    """The train + validation rows with their fold, written once."""
+    return materialise(SPL.stratified_folds(SPL.pool(split_apps(spark, sf)), "app_id", "class", k=FOLDS, seed=SEED), "folds")
+
+
+def oversampled_folds(folds):
+    """SMOTE on the fit part of each of 5 folds: every row joins the 4 fit sets
+    it belongs to, and one grouped SMOTE plan serves all folds."""
     x = F.array(*[F.col(c).cast("double") / F.lit(s) for c, s in SMOTE_SCALES.items()])
-    fits = F.filter(F.array(*[F.lit(f) for f in range(5)]), lambda f: f != F.col("fold"))
+    fits = F.filter(F.sequence(F.lit(0), F.lit(FOLDS - 1)), lambda f: f != F.col("fold"))
     fit_rows = folds.select("app_id", "class", x.alias("x"), F.explode(fits).alias("fit_fold"))
-    out = N.smote(fit_rows, "app_id", "x", "class", k=K, seed=SEED, group_cols=["fit_fold"])
-    return _flat(out, len(SMOTE_SCALES))
+    return N.smote(fit_rows, "app_id", "x", "class", k=K, seed=SEED, group_cols=["fit_fold"])
+
+
+@query("r4_smote_per_fold")
+def _r4(spark, sf):
+    return _flat(oversampled_folds(fold_pool(spark, sf)), len(SMOTE_SCALES))
 
 
 def _pairs(spark, sf, a, b):
