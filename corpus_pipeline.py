@@ -13,16 +13,32 @@ from pyspark.sql import functions as F
 
 from riskframe.llm import bpe, decontaminate, exact_dedup, language_id, near_dedup
 from riskframe.llm.queries import BYTE_VOCABULARY, vocabulary
-from riskframe.llm.store import table
+from riskframe.llm.store import free_name, table
 from riskframe.sources.tables import read_table
 
 
+LEAST_LETTERS = 64      # shorter texts are not judged by their cosine
+FLOOR_QUANTILE, FLOOR_SHARE = 0.001, 0.25
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop texts whose language can't be told: null, empty, without letters.
-    The rows stay as they are; prototypes come from the training fold."""
-    model = language_id.train(docs.where(~language_id.held_out(F.col("doc_id"))).select("text", "lang"))
-    told = language_id.predict(docs, model, lang_col="_predicted", score_col="_score")
-    return told.where(F.col("_predicted") != language_id.UNDETERMINED).select(*docs.columns)
+    """Drop texts without a letter (null, empty, digits) and texts in no learned
+    language: at least ``LEAST_LETTERS`` letters, and a cosine to the nearest
+    prototype below the floor.  The floor is a quarter of the cosine that 0.1 % of all
+    training rows of that length stay below, so clean texts are far above it.
+    If no language was learned, every text with a letter stays.  The rows stay
+    as they are; prototypes and floor come from the training fold."""
+    training = ~language_id.held_out(F.col("doc_id")) & F.col("lang").isNotNull()
+    model = language_id.train(docs.where(training).select("text", "lang"))
+    name, score, size = (free_name(docs, c) for c in ("_predicted", "_score", "_letters"))
+    letters = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), r"\P{L}+", ""))
+    told = table(language_id.predict(docs, model, lang_col=name, score_col=score).withColumn(size, letters), "language-scores")
+    if not model.names:
+        return told.where(F.col(size) > 0).select(*docs.columns)
+    judged = F.col(size) >= LEAST_LETTERS
+    floor = told.where(training & judged).agg(F.percentile_approx(score, FLOOR_QUANTILE, 10_000)).first()[0]
+    known = ~judged | (F.col(score) >= FLOOR_SHARE * (floor or 0.0))
+    return told.where((F.col(name) != language_id.UNDETERMINED) & known).select(*docs.columns)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

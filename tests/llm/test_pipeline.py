@@ -113,3 +113,24 @@ def test_run(spark, folder):
     out = P.run(spark, path)
     assert out.columns == ["doc_id", "n_tokens", "token_ids", "decoded_sha256"]
     assert 0 < out.count() < len(rows) and zlib.crc32(b"") == 0
+
+
+def prose(rng, n):
+    return " ".join(rng.choice(["the", "of", "river", "and", "stone", "house", "when", "evening", "came", "they", "walked", "home"]) for _ in range(n))
+
+
+def test_language_drops_what_is_in_no_learned_language(spark):
+    rng = random.Random(3)
+    rows = [(i, prose(rng, rng.randrange(1, 80)), "en", "mine", 0.5) for i in range(200)]
+    noise = ["".join(rng.choice("qxjzkvwpbgf") for _ in range(600)), "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(900))]
+    rows += [(1000 + i, t, None, "mine", 0.5) for i, t in enumerate([*noise, "xq", "42", None, "evening " * 60, "River."])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, _predicted string, _score double").repartition(3)
+    kept = P.language(spark, docs, "")
+    assert kept.columns == docs.columns and kept.select("_predicted", "_score").distinct().collect() == [("mine", 0.5)]
+    assert {r.doc_id for r in kept.collect()} == set(range(200)) | {1002, 1005, 1006}
+
+
+def test_language_keeps_lettered_rows_if_none_was_learned(spark):
+    rows = [(1, "some words", None), (2, "12", None), (3, None, None), (4, "é", None)]
+    kept = P.language(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"), "")
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 4]
