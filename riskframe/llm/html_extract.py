@@ -31,15 +31,22 @@ VOID = frozenset("area base br col embed hr img input link meta source track wbr
 RAW = "script|style|noscript|template|svg|textarea|iframe|title"
 INLINE = frozenset("a abbr b bdi bdo big cite code data dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
 UNCLOSED = frozenset("p li dt dd tr td th option tbody thead tfoot colgroup".split())
+_CELLS, _GROUPS = ("td", "th"), ("tbody", "thead", "tfoot", "colgroup")
+ENDS = {"p": ("p",), "li": ("li",), "option": ("option",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": _CELLS, "th": _CELLS,
+        "tr": (*_CELLS, "tr"), **dict.fromkeys(_GROUPS, (*_CELLS, "tr", *_GROUPS))}  # open elements that a start tag ends
 DROPPED = frozenset("aside button dialog fieldset footer form head menu nav select".split())
 CONTENT = frozenset(("article", "main"))
 KEPT = frozenset(("article", "main", "html", "body"))  # never left out for their attributes
-# Words in class, id and role attributes that mark other matter.
+# Words in class, id and role attributes that mark other matter: as
+# a part of a name, and inside an article or main element only as a whole name.
 MARKS = frozenset("ad ads adv advert advertisement adverts banner breadcrumb breadcrumbs comment comments cookie cookies consent disqus footer masthead menu "
                   "modal nav navbar navigation newsletter notice notices pager pagination popup promo related share sharing sidebar social sponsor sponsored subscribe widget".split())
 
-_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<({RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|[^<]+|<", re.S | re.I)
-_ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+# Attributes: a quote opens a value behind "=" only. Nothing is tried twice (possessive), and "<" outside quotes
+# ends the try, so a page of unclosed tags is read once
+_INSIDE = r"(?:=\s*+\"[^\"]*\"|=\s*+'[^']*'|[^<>])*+"
+_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<({RAW})\b{_INSIDE}>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9-]*)({_INSIDE})>|<[!?][^<>]*>|[^<]+|<", re.S | re.I)
+_ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _SPACE = re.compile(r"\s+")
 _BITS = (1 << 62) - 1
 DEFAULT_LEAST_PAGES = 4
@@ -88,16 +95,18 @@ def tokens(page: str) -> Iterator[tuple[str, str | None, Node, bool]]:
         if name in VOID or name in INLINE:
             yield f"{stack[-1].path}>{name}", None, stack[-1], name in ("br", "hr")
             continue
-        if name in UNCLOSED and stack[-1].name == name:
+        if name not in UNCLOSED and stack[-1].name == "p":
             stack.pop()
-        elif name not in UNCLOSED and stack[-1].name == "p":
+        while stack[-1].name in ENDS.get(name, ()):
             stack.pop()
-        parent, marks = stack[-1], []
+        parent, marks, names = stack[-1], [], []
         for a in _ATTRIBUTE.finditer(hit.group(4) or ""):
-            marks += re.split(r"[^a-z0-9]+", (a.group(2) or a.group(3) or a.group(4) or "").lower())
+            value = (a.group(2) or a.group(3) or a.group(4) or "").lower()
+            marks += re.split(r"[^a-z0-9]+", value)
+            names += value.split()
         content = parent.content or name in CONTENT
         dropped = (parent.dropped or name in DROPPED or (name == "header" and not parent.content)
-                   or (name not in KEPT and not MARKS.isdisjoint(marks)))
+                   or (name not in KEPT and not MARKS.isdisjoint(names if parent.content else marks)))
         node = Node(name, f"{parent.path}>{name}" + "".join(f".{m}" for m in sorted(set(marks)) if m and not m.isdigit()), dropped, content)
         if not hit.group(4).endswith("/"):
             stack.append(node)

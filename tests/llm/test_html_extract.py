@@ -27,10 +27,23 @@ CASES = [
     ("", ""),
     ("<p>" + "long " * 40_000 + "</p>", ("long " * 40_000).strip()),
     ("<p>caf&eacute; &#8364;5 &#x4e2d; &unknown; &amp;amp;</p>", "café €5 中 &unknown; &amp;"),
-    ("<header><h1>Inside</h1></header><p class='lead ad-free'>x</p>", "Inside"),
+    ("<header><h1>Inside</h1></header><p class='lead ad'>x</p>", "Inside"),
+    ("<p class='lead ad-free'>x</p><section id='related-work'>y</section><p class='share-price'>z</p><h2 id='social-history'>h</h2>", "x\ny\nz\nh"),
+    ("<p data-id='ad' data-class=nav>x</p><div id=ad>gone</div>", "x"),
+    ("<p class=it's>x</p><p title='a > b < c'>y</p>", "x\ny"),
+    ("<table><tr><td class=ad>ad<tr><td>cell two<td>three</table>", "cell two\nthree"),
+    ("<dl><dt>a<dd class=ad>b<dt>c</dl>", "a\nc"),
 ]
 
 
+def test_unclosed_tags_are_read_once():
+    import time
+    for piece in ("<a ", "<p class='", '<a "', "<!", "<a b='c' "):
+        start = time.perf_counter()
+        sum(1 for _ in H.tokens(piece * 100_000))
+        assert time.perf_counter() - start < 4
+
+
 def test_articles(spark):
     rows = [(i, f"http://h{i % 2}.example/{i}", article(body, i)) for i, (body, _) in enumerate(CASES)]
     got = {r.page_id: r for r in H.extract_main_text(pages(spark, rows), least_pages=3).collect()}
