@@ -42,10 +42,11 @@ KEPT = frozenset(("article", "main", "html", "body"))  # never left out for thei
 MARKS = frozenset("ad ads adv advert advertisement adverts banner breadcrumb breadcrumbs comment comments cookie cookies consent disqus footer masthead menu "
                   "modal nav navbar navigation newsletter notice notices pager pagination popup promo related share sharing sidebar social sponsor sponsored subscribe widget".split())
 
-# Attributes: a quote opens a value behind "=" only. Nothing is tried twice (possessive), and "<" outside quotes
-# ends the try, so a page of unclosed tags is read once
-_INSIDE = r"(?:=\s*+\"[^\"]*\"|=\s*+'[^']*'|[^<>])*+"
-_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<({RAW})\b{_INSIDE}>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9-]*)({_INSIDE})>|<[!?][^<>]*>|[^<]+|<", re.S | re.I)
+# Attributes: a quote opens a value behind "=" only, and nothing is tried twice (possessive). The pattern is
+# applied up to the last ">" only, so every tag that it begins also ends: a page is read once
+_INSIDE = r"(?:=\s*+\"[^\"]*\"|=\s*+'[^']*'|[^>])*+"
+_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<({RAW})\b{_INSIDE}>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9-]*)({_INSIDE})>|<[!?][^>]*>|[^<]+|<", re.S | re.I)
+_ENDED = re.compile(rf"-->\Z|</(?:{RAW})\s*>\Z", re.I)
 _ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _SPACE = re.compile(r"\s+")
 _BITS = (1 << 62) - 1
@@ -70,8 +71,8 @@ class Node:
 def tokens(page: str) -> Iterator[tuple[str, str | None, Node, bool]]:
     """``(token, text, element, breaks)`` in page order: ``text`` for text
     nodes (None for tags), ``breaks`` if the tag ends a block of text."""
-    stack = [Node("", "", False, False)]
-    for hit in _TOKEN.finditer(page):
+    stack, end, hit = [Node("", "", False, False)], page.rfind(">") + 1, None
+    for hit in _TOKEN.finditer(page, 0, end):
         closing, name = hit.group(2), hit.group(3)
         whole = hit.group()
         if name is None:
@@ -111,6 +112,10 @@ def tokens(page: str) -> Iterator[tuple[str, str | None, Node, bool]]:
         if not hit.group(4).endswith("/"):
             stack.append(node)
         yield node.path, None, node, True
+    # behind the last ">" there is only text, unless a comment, script or the like is open
+    cut = hit is not None and (hit.group(1) or hit.group().startswith("<!--")) and not _ENDED.search(hit.group())
+    if end < len(page) and not cut:
+        yield "", page[end:], stack[-1], False
 
 
 def _named(token: str, text: str | None, node: Node) -> str | None:

@@ -38,7 +38,9 @@ CASES = [
 
 def test_unclosed_tags_are_read_once():
     import time
-    for piece in ("<a ", "<p class='", '<a "', "<!", "<a b='c' "):
+    assert [H.main_text(x, None) for x in ("a <b", "a<script>x > y", "a<!-- b > c", "a<!-- b --> c < d", "<p <b>x", "a<style>p{}</style> z")] == [
+        "a <b", "a", "a", "a c < d", "x", "a z"]
+    for piece in ("<a ", "<p class='", '<a "', "<!", "<a b='c' ", "<a =' >", "<!-- ", "<script "):
         start = time.perf_counter()
         sum(1 for _ in H.tokens(piece * 100_000))
         assert time.perf_counter() - start < 4
