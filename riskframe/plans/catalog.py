@@ -102,6 +102,21 @@ def _p12(spark, sf):
     return P.distinct_levels(applications(spark, sf), CAT)
 
 
+SKETCHED = ("app_id", "total_price", "acct_balance", *CAT)
+
+
+@query("p12_distinct_sketch_checked")
+def _p12b(spark, sf):
+    """Distinct counts from sketches kept per year and united, next to the exact
+    ones: within four standard errors (3.3 %)."""
+    apps = materialise(applications(spark, sf).select(*SKETCHED), "applications")
+    kept = materialise(P.distinct_sketches(apps, [c for c in SKETCHED if c != "order_year"], ["order_year"]), "sketches")
+    exact = P.distinct_levels(apps, [c for c in SKETCHED if c != "order_year"])
+    off = F.abs(F.col("n_estimated") - F.col("n_levels")) / F.col("n_levels")
+    return (exact.join(P.distinct_estimates(kept), "column_name")
+            .select("column_name", "n_levels", (off <= 4 * 1.04 / 2 ** (P.SKETCH_BITS / 2)).alias("estimate_ok")))
+
+
 @query("p13_target_correlation")
 def _p13(spark, sf):
     return P.target_correlation_ranking(applications(spark, sf), NUM)

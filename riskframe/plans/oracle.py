@@ -123,6 +123,11 @@ ORACLE["p12_distinct_levels"] = with_views(f"""
 , long AS ({_unpivot_cat()})
 SELECT column_name, count(DISTINCT level) AS n_levels FROM long GROUP BY column_name""")
 
+ORACLE["p12_distinct_sketch_checked"] = with_views(f"""
+, long AS ({_unpivot_cat()} UNION ALL SELECT 'app_id', CAST(app_id AS VARCHAR) FROM apps
+           UNION ALL SELECT 'total_price', CAST(total_price AS VARCHAR) FROM apps UNION ALL SELECT 'acct_balance', CAST(acct_balance AS VARCHAR) FROM apps)
+SELECT column_name, count(DISTINCT level) AS n_levels, TRUE AS estimate_ok FROM long WHERE column_name <> 'order_year' GROUP BY column_name""")
+
 ORACLE["p13_target_correlation"] = with_views(f"""
 , c AS ({' UNION ALL '.join(f"SELECT '{a}' AS feature, round(corr(CAST({a} AS DOUBLE), CAST(class AS DOUBLE)), 6) AS r FROM apps" for a in NUM)})
 SELECT feature, r, abs(r) AS abs_r,

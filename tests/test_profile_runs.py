@@ -124,3 +124,14 @@ def test_boxplot_approx_close_to_exact(spark):
     for c in (1, 2):
         assert ex[c]["n"] == ap[c]["n"] and ex[c]["mean"] == ap[c]["mean"]
         assert abs(ex[c]["median"] - ap[c]["median"]) <= 1.0
+
+
+def test_distinct_sketches_unite(spark):
+    rows = [(i % 4, i, i % 7, None if i % 2 else "x") for i in range(20_000)] + [(9, 5, 5, None)] * 30
+    df = spark.createDataFrame(rows, "part int, a int, b int, c string").repartition(6)
+    kept = P.distinct_sketches(df, ["a", "b", "c"], ["part"])
+    assert kept.count() == 15
+    got = {r["column_name"]: r["n_estimated"] for r in P.distinct_estimates(kept).collect()}
+    assert abs(got["a"] - 20_000) < 0.04 * 20_000 and (got["b"], got["c"]) == (7, 1)
+    per = {(r["part"], r["column_name"]): r["n_estimated"] for r in P.distinct_estimates(kept, ["part"]).collect()}
+    assert per[9, "a"] == 1 and per[9, "c"] == 0 and abs(per[0, "a"] - 5000) < 200
