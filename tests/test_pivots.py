@@ -47,3 +47,28 @@ def test_summary(spark):
     R = spark.createDataFrame([(3, [2.0, 0.0]), (4, [1.0, 1.0])], "k long, v array<double>")
     r = V.similarity_summary(L, R, "k", "v").first()
     assert (r.n_rows, r.n_flagged, r.least, r.mean, r.largest) == (2, 1, 0.707107, 0.853553, 1.0) and r.n_compared <= 4
+
+
+def test_links_above_a_low_threshold_are_counted(spark):
+    from riskframe.operators import neighbors as N
+    left, right = vectors(40, 8, 1, 0), vectors(300, 8, 2, 1000)
+    left += [(600, [0.0] * 8), (601, left[3][1])]
+    right += [(5000 + i, right[7][1]) for i in range(50)] + [(9000, [0.0] * 8)]
+    L, R = (spark.createDataFrame(rows, "k long, v array<double>").repartition(3) for rows in (left, right))
+    x, y = (np.array([v for _, v in rows]) for rows in (left, right))
+    x, y = (m / np.maximum(np.linalg.norm(m, axis=1), 1e-300)[:, None] for m in (x, y))
+    for t in (0.4, -0.5, 0.9):
+        want = {k: int(n) for (k, _), n in zip(left, (x @ y.T > t).sum(axis=1))}
+        got = N.similar_counts(L, R, "k", "v", t).collect()
+        assert {r.k: r.n_links for r in got} == want and len(got) == len(left)
+        assert {r.k: r.class_id for r in got if r.k in (3, 601)} == {3: 3, 601: 3}
+
+
+def test_a_query_travels_once_to_a_bucket(spark, monkeypatch):
+    """Its rows in the join do not grow with the blocks that it meets."""
+    monkeypatch.setattr(V, "BUCKET_VALUES", 8 * 100)
+    right = spark.createDataFrame(vectors(400, 8, 2, 1000), "k long, v array<double>")
+    _, vecs = V.unit_vectors(right, "k", "v", "t")
+    index = V.build_index(vecs, 8, centres=20, block_rows=5)
+    assert len(index.centre) >= 80 and index.buckets.count() == len(set(index.bucket)) <= 5
+    assert sum(len(b["ids"]) // 8 for r in index.buckets.collect() for b in r.blocks) == 400
