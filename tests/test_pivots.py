@@ -62,6 +62,9 @@ def test_links_above_a_low_threshold_are_counted(spark):
         got = N.similar_counts(L, R, "k", "v", t).collect()
         assert {r.k: r.n_links for r in got} == want and len(got) == len(left)
         assert {r.k: r.class_id for r in got if r.k in (3, 601)} == {3: 3, 601: 3}
+    odd = L.limit(1).unionByName(spark.createDataFrame([(700, None), (701, None), (702, [None] + [1.0] * 7)], L.schema))
+    got = N.similar_counts(odd, R.unionByName(odd.where("k > 601")), "k", "v", 0.4).where("k > 601").collect()
+    assert sorted((r.k, r.class_id, r.n_links) for r in got) == [(700, 700, 0), (701, 700, 0), (702, 702, 0)]
 
 
 def test_a_query_travels_once_to_a_bucket(spark, monkeypatch):
