@@ -76,6 +76,25 @@ class Moments:
     def n(self) -> float:
         return float(self.z[1, 1])
 
+    def deviation(self) -> float:
+        """Population deviation of the target."""
+        return max(0.0, float(self.z[0, 0] / self.n - (self.z[0, 1] / self.n) ** 2)) ** 0.5
+
+    def equivalent_rows(self) -> np.ndarray:
+        """A few rows ``(y, x..)``, at most ``2 (d + 1)``, whose mean and mean
+        products are those of all rows: ``mean +- s_i``, where the ``s_i`` span
+        the covariance.  Any penalised least-squares mean loss has the same value
+        on them as on all rows, with an intercept and without."""
+        at = [0, *range(2, len(self.z))]
+        mean = self.z[1, at] / self.n
+        square = self.z[np.ix_(at, at)] / self.n
+        cov = square - np.outer(mean, mean)
+        cov = np.where(np.outer(*2 * [np.diag(cov) > 1e-14 * np.diag(square)]), cov, 0.0)      # constant columns stay constant
+        values, vectors = np.linalg.eigh(cov)
+        keep = values > 1e-15 * max(0.0, float(values.max(initial=0.0)))
+        spread = (vectors[:, keep] * np.sqrt(values[keep] * keep.sum())).T
+        return np.concatenate([mean + spread, mean - spread]) if keep.any() else mean[None]
+
     def errors(self, coef: Sequence[float], intercept: float) -> dict[str, float]:
         """RMSE and R squared of a linear model."""
         v = np.concatenate([[1.0, -intercept], -np.asarray(coef, float)])

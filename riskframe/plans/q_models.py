@@ -5,6 +5,7 @@ regularisation mappings and the metric plumbing."""
 from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from riskframe.operators import moments as MO
@@ -202,27 +203,29 @@ def penalties(cfg, n):
     return {"LinearRegression": (0.0, 0.0), "Ridge": (0.0, alpha / n), "Lasso": (alpha, 0.0)}.get(cfg["model_type"]) or (alpha * ratio, alpha * (1 - ratio))
 
 
-def moments_frame(spark, sf):
+def moments_frame(spark, sf, keep=("features",)):
     """The linear frame with its features as an array, written once."""
     x, prep = _frames(spark, sf)
-    return materialise(x.select("app_id", "split", "y_reg", "features", vector_to_array("features").alias("x")), "linear-frame"), prep
+    return materialise(x.select("app_id", "split", "y_reg", *keep, vector_to_array("features").alias("x")), "linear-moments"), prep
 
 
 def linear_grid(spark, sf, configs=None, tol=1e-6):
     """Fit every configuration (MLlib), then score all of them: squared errors
     and R squared from one table of moments, absolute errors from one scan.
-    Returns the fitted rows (in memory, one a configuration), the scan's table
-    and the moments by split."""
-    frame, prep = moments_frame(spark, sf)
+    A least-squares objective depends on the rows by their moments alone, so
+    the fits run on the few rows that have the moments of all training rows.
+    Returns the fitted rows (in memory, one a configuration) and the moments
+    by split."""
+    frame, prep = moments_frame(spark, sf, keep=())
     by_split = MO.Moments.collect(MO.moments(frame, "x", "y_reg", "split"), "split", prep.n_features)
-    z = by_split["train"].z
-    n = int(z[1, 1])
-    # many fits read it: as many partitions as the rows need, so that a fit on few rows is a few tasks
-    train = materialise(frame.where(F.col("split") == "train").select("features", "y_reg").repartition(1 + n // 50_000), "linear-train")
-    sd = ((z[0, 0] - z[0, 1] ** 2 / n) / (n - 1)) ** 0.5
+    own = by_split["train"]
+    few = own.equivalent_rows()
+    train = spark.createDataFrame([(Vectors.dense(r[1:]), float(r[0])) for r in few], ["features", "y_reg"]).coalesce(1)
+    # MLlib divides a ridge penalty by the sample deviation of the rows that it is given
+    sample_sd = {m: own.deviation() * (m / max(1.0, m - 1.0)) ** 0.5 for m in (len(few), own.n)}
     fitted = M.fit_grid(configs or linear_configs(), lambda c: M.linear_regression(
-        train, _KINDS[c["model_type"]], alpha=c["alpha"] or 0.0, l1_ratio=c["l1_ratio"] or 0.5, fit_intercept=c["fit_intercept"], tol=tol, stats=(n, sd)),
-        train, lambda model: {"coef": model.coefficients.toArray(), "intercept": float(model.intercept)}, parallelism=8)
+        train, _KINDS[c["model_type"]], alpha=c["alpha"] or 0.0, l1_ratio=c["l1_ratio"] or 0.5, fit_intercept=c["fit_intercept"], tol=tol,
+        stats=(own.n, sample_sd[len(few) if c["model_type"] == "Ridge" else own.n])), train, lambda model: {"coef": model.coefficients.toArray(), "intercept": float(model.intercept)}, parallelism=8)
     good = [r for r in fitted if r["error"] is None]
     scanned = MO.scan_errors(frame.where(F.col("split").isin(*EVAL_SPLITS)), "x", "y_reg", "split", [(r["coef"], r["intercept"]) for r in good]).collect()
     for r in scanned:
