@@ -50,7 +50,7 @@ def linear_frame(split_df: DataFrame, numeric: Sequence[str], categorical: Seque
     if weighted:
         w = ENC.class_weights(train, label).select(label, "weight")
         x = x.join(F.broadcast(w), label, "left")          # k class rows
-    return checkpoint(x), prep
+    return materialise(x, "linear-frame"), prep
 
 
 def tree_frame(split_df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str = "class",

@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 
 import riskframe.plans.catalog  # noqa: F401  (registers the queries)
 from riskframe.operators import moments as MO
@@ -77,3 +78,27 @@ def test_elimination_leaves_flat_directions_at_zero():
 def test_the_linear_grid_is_whole():
     configs = linear_configs()
     assert len(configs) == 98 and [c["config_id"] for c in configs] == list(range(1, 99))
+
+
+def test_a_few_rows_have_the_moments_of_all(spark):
+    rng = np.random.default_rng(5)
+    x = np.column_stack([rng.normal(size=(400, 3)), np.full(400, 2.0)])
+    x = np.column_stack([x, x[:, 0] - x[:, 1]])       # a constant and a dependent column
+    y = x[:, 0] - 0.5 * x[:, 2] + rng.normal(size=400)
+    z = np.column_stack([y, np.ones(400), x])
+    m = MO.Moments(z.T @ z)
+    few = m.equivalent_rows()
+    assert len(few) <= 2 * 6 and np.allclose(few.mean(axis=0), np.column_stack([y, x]).mean(axis=0))
+    assert np.allclose(few.T @ few / len(few), np.column_stack([y, x]).T @ np.column_stack([y, x]) / 400) and np.all(few[:, 4] == 2.0)
+    assert np.isclose(m.deviation(), y.std())
+    same = MO.Moments(np.full((4, 4), 10.0)).equivalent_rows()      # ten equal rows
+    assert np.allclose(same, 1.0) and len(same) == 1
+
+
+def test_the_gradient_adds_up_in_tasks(spark):
+    rng = np.random.default_rng(6)
+    x, r = rng.normal(size=(60, 3)), rng.normal(size=60)
+    x[:, 2] = 0.0
+    rows = spark.createDataFrame([(Vectors.dense(a), float(b)) for a, b in zip(x, r)] + [(Vectors.dense([9.0] * 3), None)], ["features", "res"]).repartition(4)
+    g, total = Q._gradient(rows, rows["res"], 3)
+    assert np.allclose(g, r @ x) and np.isclose(total, r.sum())
