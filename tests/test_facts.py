@@ -102,3 +102,17 @@ def test_the_gradient_adds_up_in_tasks(spark):
     rows = spark.createDataFrame([(Vectors.dense(a), float(b)) for a, b in zip(x, r)] + [(Vectors.dense([9.0] * 3), None)], ["features", "res"]).repartition(4)
     g, total = Q._gradient(rows, rows["res"], 3)
     assert np.allclose(g, r @ x) and np.isclose(total, r.sum())
+
+
+@pytest.mark.parametrize("name", ["l8_learning_curves", "l8_learning_curves_checked"])
+def test_learning_curves_prepare_one_frame(spark, frame, monkeypatch, name):
+    from riskframe.plans import q_models
+    made = []
+
+    def counted(spark, sf):
+        made.append(sf)
+        return frame
+    monkeypatch.setattr(q_models, "_frames", counted)
+    monkeypatch.setattr(Q, "_frames", counted)
+    assert riskframe.plans.catalog.QUERIES[name](spark, SF_SMALL).count() > 0
+    assert made == [SF_SMALL]
