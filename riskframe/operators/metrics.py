@@ -306,40 +306,22 @@ def permutation_importance(df: DataFrame, key: str, label: str, coefs: Mapping[s
     """Mean accuracy drop when one feature is shuffled, ``repeats``
     seeded shuffles per feature, top ``top`` features.
 
-    The model is linear (M12), so a shuffled score is ``z - w x_i + w x_j``:
-    only the shuffled feature travels.  Rows go long as
-    ``(feature, repeat, row)``; a shuffle pairs the row at position ``p`` of
-    one md5 order with the row at position ``p`` of a second md5 order
-    (exact chunked ranks), i.e. a uniformly random permutation per
-    (feature, repeat), identical on every engine and under re-execution.
-    The pairing is an equi-join on ``(feature, repeat, position)``.
+    The model is linear (M12), so a shuffled score is ``z - w x_i + w x_j``,
+    in exact decimals: only the shuffled term travels.  A shuffle pairs the row
+    at position ``p`` of one md5 order with the row at position ``p`` of a
+    second one, i.e. a uniformly random permutation per (feature, repeat),
+    identical on every engine and under re-execution.  All shuffles are made
+    at once, in packed chunks (``operators/shuffles.py``).
     """
-    from riskframe.functions.ranking import hash_positions
-
-    feats = list(coefs)
-    z = linear_score(coefs, intercept, decimal)
-    base = df.select(key, label, *feats, z.alias("_z"))
-    wdec = "decimal(20,10)"
-    per_feat = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(f"{float(coefs[f]):.10f}").cast(wdec).alias("_w"),
-                                  F.col(f).cast(decimal).alias("_x")) for f in feats])
-    long = (base.select(key, label, "_z", F.explode(per_feat).alias("c"))
-            .select(key, label, "_z", "c.feature", "c._w", "c._x")
-            .withColumn("repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats)))))
-    long = long.withColumn("_k", F.concat_ws("|", F.col(key).cast("string"), "feature", F.col("repeat").cast("string")))
-    from riskframe.session import checkpoint
-    long = checkpoint(long)          # read by both rankings (sizes, offsets, ranks)
-    grp = ["feature", "repeat"]
-    dst = hash_positions(long, grp, "_k", seed=f"dst{seed}").select(key, label, "_z", "_w", "_x", *grp, "_pos")
-    src = hash_positions(long.select("_k", "_x", *grp), grp, "_k", seed=f"src{seed}").select(
-        *grp, "_pos", F.col("_x").alias("_x_new"))
-    j = dst.join(src, [*grp, "_pos"])
-    z_new = F.col("_z") - F.col("_w") * F.col("_x") + F.col("_w") * F.col("_x_new")
-    yhat_new = F.when(z_new > 0, positive).otherwise(negative)
+    from riskframe.operators.shuffles import shuffle_hits
+
+    def lit(v):
+        return F.lit(f"{float(v):.10f}").cast("decimal(20,10)")
+    terms = {f: lit(w) * F.col(f).cast(decimal) for f, w in coefs.items()}
+    hits = shuffle_hits(df, key, label, terms, lit(intercept), linear_score(coefs, intercept, decimal), positive, negative, repeats, seed)
     # every (feature, repeat) group holds all rows, so the base accuracy is
     # the same aggregate over the unshuffled prediction - no join needed
-    yhat_base = F.when(F.col("_z") > 0, positive).otherwise(negative)
-    hit = lambda yh: (yh == F.col(label)).cast("double")
-    drops = j.groupBy(*grp).agg((F.avg(hit(yhat_base)) - F.avg(hit(yhat_new))).alias("drop"))
+    drops = hits.select("feature", "repeat", (F.try_divide("base", "n") - F.try_divide("new", "n")).alias("drop"))
     imp = drops.groupBy("feature").agg(F.avg("drop").alias("_m"), F.stddev_pop("drop").alias("_s"))
     w = Window.partitionBy(F.lit(0)).orderBy(F.desc("_m"), "feature")   # one row per feature
     return (imp.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
