@@ -14,7 +14,8 @@ distances are computed exactly.  With no bits there is one list per group and
 the search is exact: the chosen queries against all rows, in blocks.
 
 Queries that look into one list travel as a matrix; a task returns the nearest
-few of a (queries, block) pair, never a row per pair.
+few of a (queries, block) pair, never a row per pair.  A task holds looks and
+distances in pieces of a fixed size, whatever the number of masks or queries.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ MAX_BITS = 24
 SAMPLE = 200            # queries that the number of masks is fitted on
 MAX_MASKS = 1 << 14
 TASK_PAIRS, MAX_TASKS = 20_000_000, 20_000
+HELD_PAIRS = 1 << 20    # looks, or distances, that a task holds at a time
+HELD_BYTES = 8 << 20    # of the matrices that it hands on at a time
 _SLACK = 1e-9           # relative rounding of squared distances
 
 
@@ -79,6 +82,33 @@ def _sides(x: np.ndarray, planes: np.ndarray, mean: np.ndarray) -> tuple[np.ndar
     return (margin >= 0) @ (1 << np.arange(planes.shape[1], dtype=np.int64)), margin
 
 
+def group_numbers(batch: pa.RecordBatch, groups: Sequence[str]) -> np.ndarray:
+    """A number per row that tells the rows' groups apart."""
+    out = np.zeros(batch.num_rows, np.int64)
+    for c in groups:
+        codes = batch.column(c).dictionary_encode(null_encoding="encode").indices.to_numpy()
+        out = np.unique(out * (int(codes.max(initial=0)) + 1) + codes, return_inverse=True)[1].astype(np.int64)
+    return out
+
+
+def looks(x: np.ndarray, group: np.ndarray, planes: np.ndarray, mean: np.ndarray, masks: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """``(a row of the group, list, rows that look into it)`` of every list that
+    the rows look into, as columns for at most about ``HELD_BYTES`` of vectors."""
+    sig, margin = _sides(x, planes, mean)
+    order = np.argsort(np.abs(margin), axis=1)
+    flips = (masks.astype(np.int64) @ (np.int64(1) << order).T) if masks.shape[1] else np.zeros((1, len(x)), np.int64)
+    looked = (sig ^ flips).ravel()      # masks x queries
+    row = np.tile(np.arange(len(x)), len(flips))
+    by = np.lexsort((row, looked, group[row]))
+    looked, row = looked[by], row[by]
+    starts = np.flatnonzero(np.r_[len(row) > 0, (np.diff(looked) != 0) | (np.diff(group[row]) != 0)])
+    lists_at_once = np.flatnonzero(np.diff(starts // max(1, HELD_BYTES // (8 * x.shape[1] + 8)))) + 1
+    ends = np.r_[starts[1:], len(row)]
+    for a, b in zip(np.r_[0, lists_at_once].tolist(), np.r_[lists_at_once, len(starts)].tolist()):
+        if b > a:
+            yield row[starts[a:b]], looked[starts[a:b]], [row[s:e] for s, e in zip(starts[a:b].tolist(), ends[a:b].tolist())]
+
+
 def build_lists(vectors: DataFrame, groups: Sequence[str], dim: int, planes: np.ndarray, mean: np.ndarray, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Blocks ``(group.., sig, n, ids, x)`` of the vectors ``(group.., i, vec)``."""
     g = list(groups)
@@ -136,34 +166,29 @@ def search_lists(lists: DataFrame, queries: DataFrame, groups: Sequence[str], k:
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes, mean, masks = shared.value
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                x, i = _matrix(part.column("vec"), dim), part.column("i").to_numpy()
-                sig, margin = _sides(x, planes, mean)
-                order = np.argsort(np.abs(margin), axis=1)
-                flips = (masks.astype(np.int64) @ (np.int64(1) << order).T) if masks.shape[1] else np.zeros((1, len(x)), np.int64)
-                looked = sig ^ flips  # masks x queries
-                group = list(zip(*(part.column(c).to_pylist() for c in g))) if g else [()] * len(x)
-                met: dict[tuple, list[int]] = {}
-                for row, own in enumerate(group):
-                    for s in looked[:, row].tolist():
-                        met.setdefault((*own, s), []).append(row)
-                found = list(met.items())
-                columns = [pa.array([key[c] for key, _ in found], part.schema.field(name).type) for c, name in enumerate(g)]
-                columns += [pa.array([key[-1] for key, _ in found], pa.int64()), pa.array([i[rows].astype("<i8").tobytes() for _, rows in found], pa.binary()),
-                            pa.array([x[rows].tobytes() for _, rows in found], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, [*keys, "q", "qx"])
+            step = max(1, min(1024, HELD_PAIRS // len(masks)))
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                x, i = _matrix(part.column("vec"), dim), part.column("i").to_numpy().astype("<i8")
+                for first, sig, rows in looks(x, group_numbers(part, g), planes, mean, masks):
+                    own = [part.column(c).take(pa.array(first)) for c in g]
+                    yield pa.RecordBatch.from_arrays([*own, pa.array(sig, pa.int64()), pa.array([i[r].tobytes() for r in rows], pa.binary()),
+                                                      pa.array([x[r].tobytes() for r in rows], pa.binary())], [*keys, "q", "qx"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
-                ids, x = np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["x"]).reshape(-1, dim)
-                q, qx = np.frombuffer(r["q"], "<i8"), np.frombuffer(r["qx"]).reshape(-1, dim)
-                own, other = (qx * qx).sum(axis=1)[:, None], (x * x).sum(axis=1)
-                square = own + other - 2.0 * (qx @ x.T)
-                least = np.partition(square, min(k, len(ids)) - 1, axis=1)[:, min(k, len(ids)) - 1]
-                a, b = np.nonzero(square <= (least + _SLACK * (1.0 + own[:, 0] + other.max()))[:, None])
-                yield pa.RecordBatch.from_pydict({"i": q[a], "nn_i": ids[b]})
+            for r in range(batch.num_rows):
+                ids, x, q, qx = (np.frombuffer(batch.column(c)[r].as_buffer(), kind) for c, kind in (("ids", "<i8"), ("x", "<f8"), ("q", "<i8"), ("qx", "<f8")))
+                x, qx = x.reshape(-1, dim), qx.reshape(-1, dim)
+                other = (x * x).sum(axis=1)
+                step = max(1, HELD_PAIRS // len(ids))
+                for at in range(0, len(q), step):
+                    mine = qx[at:at + step]
+                    own = (mine * mine).sum(axis=1)[:, None]
+                    square = own + other - 2.0 * (mine @ x.T)
+                    least = np.partition(square, min(k, len(ids)) - 1, axis=1)[:, min(k, len(ids)) - 1]
+                    a, b = np.nonzero(square <= (least + _SLACK * (1.0 + own[:, 0] + other.max()))[:, None])
+                    yield pa.RecordBatch.from_pydict({"i": q[at + a], "nn_i": ids[b]})
 
     schema = queries.select(*g).schema.add("sig", "long").add("q", "binary").add("qx", "binary")
     met = queries.select(*g, "i", "vec").mapInArrow(probe, schema)
