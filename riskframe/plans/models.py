@@ -68,11 +68,12 @@ def tree_frame(split_df: DataFrame, numeric: Sequence[str], categorical: Sequenc
 
 # ---------------------------------------------------------------- learners
 def logistic(train: DataFrame, C: float = 1.0, penalty: str = "l1", balanced: bool = True,
-             max_iter: int = 1000, tol: float = 1e-6) -> LogisticRegression:
-    """M1 / M2 with the scikit-learn C mapped onto regParam."""
+             max_iter: int = 1000, tol: float = 1e-6, total: float | None = None) -> LogisticRegression:
+    """M1 / M2 with the scikit-learn C mapped onto regParam.  ``total`` is the
+    sum of the weights, if known."""
     if penalty not in ("l1", "l2"):
         raise ValueError(f"penalty must be l1 or l2, not {penalty!r}")
-    sw = train.agg(F.sum("weight" if balanced else F.lit(1.0))).first()[0]
+    sw = total or train.agg(F.sum("weight" if balanced else F.lit(1.0))).first()[0]
     lr = LogisticRegression(featuresCol="features", labelCol="label", regParam=1.0 / (C * sw),
                             elasticNetParam=1.0 if penalty == "l1" else 0.0, standardization=False,
                             maxIter=max_iter, tol=tol)
@@ -146,6 +147,17 @@ def predict(model, df: DataFrame, keep: Sequence[str] = ("app_id", "class", "spl
     return out.select(*keep, F.col("prediction").alias("reg_pred"))
 
 
+def predict_each(models: Mapping[int, object], df: DataFrame, name: str, keep: Sequence[str]) -> DataFrame:
+    """:func:`predict` of several classifiers, ``(name, keep.., yhat, p)``, from
+    one scan: a row per model and row, without the features."""
+    out, found = df, []
+    for i, model in models.items():
+        own = model.copy().setRawPredictionCol(f"_raw{i}").setProbabilityCol(f"_prob{i}").setPredictionCol(f"_label{i}")
+        out = own.transform(out)
+        found.append(F.struct(F.lit(i).alias(name), (F.col(f"_label{i}") + 1).cast("int").alias("yhat"), F.round(vector_to_array(f"_prob{i}")[1], 9).alias("p")))
+    return out.select(*keep, F.inline(F.array(*found))).select(name, *keep, "yhat", "p")
+
+
 def classification_report(pred: DataFrame, group_cols: Sequence[str] = ("split",)) -> DataFrame:
     g = list(group_cols)
     cls = V.classification_metrics(pred, group_cols=g)

@@ -12,7 +12,7 @@ from riskframe.operators import moments as MO
 from riskframe.operators import tune as G
 from riskframe.plans import models as M
 from riskframe.plans.catalog import CAT, NUM, query, split_apps
-from riskframe.session import checkpoint, materialise, scratch_path
+from riskframe.session import materialise, scratch_path
 
 EVAL_SPLITS = ("val", "test")
 
@@ -146,15 +146,14 @@ C_GRID = [0.001, 0.01, 0.1, 0.5, 1.0, 2.0, 5.0, 10.0, 50.0, 100.0]
 def c_grid(spark, sf, grid=C_GRID):
     x, _ = _frames(spark, sf)
     train = x.where(F.col("split") == "train")
-    held = checkpoint(_eval(x))
-
-    def evaluate(model):
-        out = {}
-        for r in M.classification_report(M.predict(model, held)).collect():
-            out |= {f"{r['split']}_accuracy": r["accuracy"], f"{r['split']}_f1": r["f1_pos2"], f"{r['split']}_roc_auc": r["roc_auc"]}
-        return out
+    total = train.agg(F.sum("weight")).first()[0]
     cfgs = [{"config_id": i + 1, "C": float(c)} for i, c in enumerate(grid)]
-    rows = M.fit_grid(cfgs, lambda cfg: M.logistic(train, C=cfg["C"], penalty="l2"), train, evaluate)
+    rows = M.fit_grid(cfgs, lambda cfg: M.logistic(train, C=cfg["C"], penalty="l2", total=total), train, lambda model: {"model": model})
+    good = {r["config_id"]: r for r in rows if r["error"] is None}
+    if good:    # all of them in one scan
+        scores = materialise(M.predict_each({i: r["model"] for i, r in good.items()}, _eval(x), "config_id", ("class", "split")), "grid-scores")
+        for r in M.classification_report(scores, ["config_id", "split"]).collect():
+            good[r["config_id"]] |= {f"{r['split']}_accuracy": r["accuracy"], f"{r['split']}_f1": r["f1_pos2"], f"{r['split']}_roc_auc": r["roc_auc"]}
     names = [f"{s}_{m}" for s in EVAL_SPLITS for m in ("accuracy", "f1", "roc_auc")]
     schema = "config_id int, C double, " + ", ".join(f"{n} double" for n in names) + ", error string"
     return spark.createDataFrame([{k: r.get(k) for k in ("config_id", "C", *names, "error")} for r in rows], schema), x
